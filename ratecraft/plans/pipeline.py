@@ -1,0 +1,35 @@
+"""End-to-end entry points: plans in, hourly table / matrices / checks out."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from ..operators import clean
+from . import nested
+from .relational import Load
+
+
+def clean_plans(records: DataFrame, sector: str = "Commercial") -> DataFrame:
+    return clean.clean_plans(records, sector=sector)
+
+
+def hourly_rates(plans: DataFrame, load: Load = Load()) -> DataFrame:
+    """``utility_rates`` (unfiltered hourly table) via the nested path."""
+    return nested.explode_cells(nested.rate_cells(plans, load.monthly_kwh, load.peak_kw))
+
+
+def published_cells(plans: DataFrame, load: Load = Load(), drop_negative: bool = False) -> DataFrame:
+    """Filtered plan rows with their hourly cells (nested)."""
+    return nested.filter_plans(
+        nested.rate_cells(plans, load.monthly_kwh, load.peak_kw), drop_negative=drop_negative
+    )
+
+
+def published_rates(plans: DataFrame, load: Load = Load(), drop_negative: bool = False) -> DataFrame:
+    """Hourly table after the plan filters (what is written as Parquet)."""
+    return nested.explode_cells(published_cells(plans, load, drop_negative))
+
+
+def rate_json_rows(plans: DataFrame, load: Load = Load(), drop_negative: bool = False) -> DataFrame:
+    """One row per plan with four 12x24 matrices (the JSON document rows)."""
+    return nested.rate_matrices(published_cells(plans, load, drop_negative))
