@@ -189,9 +189,15 @@ def default_structures(df: DataFrame, fill: int = 1) -> DataFrame:
     """Missing schedules -> 12x24 of ``fill``; months -> 12 x ``fill``;
     missing structures -> one period with one tier of rate 0."""
 
-    def one_tier(field: str, tier_type) -> Column:
-        tier = F.struct(F.lit(0.0).alias("rate"))
-        return F.array(F.struct(F.array(tier).alias(field))).cast(tier_type)
+    def one_tier(field: str, strux_type) -> Column:
+        tier_type = strux_type.elementType[field].dataType.elementType
+        tier = F.struct(
+            *[
+                (F.lit(0.0) if f.name == "rate" else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in tier_type.fields
+            ]
+        )
+        return F.array(F.struct(F.array(tier).alias(field)))
 
     types = {f.name: f.dataType for f in df.schema.fields}
     out = {c: F.coalesce(F.col(c), zero_matrix(fill=fill)) for c in SCHEDULE_COLUMNS}

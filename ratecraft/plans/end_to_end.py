@@ -19,7 +19,7 @@ def hourly_rates(plans: DataFrame, load: Load = Load()) -> DataFrame:
 
 
 def published_cells(plans: DataFrame, load: Load = Load(), drop_negative: bool = False) -> DataFrame:
-    """Filtered plan rows with their hourly cells (nested)."""
+    """Plan rows with a ``keep`` flag and their surviving hourly cells."""
     return nested.filter_plans(
         nested.rate_cells(plans, load.monthly_kwh, load.peak_kw), drop_negative=drop_negative
     )
@@ -32,4 +32,4 @@ def published_rates(plans: DataFrame, load: Load = Load(), drop_negative: bool =
 
 def rate_json_rows(plans: DataFrame, load: Load = Load(), drop_negative: bool = False) -> DataFrame:
     """One row per plan with four 12x24 matrices (the JSON document rows)."""
-    return nested.rate_matrices(published_cells(plans, load, drop_negative))
+    return nested.rate_matrices(nested.kept_plans(published_cells(plans, load, drop_negative)))

@@ -162,42 +162,61 @@ def rate_cells(plans: DataFrame, monthly_kwh: float = 2000.0, peak_kw: float = 5
     )
 
     def cells(label: str, demand: str, energy: str) -> str:
+        # ``ctx`` carries the per-plan lookups into the per-cell lambdas, so
+        # whatever Catalyst inlines for them is evaluated once per plan.
         return (
             f"flatten(transform({demand}, (row, i) -> transform(row, (v, j) -> named_struct("
             f"'week_part', '{label}', 'month', i + 1, 'hour', j + 1, "
             f"'demand_period', CAST(v + 1 AS INT), "
-            f"'total_demand_rate', try_divide(try_element_at(_dcost, v + 1) + "
-            f"coalesce(get(_fcost, i), 0D), {peak}D), "
-            f"'multi_unit', IF(get(get({energy}, i), j) IS NULL, CAST(NULL AS BOOLEAN), _multi), "
+            f"'total_demand_rate', try_divide(try_element_at(ctx.dcost, v + 1) + "
+            f"coalesce(get(ctx.fcost, i), 0D), {peak}D), "
+            f"'multi_unit', IF(get(get({energy}, i), j) IS NULL, CAST(NULL AS BOOLEAN), ctx.multi), "
             f"'energy_period', CAST(get(get({energy}, i), j) + 1 AS INT), "
-            f"'total_energy_rate', try_element_at(_erate, get(get({energy}, i), j) + 1)))))"
+            f"'total_energy_rate', try_element_at(ctx.erate, get(get({energy}, i), j) + 1)))))"
         )
 
+    let = (
+        "transform(array(named_struct('erate', _erate, 'dcost', _dcost, 'fcost', _fcost, 'multi', _multi)), "
+        "ctx -> concat({}, {}))[0]"
+    ).format(
+        cells("Weekday", "demandWeekdaySched", "energyWeekdaySched"),
+        cells("Weekend", "demandWeekendSched", "energyWeekendSched"),
+    )
     return costed.select(
         *PLAN_KEYS,
         F.coalesce("fixedChargeFirstMeter", F.lit(0.0)).alias("fixedChargeFirstMeter"),
-        F.expr(
-            f"concat({cells('Weekday', 'demandWeekdaySched', 'energyWeekdaySched')}, "
-            f"{cells('Weekend', 'demandWeekendSched', 'energyWeekendSched')})"
-        ).alias("cells"),
+        F.expr(let).alias("cells"),
     )
 
 
+RATE_COLUMNS = [
+    "eiaId",
+    "rateName",
+    "utilityName",
+    "fixedChargeFirstMeter",
+    "week_part",
+    "month",
+    "hour",
+    "demand_period",
+    "total_demand_rate",
+    "multi_unit",
+    "energy_period",
+    "total_energy_rate",
+]
+
+
 def explode_cells(df: DataFrame) -> DataFrame:
-    """Hourly long table (``utility_rates`` layout) from plan rows."""
-    return df.select(*PLAN_KEYS, "fixedChargeFirstMeter", F.inline("cells")).select(
-        "eiaId",
-        "rateName",
-        "utilityName",
-        "fixedChargeFirstMeter",
-        "week_part",
-        "month",
-        "hour",
-        "demand_period",
-        "total_demand_rate",
-        "multi_unit",
-        "energy_period",
-        "total_energy_rate",
+    """Hourly long table (``utility_rates`` layout) from plan rows.
+
+    ``inline_outer`` + a filter on the generated column instead of
+    ``inline``: the filter Catalyst infers for ``inline`` would be pushed
+    below the projection and evaluate the whole ``cells`` expression twice.
+    A filter on generator output stays above the Generate.
+    """
+    return (
+        df.select(*PLAN_KEYS, "fixedChargeFirstMeter", F.inline_outer("cells"))
+        .where(F.col("week_part").isNotNull())
+        .select(*RATE_COLUMNS)
     )
 
 
@@ -208,25 +227,48 @@ def filter_plans(
     pattern: str = IRRELEVANT_PATTERN,
     drop_negative: bool = False,
 ) -> DataFrame:
-    """P13, P12, W4, P14 and (optionally) W5 as row predicates.
+    """P13, P12, W4, P14 and (optionally) W5 as predicates on the plan row.
 
     Exact for tables where (utilityName, rateName) names one plan, which
-    revision selection (K1) guarantees.
+    revision selection (K1) guarantees.  The outcome is a ``keep`` flag and
+    the surviving ``cells`` (empty when dropped), computed in the same
+    projection as the cells themselves; nothing is filtered here, so no
+    predicate is pushed below the cell computation.
     """
-    out = df.where(~F.col("rateName").rlike("(?i)" + pattern))
-    out = out.where(F.col("fixedChargeFirstMeter") < F.lit(fixed_limit))
-    out = out.where(
-        F.expr(f"forall(cells, c -> coalesce(c.total_energy_rate <= {float(energy_limit)}D, true))")
+    keep = (
+        F.coalesce(~F.col("rateName").rlike("(?i)" + pattern), F.lit(False))
+        & F.coalesce(F.col("fixedChargeFirstMeter") < F.lit(fixed_limit), F.lit(False))
+        & F.expr(f"forall(cells, c -> coalesce(c.total_energy_rate <= {float(energy_limit)}D, true))")
     )
-    out = out.withColumn("cells", F.expr("filter(cells, c -> c.multi_unit = false)"))
+    unit_ok = F.expr("filter(cells, c -> c.multi_unit = false)")
+    staged = df.withColumn("keep", keep).withColumn("cells", unit_ok)
     if drop_negative:
-        out = out.where(
-            F.expr(
+        staged = staged.withColumn(
+            "keep",
+            F.col("keep")
+            & F.expr(
                 "forall(cells, c -> coalesce(c.total_energy_rate >= 0, true) "
                 "AND coalesce(c.total_demand_rate >= 0, true))"
-            )
+            ),
         )
-    return out.where(F.size("cells") > 0)
+    return staged.withColumn(
+        "cells", F.when(F.col("keep"), F.col("cells")).otherwise(F.expr("slice(cells, 1, 0)"))
+    ).withColumn("keep", F.col("keep") & (F.size("cells") > 0))
+
+
+def kept_plans(df: DataFrame) -> DataFrame:
+    """Plan rows whose ``keep`` flag is set.
+
+    The flag is read after a one-row-per-plan Generate, which predicates
+    are not pushed through, so the cells are not computed a second time
+    inside a pushed-down filter.
+    """
+    cols = df.columns
+    return (
+        df.select(F.inline_outer(F.array(F.struct(*cols))))
+        .where(F.col("keep"))
+        .drop("keep")
+    )
 
 
 def rate_matrices(df: DataFrame) -> DataFrame:

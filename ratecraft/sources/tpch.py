@@ -166,10 +166,10 @@ def plan_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "endDate": F.when(
             ok % 3 == 0, date_json(_iso(F.col("o_orderdate") + F.expr("INTERVAL 365 DAYS")))
         ),
-        "demandMin": F.when(ok % 4 != 0, F.round(F.col("o_totalprice") / 10000, 2)),
-        "demandMax": F.when(ok % 5 != 0, F.round(F.col("o_totalprice") / 1000, 2)),
+        "demandMin": F.when(ok % 4 != 0, F.col("o_totalprice") / 10000),
+        "demandMax": F.when(ok % 5 != 0, F.col("o_totalprice") / 1000),
         "energyMin": F.when(ok % 6 != 0, F.lit(0.0)),
-        "energyMax": F.when(ok % 8 != 0, F.round(F.col("o_totalprice"), 2)),
+        "energyMax": F.when(ok % 8 != 0, F.col("o_totalprice")),
         "fixedChargeFirstMeter": F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_acctbal")),
         "fixedChargeUnits": F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit("$/day"))
         .when(F.col("c_mktsegment") == "BUILDING", F.lit(None))
