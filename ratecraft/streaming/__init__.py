@@ -1 +1,8 @@
+"""Streaming.
 
+The reference is a batch pipeline with no stream sources, watermarks,
+windows over event time or state, so no streaming operator is defined
+here.  The batch operators are plain ``DataFrame -> DataFrame`` functions
+and can be applied inside ``foreachBatch`` if plan files arrive
+continuously.
+"""
