@@ -249,10 +249,10 @@ FROM (
     SELECT count(*) AS c FROM v GROUP BY eiaId, utilityName, rateName, month, week_part, hour))
 , cnt AS (SELECT (SELECT count(*) FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM plans)) AS n_in,
                  (SELECT count(*) FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM v)) AS n_out)
-SELECT CAST(step AS INTEGER) AS step, "check", severity, CAST(n AS BIGINT) AS n, CAST(n_failed AS BIGINT) AS n_failed,
+SELECT CAST(step AS INTEGER) AS step, check_name, severity, CAST(n AS BIGINT) AS n, CAST(n_failed AS BIGINT) AS n_failed,
   n_failed = 0 AS passed
 FROM (
-  SELECT 1 AS step, 'fixed_charge_lte_limit' AS "check", 'critical' AS severity, n, f1 AS n_failed FROM agg UNION ALL
+  SELECT 1 AS step, 'fixed_charge_lte_limit' AS check_name, 'critical' AS severity, n, f1 AS n_failed FROM agg UNION ALL
   SELECT 2, 'energy_rate_lte_limit', 'critical', n, f2 FROM agg UNION ALL
   SELECT 3, 'rows_distinct', 'critical', n, f3 FROM agg, dup UNION ALL
   SELECT 4, 'no_excluded_plan_names', 'critical', n, f4 FROM agg UNION ALL

@@ -60,7 +60,7 @@ def validation_report(
     def step(i, name, severity, failed):
         return F.struct(
             F.lit(i).alias("step"),
-            F.lit(name).alias("check"),
+            F.lit(name).alias("check_name"),
             F.lit(severity).alias("severity"),
             F.col("n").alias("n"),
             failed.cast("long").alias("n_failed"),
@@ -84,6 +84,6 @@ def enforce(report: DataFrame) -> list:
     rows = report.orderBy("step").collect()
     failed = [r for r in rows if r["step"] <= CRITICAL_STEPS and r["n_failed"] > 0]
     if failed:
-        names = ", ".join(f"{r['check']} ({r['n_failed']})" for r in failed)
+        names = ", ".join(f"{r['check_name']} ({r['n_failed']})" for r in failed)
         raise ValidationError("Data validation failed on a critical check: " + names)
     return rows

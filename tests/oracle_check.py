@@ -7,7 +7,6 @@ Prints one line per key: rows, schema and value match.
 
 from __future__ import annotations
 
-import math
 import os
 import sys
 import time
@@ -23,63 +22,52 @@ TABLES = [
 ]
 
 
-def _norm(v):
-    if v is None:
-        return None
-    if isinstance(v, float):
-        if math.isnan(v):
-            return None
-        return round(v, 6)
-    if hasattr(v, "item"):
-        return _norm(v.item())
-    return v
-
-
-def _rows(records, cols):
-    return sorted(
-        (tuple(_norm(r[c]) for c in cols) for r in records),
-        key=lambda t: tuple((x is None, str(type(x)), x if x is not None else 0) for x in t),
-    )
-
-
 def compare(spark, sf_dir: str, keys: list[str] | None = None) -> dict:
+    """Row count, column names and an order-insensitive value comparison
+    (``EXCEPT ALL`` both ways inside DuckDB, doubles rounded to 6 places)."""
     import __spark_entry__ as E
 
     con = duckdb.connect()
     for t in TABLES:
         p = f"{sf_dir}/{t}.parquet"
         if os.path.exists(p):
-            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')").fetchall()
     qs, sqls = E.queries(), E.oracle_sql()
     out = {}
     for key in keys or sorted(qs):
         t0 = time.time()
         try:
             sdf = qs[key](spark, sf_dir)
-            srows = [r.asDict() for r in sdf.collect()]
-            scols = sorted(sdf.columns)
+            spark_tbl = sdf.toArrow()
             t1 = time.time()
             if key not in sqls:
-                out[key] = dict(rows=len(srows), oracle=None, secs=round(t1 - t0, 1))
+                out[key] = dict(rows=spark_tbl.num_rows, oracle=None, secs=round(t1 - t0, 1))
                 print(key, out[key], flush=True)
                 continue
-            cur = con.execute(sqls[key])
-            ocols = [d[0] for d in cur.description]
-            orecs = [dict(zip(ocols, r)) for r in cur.fetchall()]
-            res = dict(
-                rows=(len(srows), len(orecs)),
-                schema=scols == sorted(ocols),
-                secs=round(t1 - t0, 1),
-            )
+            con.register("spark_result", spark_tbl)
+            con.execute(f"CREATE OR REPLACE TEMP TABLE oracle_result AS {sqls[key]}").fetchall()
+            ocols = [r[0] for r in con.execute("DESCRIBE oracle_result").fetchall()]
+            scols = list(spark_tbl.column_names)
+            n_o = con.execute("SELECT count(*) FROM oracle_result").fetchall()[0][0]
+            res = dict(rows=(spark_tbl.num_rows, n_o), schema=sorted(scols) == sorted(ocols), secs=round(t1 - t0, 1))
             if res["schema"]:
-                a, b = _rows(srows, scols), _rows(orecs, scols)
-                res["values"] = a == b
+                def norm(tbl):
+                    types = dict((r[0], r[1]) for r in con.execute(f"DESCRIBE {tbl}").fetchall())
+                    cols = sorted(scols)
+                    return ", ".join(
+                        f'round("{c}", 6) AS "{c}"' if types[c] in ("DOUBLE", "FLOAT") else f'"{c}"' for c in cols
+                    )
+                a = f"SELECT {norm('spark_result')} FROM spark_result"
+                b = f"SELECT {norm('oracle_result')} FROM oracle_result"
+                d1 = con.execute(f"SELECT count(*) FROM ({a} EXCEPT ALL {b})").fetchall()[0][0]
+                d2 = con.execute(f"SELECT count(*) FROM ({b} EXCEPT ALL {a})").fetchall()[0][0]
+                res["values"] = d1 == 0 and d2 == 0
                 if not res["values"]:
-                    diff = [x for x in a if x not in set(b)][:3]
-                    res["spark_only"] = diff
-                    res["oracle_only"] = [x for x in b if x not in set(a)][:3]
+                    res["spark_only"] = con.execute(f"{a} EXCEPT ALL {b} LIMIT 3").fetchall()
+                    res["oracle_only"] = con.execute(f"{b} EXCEPT ALL {a} LIMIT 3").fetchall()
             else:
-                res["cols"] = (scols, sorted(ocols))
+                res["cols"] = (sorted(scols), sorted(ocols))
+            con.unregister("spark_result")
         except Exception as e:  # report and continue
             res = dict(error=repr(e)[:400])
         out[key] = res
