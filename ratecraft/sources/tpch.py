@@ -112,11 +112,20 @@ def tier_arrays(lineitem: DataFrame) -> DataFrame:
     is_o = lambda x: x.ls == "O"
     is_even = lambda x: x.even
     is_odd = lambda x: ~x.even
-    return per_order.select(
+    picked = per_order.select(
         "l_orderkey",
-        _periods(pick(is_f, True), pick(is_o, True), "energyRateTiers").alias("energyRateStrux"),
-        _periods(pick(is_f, False), pick(is_o, False), "demandRateTiers").alias("demandRateStrux"),
-        _periods(pick(is_even, False), pick(is_odd, False), "flatDemandTiers").alias("flatDemandStrux"),
+        pick(is_f, True).alias("ef"),
+        pick(is_o, True).alias("eo"),
+        pick(is_f, False).alias("df"),
+        pick(is_o, False).alias("do"),
+        pick(is_even, False).alias("fe"),
+        pick(is_odd, False).alias("fo"),
+    )
+    return picked.select(
+        "l_orderkey",
+        _periods(F.col("ef"), F.col("eo"), "energyRateTiers").alias("energyRateStrux"),
+        _periods(F.col("df"), F.col("do"), "demandRateTiers").alias("demandRateStrux"),
+        _periods(F.col("fe"), F.col("fo"), "flatDemandTiers").alias("flatDemandStrux"),
     )
 
 
@@ -126,15 +135,31 @@ def plan_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
 
+    # Schedules and months depend on the customer only: build them once per
+    # customer, before the join, instead of once per order.
+    key = F.col("c_custkey")
+    missing_sched = key % 29 == 0
+    customer = customer.select(
+        "*",
+        F.when(key % 19 == 0, F.lit(None))
+        .when(key % 37 == 0, F.array().cast("array<int>"))
+        .otherwise(F.transform(F.sequence(F.lit(1), F.lit(12)), lambda m: F.pmod(key + m, F.lit(2)).cast("int")))
+        .alias("_months"),
+        F.when(~missing_sched, _matrix(key, 1, 1)).alias("_d_wd"),
+        F.when(~missing_sched & (key % 31 != 0), _matrix(key, 2, 1)).alias("_d_we"),
+        F.when(missing_sched, F.lit(None))
+        .when(key % 41 == 0, F.array().cast("array<array<int>>"))
+        .otherwise(_matrix(key, 1, 6))
+        .alias("_e_wd"),
+        F.when(~missing_sched, _matrix(key, 2, 6)).alias("_e_we"),
+    )
     co = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
     tiers = tier_arrays(lineitem)
     rec = co.join(tiers, co.o_orderkey == tiers.l_orderkey, "left")
 
-    key = F.col("c_custkey")
     ok = F.col("o_orderkey")
     iso = _iso(F.col("o_orderdate"))
     date_json = lambda s: F.concat(F.lit('{"$date": "'), s, F.lit('"}'))
-    missing_sched = key % 29 == 0
 
     cols = {
         "label": F.format_string("%012d", ok),
@@ -182,17 +207,13 @@ def plan_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("o_orderpriority") == "3-MEDIUM", F.lit("kVA"))
         .when(F.col("o_orderpriority") == "5-LOW", F.lit("daily")),
         "demandUnits": F.lit("kW"),
-        "flatDemandMonths": F.when(key % 19 == 0, F.lit(None))
-        .when(key % 37 == 0, F.array().cast("array<int>"))
-        .otherwise(F.transform(F.sequence(F.lit(1), F.lit(12)), lambda m: F.pmod(key + m, F.lit(2)).cast("int"))),
+        "flatDemandMonths": F.col("_months"),
         "flatDemandStrux": F.col("flatDemandStrux"),
         "demandRateStrux": F.col("demandRateStrux"),
         "energyRateStrux": F.col("energyRateStrux"),
-        "demandWeekdaySched": F.when(~missing_sched, _matrix(key, 1, 1)),
-        "demandWeekendSched": F.when(~missing_sched & (key % 31 != 0), _matrix(key, 2, 1)),
-        "energyWeekdaySched": F.when(missing_sched, F.lit(None))
-        .when(key % 41 == 0, F.array().cast("array<array<int>>"))
-        .otherwise(_matrix(key, 1, 6)),
-        "energyWeekendSched": F.when(~missing_sched, _matrix(key, 2, 6)),
+        "demandWeekdaySched": F.col("_d_wd"),
+        "demandWeekendSched": F.col("_d_we"),
+        "energyWeekdaySched": F.col("_e_wd"),
+        "energyWeekendSched": F.col("_e_we"),
     }
     return rec.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in PLAN_SCHEMA.fields])
