@@ -197,6 +197,10 @@ FROM plans p LEFT JOIN ordinfo i ON i.okey = p.okey
     "utility_rates_stepwise": q(f"SELECT {RATE_COLS} FROM rates"),
     # filters
     "drop_irrelevant": q(f"SELECT {RATE_COLS} FROM r_irrel"),
+    "drop_irrigation": q(
+        f"SELECT {RATE_COLS} FROM rates WHERE NOT regexp_matches(rateName, "
+        "'(?i)irrigation|agricultur|agribusiness|pumping|furnace|heating|conditioning')"
+    ),
     "drop_high_fixed": q(f"SELECT {RATE_COLS} FROM rates WHERE fixedChargeFirstMeter < 10000"),
     "drop_high_energy": q(_group_drop("rates", "b.total_energy_rate > 0.1")),
     "drop_multi_unit": q(f"SELECT {RATE_COLS} FROM rates WHERE multi_unit = false"),

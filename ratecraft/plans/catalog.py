@@ -313,6 +313,10 @@ def q_drop_irrelevant(spark, sf):
     return rounded(quality.drop_irrelevant(rates(spark, sf)))
 
 
+def q_drop_irrigation(spark, sf):
+    return rounded(quality.drop_irrigation(rates(spark, sf)))
+
+
 def q_drop_high_fixed(spark, sf):
     return rounded(quality.drop_high_fixed(rates(spark, sf)))
 
