@@ -55,7 +55,8 @@ def latest_revision(
     ``revisions`` (computed inside the row, no explode); records without
     one are dropped.  Ties go to the smallest ``label`` (the record id),
     then to a content hash, so any input order or partitioning gives the
-    same winner.  ``row_number() = 1`` is planned as a WindowGroupLimit
+    same winner (records equal in every flat column, label included, are
+    treated as copies).  ``row_number() = 1`` is planned as a WindowGroupLimit
     that keeps one row per key *before* the shuffle, so a hot key costs one
     row per input partition.
     """
@@ -64,10 +65,19 @@ def latest_revision(
         F.array_max(F.transform("revisions", lambda r: parse_instant(r["date"]))),
     ).where(F.col("revision_date").isNotNull())
     if tie_break is None:
-        tie_break = [F.col("label").asc_nulls_last()] if "label" in df.columns else []
-        tie_break = list(tie_break) + [
-            F.xxhash64(*[F.col(c) for c in df.columns]).asc()
-        ]
+        full_hash = F.xxhash64(*[F.col(c) for c in df.columns])
+        if "label" in df.columns:
+            # The label is the record id.  Same-label duplicates are ordered by
+            # a hash of the flat columns; the (costly) hash over the nested
+            # arrays is only evaluated for records without a label.
+            flat = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("array", "map", "struct")]
+            tie_break = [
+                F.col("label").asc_nulls_last(),
+                F.xxhash64(*[F.col(c) for c in flat]).asc(),
+                F.when(F.col("label").isNull(), full_hash).asc(),
+            ]
+        else:
+            tie_break = [full_hash.asc()]
     w = Window.partitionBy(*keys).orderBy(F.col("revision_date").desc(), *tie_break)
     return (
         dated.withColumn("_rn", F.row_number().over(w))

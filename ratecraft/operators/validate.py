@@ -57,6 +57,10 @@ def validation_report(
     # Both sides are single-row aggregates; join them on a constant key.
     one = totals.withColumn("_k", F.lit(1)).join(n_in.withColumn("_k", F.lit(1)), "_k")
 
+    return _steps(one)
+
+
+def _steps(one: DataFrame) -> DataFrame:
     def step(i, name, severity, failed):
         return F.struct(
             F.lit(i).alias("step"),
@@ -87,3 +91,60 @@ def enforce(report: DataFrame) -> list:
         names = ", ".join(f"{r['check_name']} ({r['n_failed']})" for r in failed)
         raise ValidationError("Data validation failed on a critical check: " + names)
     return rows
+
+
+def validation_report_cells(
+    input_plans: DataFrame,
+    plan_cells: DataFrame,
+    fixed_limit: float = FIXED_CHARGE_CHECK,
+    energy_limit: float = ENERGY_RATE_CHECK,
+    pattern: str = EXCLUDED_NAMES,
+) -> DataFrame:
+    """Same report, computed from plan rows holding their hourly ``cells``.
+
+    The row checks are counted inside each plan row and summed (a global
+    aggregate of one small row per partition).  Uniqueness (V3) needs the
+    hourly keys only where two plan rows share (eiaId, utilityName,
+    rateName): within one row the cells have distinct (week part, month,
+    hour) by construction.  So plan rows are counted per key first, and only
+    rows of duplicated keys are exploded and grouped; the hourly table is
+    never shuffled as a whole.
+    """
+    rows = plan_cells.where(F.size("cells") > 0)  # pass materialized cells: read three times
+    fixed_bad = not_true(F.col("fixedChargeFirstMeter") <= F.lit(fixed_limit))
+    name_bad = not_true(~F.col("rateName").rlike("(?i)" + pattern))
+
+    def cells_failing(cond: str):
+        return F.expr(f"size(filter(cells, c -> NOT coalesce({cond}, false)))").cast("long")
+
+    n_cells = F.size("cells").cast("long")
+    totals = rows.agg(
+        F.coalesce(F.sum(n_cells), F.lit(0)).cast("long").alias("n"),
+        F.coalesce(F.sum(F.when(fixed_bad, n_cells).otherwise(0)), F.lit(0)).cast("long").alias("f1"),
+        F.coalesce(F.sum(cells_failing(f"c.total_energy_rate <= {float(energy_limit)}D")), F.lit(0))
+        .cast("long")
+        .alias("f2"),
+        F.coalesce(F.sum(F.when(name_bad, n_cells).otherwise(0)), F.lit(0)).cast("long").alias("f4"),
+        F.coalesce(F.sum(cells_failing("c.total_demand_rate >= 0")), F.lit(0)).cast("long").alias("f5"),
+        F.coalesce(F.sum(cells_failing("c.total_energy_rate >= 0")), F.lit(0)).cast("long").alias("f6"),
+        F.count_distinct(F.struct(*COUNT_KEYS)).alias("n_out"),
+    )
+    per_key = rows.groupBy(*COUNT_KEYS).agg(F.count(F.lit(1)).alias("copies"))
+    dup_keys = per_key.where(F.col("copies") > 1).select(*COUNT_KEYS)
+    dup_rows = rows.join(
+        dup_keys, on=[rows[k].eqNullSafe(dup_keys[k]) for k in COUNT_KEYS], how="left_semi"
+    )
+    dup = (
+        dup_rows.select(*COUNT_KEYS, F.inline_outer("cells"))
+        .where(F.col("week_part").isNotNull())
+        .groupBy(*UNIQUE_KEYS)
+        .agg(F.count(F.lit(1)).alias("c"))
+        .agg(F.coalesce(F.sum(F.when(F.col("c") > 1, F.col("c"))), F.lit(0)).cast("long").alias("f3"))
+    )
+    n_in = input_plans.select(*COUNT_KEYS).distinct().agg(F.count(F.lit(1)).alias("n_in"))
+    one = (
+        totals.withColumn("_k", F.lit(1))
+        .join(dup.withColumn("_k", F.lit(1)), "_k")
+        .join(n_in.withColumn("_k", F.lit(1)), "_k")
+    )
+    return _steps(one)

@@ -358,6 +358,12 @@ def q_validation_report(spark, sf):
     return validate.validation_report(p, end_to_end.published_rates(p, drop_negative=True))
 
 
+def q_validation_report_cells(spark, sf):
+    p = plans(spark, sf)
+    cells = nested.kept_plans(end_to_end.published_cells(p, drop_negative=True))
+    return validate.validation_report_cells(p, cells)
+
+
 # --- report -------------------------------------------------------------------------
 def q_rates_profile(spark, sf):
     return rounded(profile.rates_profile(published(spark, sf)))

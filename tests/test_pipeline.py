@@ -189,3 +189,14 @@ def test_matrices_round_trip(spark):
     assert back.select(*cols).exceptAll(src).count() == 0
     nested_rows = publish.matrices_to_long(end_to_end.rate_json_rows(plans))
     assert nested_rows.exceptAll(back).count() == 0
+
+
+def test_cell_validation_equals_long_validation(spark):
+    plans = end_to_end.clean_plans(_read(spark, [F1, _variant(label="g", rateName="Second")]))
+    cells = nested.kept_plans(end_to_end.published_cells(plans)).cache()
+    dup_cells = cells.unionByName(cells.where("rateName = 'GS-1'"))
+    long = nested.explode_cells(dup_cells)
+    a = sorted(tuple(r) for r in validate.validation_report(plans, long).collect())
+    b = sorted(tuple(r) for r in validate.validation_report_cells(plans, dup_cells).collect())
+    assert a == b
+    assert dict((r["step"], r["n_failed"]) for r in a)[3] == 2 * 576
