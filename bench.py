@@ -59,8 +59,7 @@ def main() -> None:
     timed("rates_json_rows", lambda: noop(end_to_end.rate_json_rows(plans)))
     timed("levelized_energy", lambda: relational.costs(plans)["energy"].collect())
     timed("levelized_demand", lambda: relational.costs(plans)["demand"].collect())
-    rates = end_to_end.hourly_rates(plans)
-    timed("filter_funnel", lambda: quality.filter_funnel(rates).collect())
+    timed("filter_funnel", lambda: quality.filter_funnel_cells(nested.rate_cells(plans)).collect())
 
     def validation():
         # Validated plan rows are checkpointed once to the shared folder; the

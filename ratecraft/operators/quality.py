@@ -1,8 +1,8 @@
 """Plan filters, plan counts and the filter funnel.
 
 Group-wise filters (W4, W5) keep or drop a whole (utilityName, rateName)
-group.  They are written as "aggregate the failing groups, then left-anti
-join": the aggregate is combined map-side and the anti join is broadcast
+group.  They are written as "aggregate the failing groups, then join back
+and drop": the aggregate is combined map-side and the join is broadcast
 or skew-split by AQE, so no group is ever gathered into one task.
 """
 
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import null_safe_left_join
@@ -96,8 +96,7 @@ def filter_funnel(
 
     Rows are first reduced (map-side combined) to at most eight rows per
     plan holding per-step flags; every step is then a prefix conjunction of
-    those flags, so the hourly rows are read once and only the reduced
-    rows are joined.  Group-wise steps
+    those flags, so the hourly rows are read once.  Group-wise steps
     (W4, W5) are evaluated on the rows that survive the earlier steps,
     exactly as a sequential application would.
     """
@@ -121,21 +120,77 @@ def filter_funnel(
         .groupBy(*ids, "k1", "k3", "k4")
         .agg(F.max("eb").alias("eb"), F.max("nb").alias("nb"))
     )
-    group = list(NAME_KEYS)
-    # Group failure flags evaluated on the rows that reach the step.
-    g_energy = flagged.where("k1").groupBy(*group).agg(F.max("eb").alias("g2"))
-    rows = null_safe_left_join(flagged, g_energy, group)
-    rows = rows.withColumn("s1", F.col("k1")).withColumn(
-        "s2", F.col("s1") & ~F.coalesce(F.col("g2"), F.lit(False))
-    ).withColumn("s3", F.col("s2") & F.col("k3")).withColumn("s4", F.col("s3") & F.col("k4"))
-    g_neg = rows.where("s4").groupBy(*group).agg(F.max("nb").alias("g5"))
-    rows = null_safe_left_join(rows, g_neg, group).withColumn(
-        "s5", F.col("s4") & ~F.coalesce(F.col("g5"), F.lit(False))
+    return _funnel_from_flags(flagged, keys)
+
+
+def filter_funnel_cells(
+    plan_cells: DataFrame,
+    fixed_limit: float = FIXED_CHARGE_LIMIT,
+    energy_limit: float = ENERGY_RATE_LIMIT,
+    pattern: str = IRRELEVANT_PATTERN,
+    keys: Sequence[str] = tuple(COUNT_KEYS),
+) -> DataFrame:
+    """The funnel from plan rows holding hourly ``cells`` (nested path).
+
+    Plan-level flags (fixed charge, name pattern) are evaluated once per
+    plan row instead of once per hour; the cell-level flags are reduced
+    inside the row to at most two flag rows (unit flag false / not false).
+    """
+    ids = list(dict.fromkeys([*keys, *NAME_KEYS]))
+    e_bad = f"coalesce(c.total_energy_rate > {float(energy_limit)}D, false)"
+    n_bad = "coalesce(c.total_energy_rate < 0 OR c.total_demand_rate < 0, false)"
+
+    def part(k4: bool) -> str:
+        sel = "coalesce(c.multi_unit = false, false)" if k4 else "NOT coalesce(c.multi_unit = false, false)"
+        return (
+            f"named_struct('k4', {str(k4).lower()}, "
+            f"'present', exists(cells, c -> {sel}), "
+            f"'eb', exists(cells, c -> {sel} AND {e_bad}), "
+            f"'nb', exists(cells, c -> {sel} AND {n_bad}))"
+        )
+
+    parts = plan_cells.select(
+        *ids,
+        F.coalesce(F.col("fixedChargeFirstMeter") < F.lit(fixed_limit), F.lit(False)).alias("k1"),
+        F.coalesce(~F.col("rateName").rlike("(?i)" + pattern), F.lit(False)).alias("k3"),
+        F.inline_outer(F.expr(f"array({part(True)}, {part(False)})")),
+    )
+    flagged = parts.where(F.col("present")).drop("present")
+    return _funnel_from_flags(flagged, keys)
+
+
+def _funnel_from_flags(flagged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Funnel counts from rows (ids, k1, k3, k4, eb, nb); duplicates allowed.
+
+    The input is consumed once: one aggregate per plan keeps, for each
+    step, whether some row reaches it and whether a reaching row fails a
+    group-wise check; the group-wide verdicts (W4, W5) are then window
+    maxima over those per-plan rows.  A group failing W4 reaches no later
+    step, so W5's verdict only needs rows passing the row-level steps.
+    """
+    ids = list(dict.fromkeys([*keys, *NAME_KEYS]))
+    k1, k3, k4 = F.col("k1"), F.col("k3"), F.col("k4")
+    per_plan = flagged.groupBy(*ids).agg(
+        F.max(k1).alias("a1"),
+        F.max(k1 & k3).alias("a3"),
+        F.max(k1 & k3 & k4).alias("a4"),
+        F.max(F.when(k1, F.col("eb"))).alias("e2"),
+        F.max(F.when(k1 & k3 & k4, F.col("nb"))).alias("e5"),
     )
-    per_plan = rows.groupBy(*keys).agg(
-        *[F.max(f"s{i}").alias(f"s{i}") for i in range(1, 6)]
+    w = Window.partitionBy(*NAME_KEYS)
+    g2 = F.coalesce(F.max("e2").over(w), F.lit(False))
+    g5 = F.coalesce(F.max("e5").over(w), F.lit(False))
+    staged = per_plan.select(
+        *ids,
+        F.col("a1").alias("s1"),
+        (F.col("a1") & ~g2).alias("s2"),
+        (F.col("a3") & ~g2).alias("s3"),
+        (F.col("a4") & ~g2).alias("s4"),
+        (F.col("a4") & ~g2 & ~g5).alias("s5"),
     )
-    counts = per_plan.agg(
+    if list(keys) != ids:
+        staged = staged.groupBy(*keys).agg(*[F.max(f"s{i}").alias(f"s{i}") for i in range(1, 6)])
+    counts = staged.agg(
         F.count(F.lit(1)).alias("n0"),
         *[F.count(F.when(F.col(f"s{i}"), 1)).alias(f"n{i}") for i in range(1, 6)],
     )

@@ -353,6 +353,10 @@ def q_filter_funnel(spark, sf):
     return quality.filter_funnel(rates(spark, sf))
 
 
+def q_filter_funnel_cells(spark, sf):
+    return quality.filter_funnel_cells(nested.rate_cells(plans(spark, sf)))
+
+
 def q_validation_report(spark, sf):
     p = plans(spark, sf)
     return validate.validation_report(p, end_to_end.published_rates(p, drop_negative=True))

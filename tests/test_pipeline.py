@@ -199,4 +199,4 @@ def test_cell_validation_equals_long_validation(spark):
     a = sorted(tuple(r) for r in validate.validation_report(plans, long).collect())
     b = sorted(tuple(r) for r in validate.validation_report_cells(plans, dup_cells).collect())
     assert a == b
-    assert dict((r["step"], r["n_failed"]) for r in a)[3] == 2 * 576
+    assert dict((r[0], r[4]) for r in a)[3] == 2 * 576
