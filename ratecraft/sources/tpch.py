@@ -216,4 +216,14 @@ def plan_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "energyWeekdaySched": F.col("_e_wd"),
         "energyWeekendSched": F.col("_e_we"),
     }
-    return rec.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in PLAN_SCHEMA.fields])
+    raw = rec.select(*[cols[f.name].alias(f.name) for f in PLAN_SCHEMA.fields])
+    # Cast only where the type differs beyond nullability: a cast between
+    # nested types that differ only in nullability copies every element.
+    return raw.select(
+        *[
+            F.col(f.name)
+            if raw.schema[f.name].dataType.simpleString() == f.dataType.simpleString()
+            else F.col(f.name).cast(f.dataType).alias(f.name)
+            for f in PLAN_SCHEMA.fields
+        ]
+    )
