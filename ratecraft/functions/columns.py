@@ -7,13 +7,13 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..constants import INSTANT_PATTERN  # noqa: F401  (re-exported)
+
 
 def inf() -> Column:
     return F.lit(float("inf"))
 
 
-# Timestamp layout of the plan files ("%Y-%m-%dT%H:%M:%SZ").
-INSTANT_PATTERN = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
 def col_of(c: str | Column) -> Column:

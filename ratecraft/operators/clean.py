@@ -19,18 +19,24 @@ from ..functions.columns import (
     parse_instant,
     zero_matrix,
 )
+from ..constants import (
+    BOUND_FILL,
+    DAILY_UNIT,
+    DAYS_PER_MONTH,
+    DEFAULT_SECTOR,
+    FIXED_CHARGE_FILL,
+    LEGACY_SCHEDULE_FILL,
+    MONTHLY_UNIT,
+    SCHEDULE_FILL,
+)
 from ..schema import CLEAN_COLUMNS, NAME_KEYS, SCHEDULE_COLUMNS
 
-# Fixed values (reference constants).
-DAYS_PER_MONTH = 30.4375
-DAILY_UNIT = "$/day"
-MONTHLY_UNIT = "$/month"
 BOUND_COLUMNS = ["demandMin", "demandMax", "energyMin", "energyMax"]
 REQUIRED_FOR_IN_EFFECT = ["utilityName", "rateName", "effectiveDate_year", "endDate"]
 
 
 # --- P1 -------------------------------------------------------------------
-def sector_filter(df: DataFrame, sector: str = "Commercial") -> DataFrame:
+def sector_filter(df: DataFrame, sector: str = DEFAULT_SECTOR) -> DataFrame:
     """Keep one sector; NULL sector is dropped. Pushed into the scan."""
     return df.where(F.col("sector") == F.lit(sector))
 
@@ -150,7 +156,7 @@ def plans_in_effect(df: DataFrame, keys: Sequence[str] = ("eiaId", "utilityName"
 
 
 # --- P4 -------------------------------------------------------------------
-def fill_bounds(df: DataFrame, fill: float = -1.0) -> DataFrame:
+def fill_bounds(df: DataFrame, fill: float = BOUND_FILL) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(fill)) for c in BOUND_COLUMNS})
 
 
@@ -158,7 +164,7 @@ def fill_bounds(df: DataFrame, fill: float = -1.0) -> DataFrame:
 def fill_fixed_charge(df: DataFrame, unit: str = MONTHLY_UNIT) -> DataFrame:
     return df.withColumns(
         {
-            "fixedChargeFirstMeter": F.coalesce(F.col("fixedChargeFirstMeter"), F.lit(0.0)),
+            "fixedChargeFirstMeter": F.coalesce(F.col("fixedChargeFirstMeter"), F.lit(FIXED_CHARGE_FILL)),
             "fixedChargeUnits": F.coalesce(F.col("fixedChargeUnits"), F.lit(unit)),
         }
     )
@@ -187,7 +193,7 @@ def empty_to_null(df: DataFrame) -> DataFrame:
 
 
 # --- P9 -------------------------------------------------------------------
-def default_schedule(df: DataFrame, fill: int = 0) -> DataFrame:
+def default_schedule(df: DataFrame, fill: int = SCHEDULE_FILL) -> DataFrame:
     """Missing 12x24 schedules become a matrix of ``fill`` (flat months untouched)."""
     return df.withColumns(
         {c: F.coalesce(F.col(c), zero_matrix(fill=fill)) for c in SCHEDULE_COLUMNS if c in df.columns}
@@ -195,7 +201,7 @@ def default_schedule(df: DataFrame, fill: int = 0) -> DataFrame:
 
 
 # --- S5 (legacy defaulting of missing structures) --------------------------
-def default_structures(df: DataFrame, fill: int = 1) -> DataFrame:
+def default_structures(df: DataFrame, fill: int = LEGACY_SCHEDULE_FILL) -> DataFrame:
     """Missing schedules -> 12x24 of ``fill``; months -> 12 x ``fill``;
     missing structures -> one period with one tier of rate 0."""
 
@@ -224,7 +230,7 @@ def default_structures(df: DataFrame, fill: int = 1) -> DataFrame:
 
 
 # --- P17 ------------------------------------------------------------------
-def clean_plans(df: DataFrame, sector: str = "Commercial") -> DataFrame:
+def clean_plans(df: DataFrame, sector: str = DEFAULT_SECTOR) -> DataFrame:
     """Sector filter, dates, newest revision, date parts, plans in effect,
     bounds, fixed charges, daily->monthly, empty->NULL, default schedules."""
     return (

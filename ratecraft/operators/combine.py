@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..constants import PEAK_DEMAND_KW
 from ..functions.columns import distinct_count_with_null, null_safe_left_join
 from ..schema import PLAN_KEYS, PLAN_KEYS_SECTOR
 
@@ -53,7 +54,7 @@ def with_multi_unit(combo: DataFrame, keys=tuple(PLAN_KEYS_SECTOR)) -> DataFrame
 
 # --- J4 -------------------------------------------------------------------
 def demand_total(
-    sched: DataFrame, demand_cost: DataFrame, flat_cost: DataFrame, peak_kw: float = 500.0
+    sched: DataFrame, demand_cost: DataFrame, flat_cost: DataFrame, peak_kw: float = PEAK_DEMAND_KW
 ) -> DataFrame:
     out = null_safe_left_join(sched, demand_cost, [*PLAN_KEYS, "period"])
     out = null_safe_left_join(out, flat_cost, [*PLAN_KEYS, "month"])

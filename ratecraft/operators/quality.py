@@ -13,17 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..constants import ENERGY_RATE_LIMIT, FIXED_CHARGE_LIMIT, IRRELEVANT_PATTERN, IRRIGATION_PATTERN
 from ..functions.columns import null_safe_left_join
 from ..schema import COUNT_KEYS, NAME_KEYS
 
-# Fixed values (reference constants).
-FIXED_CHARGE_LIMIT = 10000.0
-ENERGY_RATE_LIMIT = 100.0
-IRRELEVANT_PATTERN = (
-    "irrigation|agricultur|agribusiness|pumping|furnace|heating|conditioning|catfish"
-)
-IRRIGATION_PATTERN = "irrigation|agricultur|agribusiness|pumping|furnace|heating|conditioning"
-
 
 # --- P12 ------------------------------------------------------------------
 def drop_high_fixed(df: DataFrame, limit: float = FIXED_CHARGE_LIMIT) -> DataFrame:

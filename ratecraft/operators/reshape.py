@@ -14,11 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import col_of
+from ..constants import DEFAULT_ENERGY_UNIT, WEEKDAY, WEEKEND
 from ..schema import PLAN_KEYS_SECTOR
 
-WEEKDAY = "Weekday"
-WEEKEND = "Weekend"
-
 
 def matrix_cells(matrix: str | Column, offset: int = 1, label: str | None = None) -> Column:
     """array<struct<[week_part,] month, hour, period>> of a 12x24 matrix.
@@ -147,7 +145,7 @@ def reformat_energy(df: DataFrame) -> DataFrame:
 # --- W3 -------------------------------------------------------------------
 def fill_units(
     df: DataFrame,
-    default: str = "kWh",
+    default: str = DEFAULT_ENERGY_UNIT,
     group: Sequence[str] = ("rateName", "utilityName"),
     order: Sequence[str] = ("eiaId", "sector", "period", "tier"),
 ) -> DataFrame:

@@ -11,15 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..constants import ENERGY_RATE_CHECK, EXCLUDED_NAMES, FIXED_CHARGE_CHECK
 from ..functions.columns import count_if, not_true
 from ..schema import COUNT_KEYS
-
-# Fixed values (reference constants).
-FIXED_CHARGE_CHECK = 10000.0
-ENERGY_RATE_CHECK = 100.0
-EXCLUDED_NAMES = (
-    "agriculture|agricultural|agribusiness|pumping|irrigation|furnace|heating|conditioning|catfish"
-)
 UNIQUE_KEYS = ["eiaId", "utilityName", "rateName", "month", "week_part", "hour"]
 CRITICAL_STEPS = 4
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from ..constants import MONTHLY_USAGE_KWH, PEAK_DEMAND_KW
 from ..functions.columns import parse_instant
 from ..operators import clean, combine, profile, quality, reshape, validate, waterfall
 from ..session import ensure_utc, scratch_path
@@ -269,8 +270,8 @@ def q_tier_waterfall(spark, sf):
     out = waterfall.tier_waterfall(
         tiers,
         ["eiaId", "rateName", "utilityName", "multi_unit", "period"],
-        F.lit(2000.0),
-        cap * waterfall.energy_cap_scale(F.col("unit"), 500.0),
+        F.lit(MONTHLY_USAGE_KWH),
+        cap * waterfall.energy_cap_scale(F.col("unit"), PEAK_DEMAND_KW),
         order=["tier", "unit", "max", "total_rate"],
     )
     return rounded(

@@ -23,8 +23,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.quality import ENERGY_RATE_LIMIT, FIXED_CHARGE_LIMIT, IRRELEVANT_PATTERN
-from ..operators.waterfall import HP_PER_KW_DIVISOR, KVA_PER_KW_DIVISOR
+from ..constants import (
+    DEFAULT_DEMAND_UNIT,
+    DEFAULT_ENERGY_UNIT,
+    ENERGY_RATE_LIMIT,
+    FIXED_CHARGE_LIMIT,
+    HP_PER_KW_DIVISOR,
+    IRRELEVANT_PATTERN,
+    KVA_PER_KW_DIVISOR,
+    MONTHLY_USAGE_KWH,
+    PEAK_DEMAND_KW,
+    WEEKDAY,
+    WEEKEND,
+)
 from ..schema import PLAN_KEYS
 
 INF = "CAST('Infinity' AS DOUBLE)"
@@ -54,7 +65,7 @@ def _entries(strux: str, tiers: str, period_base: int, null_period: str, null_ti
     )
 
 
-def _fill_units(entries: str, default: str = "kWh") -> str:
+def _fill_units(entries: str, default: str = DEFAULT_ENERGY_UNIT) -> str:
     """Fill ``unit`` down the flat tier list, then default."""
     rebuilt = (
         "named_struct('period', x.period, 'tier', x.tier, 'rate', x.rate, 'cap', x.cap, "
@@ -103,7 +114,9 @@ def _periods_of(weekday: str, weekend: str) -> str:
     )
 
 
-def rate_cells(plans: DataFrame, monthly_kwh: float = 2000.0, peak_kw: float = 500.0) -> DataFrame:
+def rate_cells(
+    plans: DataFrame, monthly_kwh: float = MONTHLY_USAGE_KWH, peak_kw: float = PEAK_DEMAND_KW
+) -> DataFrame:
     """Plan rows with ``cells``: the hourly rate records of the plan.
 
     ``cells`` = array<struct<week_part, month, hour, demand_period,
@@ -120,9 +133,10 @@ def rate_cells(plans: DataFrame, monthly_kwh: float = 2000.0, peak_kw: float = 5
 
     def d_target(units: str) -> str:
         return (
-            f"CASE WHEN coalesce({units}, 'kW') = 'kW' THEN {peak}D "
-            f"WHEN coalesce({units}, 'kW') = 'hp' THEN {peak / HP_PER_KW_DIVISOR}D "
-            f"WHEN coalesce({units}, 'kW') = 'kVA' THEN {peak / KVA_PER_KW_DIVISOR}D ELSE {peak}D END"
+            f"CASE WHEN coalesce({units}, '{DEFAULT_DEMAND_UNIT}') = 'kW' THEN {peak}D "
+            f"WHEN coalesce({units}, '{DEFAULT_DEMAND_UNIT}') = 'hp' THEN {peak / HP_PER_KW_DIVISOR}D "
+            f"WHEN coalesce({units}, '{DEFAULT_DEMAND_UNIT}') = 'kVA' THEN {peak / KVA_PER_KW_DIVISOR}D "
+            f"ELSE {peak}D END"
         )
 
     staged = plans.select(
@@ -179,8 +193,8 @@ def rate_cells(plans: DataFrame, monthly_kwh: float = 2000.0, peak_kw: float = 5
         "transform(array(named_struct('erate', _erate, 'dcost', _dcost, 'fcost', _fcost, 'multi', _multi)), "
         "ctx -> concat({}, {}))[0]"
     ).format(
-        cells("Weekday", "demandWeekdaySched", "energyWeekdaySched"),
-        cells("Weekend", "demandWeekendSched", "energyWeekendSched"),
+        cells(WEEKDAY, "demandWeekdaySched", "energyWeekdaySched"),
+        cells(WEEKEND, "demandWeekendSched", "energyWeekendSched"),
     )
     return costed.select(
         *PLAN_KEYS,
@@ -288,7 +302,7 @@ def rate_matrices(df: DataFrame) -> DataFrame:
                 f"map_from_entries(transform(filter(cells, c -> c.week_part = '{wp}'), "
                 f"c -> struct(c.month * 100 + c.hour, c)))"
             ).alias(f"_cellmap_{wp}")
-            for wp in ("Weekday", "Weekend")
+            for wp in (WEEKDAY, WEEKEND)
         ],
     )
     return keyed.select(
@@ -296,8 +310,8 @@ def rate_matrices(df: DataFrame) -> DataFrame:
         F.col("rateName").alias("name"),
         F.col("utilityName").alias("utility"),
         F.col("fixedChargeFirstMeter").alias("fixedchargefirstmeter"),
-        F.expr(matrix("Weekday", "total_demand_rate")).alias("totaldemandweekdayschedule"),
-        F.expr(matrix("Weekend", "total_demand_rate")).alias("totaldemandweekendschedule"),
-        F.expr(matrix("Weekday", "total_energy_rate")).alias("energyweekdayschedule"),
-        F.expr(matrix("Weekend", "total_energy_rate")).alias("energyweekendschedule"),
+        F.expr(matrix(WEEKDAY, "total_demand_rate")).alias("totaldemandweekdayschedule"),
+        F.expr(matrix(WEEKEND, "total_demand_rate")).alias("totaldemandweekendschedule"),
+        F.expr(matrix(WEEKDAY, "total_energy_rate")).alias("energyweekdayschedule"),
+        F.expr(matrix(WEEKEND, "total_energy_rate")).alias("energyweekendschedule"),
     )

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from ..constants import MONTHLY_USAGE_KWH, PEAK_DEMAND_KW
 from ..operators import combine, quality, reshape, waterfall
 from ..schema import PLAN_KEYS_SECTOR
 
@@ -22,8 +23,8 @@ class Load:
     """Customer load used by every levelizer (one object, so the peak used
     for allocation and for the final division can never disagree)."""
 
-    monthly_kwh: float = 2000.0
-    peak_kw: float = 500.0
+    monthly_kwh: float = MONTHLY_USAGE_KWH
+    peak_kw: float = PEAK_DEMAND_KW
 
 
 def schedules(plans: DataFrame) -> dict[str, DataFrame]:

@@ -13,10 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..constants import JSON_DECIMALS, WEEKDAY, WEEKEND
 from ..schema import PLAN_SCHEMA
 
-JSON_DECIMALS = 4  # fixed value: the published JSON keeps 4 decimals
-
 
 # --- S1 -------------------------------------------------------------------
 def read_plans(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -63,7 +62,7 @@ def nested_rates(rates: DataFrame) -> DataFrame:
                     )
                 )
             ).alias(f"_m_{wp}")
-            for wp in ("Weekday", "Weekend")
+            for wp in (WEEKDAY, WEEKEND)
         ]
     )
 
@@ -78,10 +77,10 @@ def nested_rates(rates: DataFrame) -> DataFrame:
         F.col("rateName").alias("name"),
         F.col("utilityName").alias("utility"),
         F.col("fixedChargeFirstMeter").alias("fixedchargefirstmeter"),
-        matrix("Weekday", "total_demand_rate").alias("totaldemandweekdayschedule"),
-        matrix("Weekend", "total_demand_rate").alias("totaldemandweekendschedule"),
-        matrix("Weekday", "total_energy_rate").alias("energyweekdayschedule"),
-        matrix("Weekend", "total_energy_rate").alias("energyweekendschedule"),
+        matrix(WEEKDAY, "total_demand_rate").alias("totaldemandweekdayschedule"),
+        matrix(WEEKEND, "total_demand_rate").alias("totaldemandweekendschedule"),
+        matrix(WEEKDAY, "total_energy_rate").alias("energyweekdayschedule"),
+        matrix(WEEKEND, "total_energy_rate").alias("energyweekendschedule"),
     )
 
 
@@ -104,8 +103,8 @@ def matrices_to_long(df: DataFrame) -> DataFrame:
         )
 
     both = F.concat(
-        cells("totaldemandweekdayschedule", "energyweekdayschedule", "Weekday"),
-        cells("totaldemandweekendschedule", "energyweekendschedule", "Weekend"),
+        cells("totaldemandweekdayschedule", "energyweekdayschedule", WEEKDAY),
+        cells("totaldemandweekendschedule", "energyweekendschedule", WEEKEND),
     )
     return df.select("eiaid", "name", "utility", "fixedchargefirstmeter", F.inline(both))
 
