@@ -200,3 +200,13 @@ def test_cell_validation_equals_long_validation(spark):
     b = sorted(tuple(r) for r in validate.validation_report_cells(plans, dup_cells).collect())
     assert a == b
     assert dict((r[0], r[4]) for r in a)[3] == 2 * 576
+
+
+def test_json_array_document_scan(spark, tmp_path):
+    """One JSON array document (the reference's input shape) with multiLine."""
+    doc = tmp_path / "plans.json"
+    doc.write_text(json.dumps([F1, _variant(label="b", rateName="Other")], indent=2))
+    recs = publish.read_plans(spark, str(doc), multi_line=True)
+    assert sorted(r["rateName"] for r in recs.collect()) == ["GS-1", "Other"]
+    landed = publish.land_plans(recs, str(tmp_path / "landed"))
+    assert spark.read.parquet(landed).count() == 2
