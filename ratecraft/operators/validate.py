@@ -48,12 +48,20 @@ def validation_report(
         F.count_distinct(F.struct(*COUNT_KEYS)).alias("n_out"),
     )
     n_in = input_plans.select(*COUNT_KEYS).distinct().agg(F.count(F.lit(1)).alias("n_in"))
-    # Both sides are single-row aggregates; join them on a constant key.
-    one = totals.withColumn("_k", F.lit(1)).join(n_in.withColumn("_k", F.lit(1)), "_k")
+    one = _one_row(totals, n_in)
 
     return _steps(one)
 
 
+def _one_row(*parts: DataFrame) -> DataFrame:
+    """Merge single-row aggregates with disjoint columns into one row
+    (union, then a global max; no join)."""
+    merged = parts[0]
+    for p in parts[1:]:
+        merged = merged.unionByName(p, allowMissingColumns=True)
+    return merged.agg(*[F.max(c).alias(c) for c in merged.columns])
+
+
 def _steps(one: DataFrame) -> DataFrame:
     def step(i, name, severity, failed):
         return F.struct(
@@ -136,9 +144,4 @@ def validation_report_cells(
         .agg(F.coalesce(F.sum(F.when(F.col("c") > 1, F.col("c"))), F.lit(0)).cast("long").alias("f3"))
     )
     n_in = input_plans.select(*COUNT_KEYS).distinct().agg(F.count(F.lit(1)).alias("n_in"))
-    one = (
-        totals.withColumn("_k", F.lit(1))
-        .join(dup.withColumn("_k", F.lit(1)), "_k")
-        .join(n_in.withColumn("_k", F.lit(1)), "_k")
-    )
-    return _steps(one)
+    return _steps(_one_row(totals, dup, n_in))
