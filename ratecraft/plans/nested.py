@@ -37,6 +37,7 @@ from ..constants import (
     WEEKEND,
 )
 from ..schema import PLAN_KEYS
+from ..sources.publish import grid_matrix_sql
 
 INF = "CAST('Infinity' AS DOUBLE)"
 ENTRY = "struct<period:int,tier:int,rate:double,cap:double,unit:string>"
@@ -289,19 +290,16 @@ def rate_matrices(df: DataFrame) -> DataFrame:
     """R1/R2 from plan rows: four 12x24 matrices per plan, missing cell -> 0."""
 
     def matrix(label: str, field: str) -> str:
-        return (
-            f"transform(sequence(1, 12), m -> transform(sequence(1, 24), h -> coalesce("
-            f"try_element_at(_cellmap_{label}, m * 100 + h).{field}, 0D)))"
-        )
+        return grid_matrix_sql(f"_cells_{label}", field)
 
     keyed = df.select(
         *PLAN_KEYS,
         "fixedChargeFirstMeter",
         *[
             F.expr(
-                f"map_from_entries(transform(filter(cells, c -> c.week_part = '{wp}'), "
-                f"c -> struct(c.month * 100 + c.hour, c)))"
-            ).alias(f"_cellmap_{wp}")
+                f"array_sort(transform(filter(cells, c -> c.week_part = '{wp}'), "
+                f"c -> named_struct('k', c.month * 100 + c.hour, 'v', c)))"
+            ).alias(f"_cells_{wp}")
             for wp in (WEEKDAY, WEEKEND)
         ],
     )

@@ -37,6 +37,30 @@ def read_rates_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# --- R1 / R2 ----------------------------------------------------------------
+def grid_matrix_sql(cells: str, field: str) -> str:
+    """SQL for a 12x24 matrix from ``cells``: array<struct<k: month*100+hour, v>>
+    sorted by ``k``; a missing cell or NULL value gives 0.
+
+    When the cells form the complete grid (the normal case) they are read
+    by position; only a ragged grid falls back to map lookups, which Spark
+    performs by linear scan.
+    """
+    complete = (
+        f"(size({cells}) = 288 AND forall(zip_with({cells}, sequence(0, 287), "
+        f"(e, i) -> e.k = (i div 24 + 1) * 100 + i % 24 + 1), b -> b))"
+    )
+    by_position = (
+        f"transform(sequence(0, 11), m -> transform(sequence(0, 23), h -> "
+        f"coalesce(get({cells}, m * 24 + h).v.{field}, 0D)))"
+    )
+    by_key = (
+        f"transform(array(map_from_entries({cells})), mp -> transform(sequence(1, 12), m -> "
+        f"transform(sequence(1, 24), h -> coalesce(try_element_at(mp, m * 100 + h).{field}, 0D))))[0]"
+    )
+    return f"IF({complete}, {by_position}, {by_key})"
+
+
 # --- R1 / R2 (relational form) --------------------------------------------
 def nested_rates(rates: DataFrame) -> DataFrame:
     """Hourly long table -> one row per plan with four 12x24 matrices.
@@ -54,7 +78,7 @@ def nested_rates(rates: DataFrame) -> DataFrame:
     )
     keyed = cell.groupBy(*plan).agg(
         *[
-            F.map_from_entries(
+            F.array_sort(
                 F.collect_list(
                     F.when(
                         F.col("week_part") == wp,
@@ -67,10 +91,7 @@ def nested_rates(rates: DataFrame) -> DataFrame:
     )
 
     def matrix(wp: str, field: str):
-        return F.expr(
-            f"transform(sequence(1, 12), m -> transform(sequence(1, 24), h -> "
-            f"coalesce(try_element_at(_m_{wp}, m * 100 + h).{field}, 0D)))"
-        )
+        return F.expr(grid_matrix_sql(f"_m_{wp}", field))
 
     return keyed.select(
         F.col("eiaId").alias("eiaid"),

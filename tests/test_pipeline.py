@@ -210,3 +210,15 @@ def test_json_array_document_scan(spark, tmp_path):
     assert sorted(r["rateName"] for r in recs.collect()) == ["GS-1", "Other"]
     landed = publish.land_plans(recs, str(tmp_path / "landed"))
     assert spark.read.parquet(landed).count() == 2
+
+
+def test_grid_matrix_positional_and_ragged(spark):
+    full = [(m * 100 + h, float(m * 100 + h)) for m in range(1, 13) for h in range(1, 25)]
+    ragged = [c for c in full if c[0] != 507] + [(1301, 9.0)]  # one cell missing, one off-grid
+    df = spark.createDataFrame([(full,), (ragged,)], "cells array<struct<k:int, x:double>>").select(
+        F.expr("transform(cells, c -> named_struct('k', c.k, 'v', named_struct('x', c.x)))").alias("cells")
+    )
+    got = df.select(F.expr(publish.grid_matrix_sql("cells", "x")).alias("m")).collect()
+    a, b = got[0]["m"], got[1]["m"]
+    assert a[4][6] == 507.0 and a[11][23] == 1224.0
+    assert b[4][6] == 0.0 and b[0][0] == 101.0 and b[11][23] == 1224.0
