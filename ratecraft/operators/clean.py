@@ -137,16 +137,28 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
 
 
 # --- K2 -------------------------------------------------------------------
-def plans_in_effect(df: DataFrame, keys: Sequence[str] = ("eiaId", "utilityName")) -> DataFrame:
+def newest_years(df: DataFrame, keys: Sequence[str] = ("eiaId", "utilityName")) -> DataFrame:
+    """Newest ``revision_year`` per group (map-side combined aggregate)."""
+    return df.groupBy(*keys).agg(F.max("revision_year").alias("_newest"))
+
+
+def plans_in_effect(
+    df: DataFrame,
+    keys: Sequence[str] = ("eiaId", "utilityName"),
+    newest: DataFrame | None = None,
+) -> DataFrame:
     """Per (eiaId, utilityName) keep every row of the newest revision year.
 
     NULL keys form their own group.  The group maximum is a map-side
     combined aggregate joined back on ``<=>`` keys (AQE: broadcast when
     small, skew split otherwise), so a hot utility never lands in one task.
+    ``newest`` may be supplied (see ``clean_plans``) so that ``df`` is not
+    evaluated twice.
     """
     require_columns(df, REQUIRED_FOR_IN_EFFECT)
     df = end_date_as_date(df)
-    newest = df.groupBy(*keys).agg(F.max("revision_year").alias("_newest"))
+    if newest is None:
+        newest = newest_years(df, keys)
     return (
         null_safe_left_join(df, newest, list(keys), how="inner")
         .where(F.col("revision_year").eqNullSafe(F.col("_newest")))
@@ -232,13 +244,26 @@ def default_structures(df: DataFrame, fill: int = LEGACY_SCHEDULE_FILL) -> DataF
 # --- P17 ------------------------------------------------------------------
 def clean_plans(df: DataFrame, sector: str = DEFAULT_SECTOR) -> DataFrame:
     """Sector filter, dates, newest revision, date parts, plans in effect,
-    bounds, fixed charges, daily->monthly, empty->NULL, default schedules."""
+    bounds, fixed charges, daily->monthly, empty->NULL, default schedules.
+
+    K2 needs the newest year per (eiaId, utilityName) over the K1 winners.
+    Those winners' eiaId and revision date are decided by the flat columns
+    alone (the nested-column hash only orders records whose flat columns
+    are all equal), so the group maximum comes from a K1 pass over the flat
+    columns, and the full records go through K1 and its shuffle only once.
+    """
+    dated = df.transform(sector_filter, sector=sector).transform(parse_dates)
+    nested_cols = [
+        f.name
+        for f in dated.schema.fields
+        if f.dataType.typeName() in ("array", "map", "struct") and f.name != "revisions"
+    ]
+    light = dated.drop(*nested_cols).transform(latest_revision)
+    newest = newest_years(light.withColumn("revision_year", F.year("revision_date")))
     return (
-        df.transform(sector_filter, sector=sector)
-        .transform(parse_dates)
-        .transform(latest_revision)
+        dated.transform(latest_revision)
         .transform(date_parts)
-        .transform(plans_in_effect)
+        .transform(plans_in_effect, newest=newest)
         .transform(fill_bounds)
         .transform(fill_fixed_charge)
         .transform(daily_to_monthly)

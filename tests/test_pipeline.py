@@ -222,3 +222,23 @@ def test_grid_matrix_positional_and_ragged(spark):
     a, b = got[0]["m"], got[1]["m"]
     assert a[4][6] == 507.0 and a[11][23] == 1224.0
     assert b[4][6] == 0.0 and b[0][0] == 101.0 and b[11][23] == 1224.0
+
+
+def test_clean_plans_without_labels_matches_stepwise(spark):
+    """K1/K2 in clean_plans (light pass for the group maximum) equal the
+    step-by-step operators, also when record ids are missing."""
+    recs = [
+        _variant(label=None, rateName="Tie", eiaId=5),
+        _variant(label=None, rateName="Tie", eiaId=6),
+        _variant(label=None, rateName="Old", revisions=[{"date": "2019-01-01T00:00:00Z"}]),
+        F1,
+    ]
+    df = _read(spark, recs)
+    a = end_to_end.clean_plans(df).select("eiaId", "rateName", "revision_year")
+    b = (
+        df.transform(clean.sector_filter).transform(clean.parse_dates).transform(clean.latest_revision)
+        .transform(clean.date_parts).transform(clean.plans_in_effect)
+        .select("eiaId", "rateName", "revision_year")
+    )
+    assert sorted(a.collect()) == sorted(b.collect())
+    assert a.where("rateName = 'Tie'").count() == 1
