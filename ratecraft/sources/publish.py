@@ -120,7 +120,8 @@ def matrices_to_long(df: DataFrame) -> DataFrame:
         return F.expr(
             f"flatten(transform(sequence(1, 12), m -> transform(sequence(1, 24), h -> named_struct("
             f"'week_part', '{label}', 'month', m, 'hour', h, "
-            f"'total_demand_rate', {demand}[m - 1][h - 1], 'total_energy_rate', {energy}[m - 1][h - 1]))))"
+            f"'total_demand_rate', get(get({demand}, m - 1), h - 1), "
+            f"'total_energy_rate', get(get({energy}, m - 1), h - 1)))))"
         )
 
     both = F.concat(
