@@ -40,3 +40,22 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     assert "ReadSchema: struct<o_orderkey:bigint" in plan
     assert "l_shipdate" not in plan  # unused lineitem column never read
     assert orders.count() > 0
+
+
+def test_results_do_not_depend_on_session_settings(spark):
+    """Same hourly table with ANSI off, another session time zone and
+    another shuffle width (the caller's session may differ from ours)."""
+    from ratecraft.plans import catalog
+
+    base = catalog.q_published_rates(spark, SF).collect()
+    old = {k: spark.conf.get(k) for k in ("spark.sql.ansi.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "37")
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        other = catalog.q_published_rates(spark, SF).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert sorted(map(tuple, base)) == sorted(map(tuple, other))
