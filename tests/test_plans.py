@@ -58,4 +58,4 @@ def test_results_do_not_depend_on_session_settings(spark):
         for k, v in old.items():
             spark.conf.set(k, v)
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    assert sorted(map(tuple, base)) == sorted(map(tuple, other))
+    assert sorted(map(repr, base)) == sorted(map(repr, other))
