@@ -3,7 +3,7 @@
 Every explode here is a narrow operator: rows of one plan never leave the
 partition that holds the plan.  Matrices are flattened with higher-order
 functions and a single ``inline``, so one generator produces all 576 rows
-of a plan inside one codegen stage.
+of a plan in one pass, with no shuffle.
 """
 
 from __future__ import annotations

@@ -1,9 +1,12 @@
 """Dataset-level validation of the published hourly table (V1-V8).
 
-One aggregate pass covers the row checks (V1, V2, V4-V6), one grouped
-count covers uniqueness (V3), two distinct counts cover V7.  The result is
-a small table ``(step, check, severity, n, n_failed, passed)``; V8 raises
-after the table has been computed (and, if asked, written).
+``validation_report`` (long table): one grouped pass over the hourly keys
+counts the row checks (V1, V2, V4-V6) and the copies (V3) together, and a
+second, global pass sums them; V7 compares two distinct plan counts.
+``validation_report_cells`` computes the same from plan rows without
+shuffling the hourly table.  The result is a small table ``(step,
+check_name, severity, n, n_failed, passed)``; V8 (``enforce``) raises after
+the table has been computed.
 """
 
 from __future__ import annotations
