@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import clean
 from . import nested
@@ -33,3 +34,41 @@ def published_rates(plans: DataFrame, load: Load = Load(), drop_negative: bool =
 def rate_json_rows(plans: DataFrame, load: Load = Load(), drop_negative: bool = False) -> DataFrame:
     """One row per plan with four 12x24 matrices (the JSON document rows)."""
     return nested.rate_matrices(nested.kept_plans(published_cells(plans, load, drop_negative)))
+
+
+def run_job(records: DataFrame, out_dir: str, load: Load = Load(), enforce: bool = True) -> dict:
+    """The reference's whole target graph as one Spark job.
+
+    Plans are cleaned and landed as Parquet; the published plan rows (after
+    P13, P12, W4, P14) are computed once and checkpointed into the shared
+    folder; the hourly Parquet table and the JSON matrix rows are written
+    from them; the validation report is computed on the rows that also pass
+    W5 (what the reference validates), written, and only then enforced (V8).
+    """
+    from ..operators import validate
+    from ..session import cut_lineage
+    from ..sources import publish
+
+    spark = records.sparkSession
+    paths = {
+        "plans": f"{out_dir}/plans",
+        "rates": f"{out_dir}/utility_rates",
+        "json": f"{out_dir}/utility_rates_json",
+        "report": f"{out_dir}/validation_report",
+    }
+    publish.land_plans(clean_plans(records), paths["plans"])
+    plans = spark.read.parquet(paths["plans"])
+    published = cut_lineage(nested.kept_plans(published_cells(plans, load, drop_negative=False)))
+    publish.write_rates_parquet(nested.explode_cells(published), paths["rates"])
+    publish.write_rates_json(nested.rate_matrices(published), paths["json"])
+    validated = published.where(
+        F.expr(
+            "forall(cells, c -> coalesce(c.total_energy_rate >= 0, true) "
+            "AND coalesce(c.total_demand_rate >= 0, true))"
+        )
+    )
+    report = validate.validation_report_cells(plans, validated)
+    report.write.mode("overwrite").json(paths["report"])
+    if enforce:
+        validate.enforce(spark.read.json(paths["report"]))
+    return paths

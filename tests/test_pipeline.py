@@ -242,3 +242,16 @@ def test_clean_plans_without_labels_matches_stepwise(spark):
     )
     assert sorted(a.collect()) == sorted(b.collect())
     assert a.where("rateName = 'Tie'").count() == 1
+
+
+def test_run_job_writes_all_outputs(spark, tmp_path):
+    from ratecraft.plans.end_to_end import run_job
+
+    recs = tpch.plan_records(spark, SF)
+    paths = run_job(recs, str(tmp_path / "out"))  # the gate passes on this data
+    rates = spark.read.parquet(paths["rates"])
+    expected = end_to_end.published_rates(end_to_end.clean_plans(recs))
+    assert rates.count() == expected.count() > 0
+    assert spark.read.json(paths["json"]).count() == rates.select("eiaId", "rateName", "utilityName").distinct().count()
+    report = {r["step"]: r["n_failed"] for r in spark.read.json(paths["report"]).collect()}
+    assert set(report) == set(range(1, 8)) and report[3] == 0
