@@ -1,6 +1,7 @@
 """Benchmark of the headline queries.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
+    (optional BENCH_EVENT_LOG_DIR=<folder> writes Spark's event log there)
 
 Prints one JSON line: {"metric", "value", "unit", "queries", "sf"}.
 
@@ -30,11 +31,15 @@ from ratecraft.sources import publish, tpch  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    extra = {"spark.driver.memory": "16g"}
+    event_dir = os.environ.get("BENCH_EVENT_LOG_DIR")  # optional: stage/task times without the UI
+    if event_dir:
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir})
     spark = build_session(
         f"local[{cpus}]",
         app_name="ratecraft-bench",
         shuffle_partitions=max(8, 2 * cpus),
-        extra={"spark.driver.memory": "16g"},
+        extra=extra,
     )
     times: dict[str, float] = {}
 
