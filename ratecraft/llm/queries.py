@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality
+from . import matrices, packing, quality, separators, sharding, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,38 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[F.col(f"_quality.{c}").alias(c) for c in names])
 
 
+def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per page, from the archives written and read back."""
+    return warc.deduplicate(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op5_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: its tokens (separator included), counted in the flat files."""
+    return separators.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op7_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: shard of 40, slot in it, and its shard of 41."""
+    return sharding.assign(table(spark, sf_dir, "documents"), shards=40)
+
+
+def op8_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per piece of a document: where it lies in which sequence."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op10_id_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per segment of the id matrices, as read back from the written table."""
+    return matrices.segments(matrices.write_matrices(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_warc_revisits": op2_warc_revisits,
+    "op5_separator_scan": op5_separator_scan,
+    "op7_jump_shards": op7_jump_shards,
+    "op8_nnls_packing": op8_nnls_packing,
+    "op10_id_matrices": op10_id_matrices,
 }

@@ -57,6 +57,8 @@ def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
 
 
 def resolve(uri: str) -> tuple[pafs.FileSystem, str]:
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = "file://" + uri[5:]  # Spark's spelling of local paths
     return pafs.FileSystem.from_uri(uri)
 
 
