@@ -1,3 +1,72 @@
-"""DuckDB SQL for those queries that SQL can express."""
+"""DuckDB SQL for those queries that SQL can express.
 
-ORACLE: dict[str, str] = {}
+The others (suffix-array verdict, quantised language model, hashes that DuckDB
+lacks, tokenizers, places in shards and sequences) are tested against
+brute-force versions in ``tests/llm``.
+"""
+
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+LOWER = "abcdefghijklmnopqrstuvwxyz"
+
+_WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, octet_length(encode(h)) AS n, sha1(h) AS s, min(page_id) OVER (PARTITION BY sha1(h)) AS o FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes,
+       translate(array_to_string(list_transform(range(8),
+           lambda i: lpad(to_base(('0x' || substr(s, 1 + 5 * i::INT, 5))::BIGINT, 32), 4, '0')), ''),
+         '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
+       CASE WHEN page_id > o THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > o THEN o END AS refers_to
+FROM q
+"""
+
+_INDEX = f"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                     '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+bw AS (SELECT item_id, w, least(13, len(w)) AS l FROM b WHERE len(w) > 0),
+win AS (
+  SELECT DISTINCT item_id, l, array_to_string(w[i:i + l - 1], ' ') AS g
+  FROM (SELECT item_id, w, l, unnest(range(1, len(w) - l + 2)) AS i FROM bw)),
+lens AS (SELECT DISTINCT l FROM win),
+dw AS (
+  SELECT doc_id, i, l, array_to_string(w[i:i + l - 1], ' ') AS g
+  FROM (SELECT doc_id, w, l, unnest(range(1, len(w) - l + 2)) AS i FROM d, lens WHERE len(w) >= l)),
+hit AS MATERIALIZED (SELECT doc_id, i, l, item_id FROM dw JOIN win USING (l, g)),
+cov AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + l)) AS p FROM hit) GROUP BY doc_id),
+it AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS x FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated
+FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
+
+_JACCARD = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, hash(g) AS g, sha1(g) AS g2 FROM (
+    SELECT doc_id, array_to_string(w[i:i + 2], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)
+    UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 2)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.g2 = b.g2 AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS MATERIALIZED (
+  SELECT x, y FROM pairs JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 90 * (nx.n + ny.n - c)),
+sym AS MATERIALIZED (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach(doc_id, r) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, sym.y FROM reach JOIN sym ON reach.r = sym.x)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.c AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(r) AS c FROM reach GROUP BY doc_id) m USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_warc_revisits": _WARC,
+    "op3_positional_index": _INDEX,
+    "op6_ngram_join": _JACCARD,
+}

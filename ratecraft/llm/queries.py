@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import matrices, packing, quality, separators, sharding, warc
+from . import jaccard, linededup, matrices, packing, postings, quality, separators, sharding, trie_lm, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,11 +27,30 @@ def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: words hit by benchmark windows, the items found, and the verdict."""
+    report = postings.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), slop=None)
+    return report.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op4_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: its log10 probability under the trie model and under the word counts."""
+    return trie_lm.fit_and_score(table(spark, sf_dir, "documents"))[0]
+
+
 def op5_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: its tokens (separator included), counted in the flat files."""
     return separators.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: size of its shingle set and its component."""
+    return jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op7_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: shard of 40, slot in it, and its shard of 41."""
     return sharding.assign(table(spark, sf_dir, "documents"), shards=40)
@@ -42,6 +61,17 @@ def op8_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op9_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: lines before, lines deleted, the deleted runs, and the checksum of what is left."""
+    done = linededup.deduplicate(table(spark, sf_dir, "documents"))
+    return done.select(
+        "doc_id", F.col("_lines.n_lines").alias("n_lines"), F.col("_lines.n_deleted").alias("n_deleted"),
+        F.coalesce("_lines.begins", F.expr("cast(array() as array<int>)")).alias("begins"),
+        F.coalesce("_lines.ends", F.expr("cast(array() as array<int>)")).alias("ends"),
+        F.crc32(F.coalesce("_lines.text", F.lit("")).cast("binary")).alias("text_crc32"),
+    )
+
+
 def op10_id_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per segment of the id matrices, as read back from the written table."""
     return matrices.segments(matrices.write_matrices(table(spark, sf_dir, "documents")))
@@ -50,8 +80,12 @@ def op10_id_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_warc_revisits": op2_warc_revisits,
+    "op3_positional_index": op3_positional_index,
+    "op4_trie_scores": op4_trie_scores,
     "op5_separator_scan": op5_separator_scan,
+    "op6_ngram_join": op6_ngram_join,
     "op7_jump_shards": op7_jump_shards,
     "op8_nnls_packing": op8_nnls_packing,
+    "op9_line_runs": op9_line_runs,
     "op10_id_matrices": op10_id_matrices,
 }
