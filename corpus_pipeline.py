@@ -8,8 +8,9 @@ folder and read again.  The last stage returns the packed pieces.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ratecraft.llm import quality, storage
+from ratecraft.llm import jaccard, linededup, packing, postings, quality, storage
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,8 +18,37 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated line runs are deleted; documents of which nothing is left go."""
+    done = linededup.deduplicate(docs)
+    text = F.col("_lines.text")
+    left = done.filter((F.col("_lines.n_deleted") == 0) | text.rlike(r"[^\x20\x09-\x0D]"))
+    return left.select(
+        *[text.alias(c) if c == "text" else F.length(text).cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
+    )
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays (that of the smallest id)."""
+    return jaccard.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold passages of the benchmark go."""
+    return postings.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents in their packed sequences."""
+    return packing.pack(docs)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("packing", pack),
 ]
 
 #: SQL can't express the suffix-array verdict; tests compare with a brute-force version.
