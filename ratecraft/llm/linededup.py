@@ -43,7 +43,7 @@ from pyspark.sql import types as T
 from . import text as tx
 from .storage import ship, stored
 
-MIN_WORDS = 30
+MIN_WORDS = 50
 #: Lists of lines to delete up to this many bytes are sent to all executors; larger ones are joined by a shuffle.
 SMALL_BYTES = 32 << 20
 
