@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from .sql import q
+from .sql import DIGEST_JOIN, digests, q
 
 RATE_COLS = (
     "eiaId, rateName, utilityName, round(fixedChargeFirstMeter, 6) AS fixedChargeFirstMeter, "
     "week_part, month, hour, demand_period, round(total_demand_rate, 6) AS total_demand_rate, "
     "multi_unit, energy_period, round(total_energy_rate, 6) AS total_energy_rate"
 )
-N_ENERGY_PERIODS = (
-    "CASE WHEN i.okey IS NULL THEN NULL WHEN i.has_o THEN 2 ELSE 1 END"
-)
+MONTHS = "CASE WHEN r.ckey % 19 = 0 THEN {null} WHEN r.ckey % 37 = 0 THEN {empty} ELSE m.months END"
 
 
 def _group_drop(src: str, cond: str) -> str:
@@ -21,12 +19,12 @@ def _group_drop(src: str, cond: str) -> str:
     )
 
 
-def _densified(src: str, decimals: int) -> str:
+def _densified(src: str, decimals: int, charge: str = "pl.fixedChargeFirstMeter") -> str:
     return q(
         f"""
 , pl AS (SELECT DISTINCT eiaId, rateName, utilityName, fixedChargeFirstMeter FROM {src})
 SELECT pl.eiaId AS eiaid, pl.rateName AS name, pl.utilityName AS utility,
-  pl.fixedChargeFirstMeter AS fixedchargefirstmeter, w.week_part, g.month, g.hour,
+  {charge} AS fixedchargefirstmeter, w.week_part, g.month, g.hour,
   round(coalesce(r.total_demand_rate, 0), {decimals}) AS total_demand_rate,
   round(coalesce(r.total_energy_rate, 0), {decimals}) AS total_energy_rate
 FROM pl CROSS JOIN weekparts w CROSS JOIN grid g
@@ -40,26 +38,87 @@ def _profile(keys: str, col: str, name: str) -> str:
     return q(f"SELECT {keys}, round(avg({col}), 6) AS {name} FROM published GROUP BY {keys}")
 
 
+FUNNEL = q(
+    """, s1 AS (SELECT * FROM rates WHERE fixedChargeFirstMeter < 10000)
+, s2 AS (SELECT * FROM s1 r WHERE NOT EXISTS (SELECT 1 FROM s1 b WHERE b.total_energy_rate > 100
+          AND b.utilityName IS NOT DISTINCT FROM r.utilityName AND b.rateName IS NOT DISTINCT FROM r.rateName))
+, s3 AS (SELECT * FROM s2 WHERE NOT regexp_matches(rateName,
+          '(?i)irrigation|agricultur|agribusiness|pumping|furnace|heating|conditioning|catfish'))
+, s4 AS (SELECT * FROM s3 WHERE multi_unit = false)
+, s5 AS (SELECT * FROM s4 r WHERE NOT EXISTS (SELECT 1 FROM s4 b WHERE (b.total_energy_rate < 0 OR b.total_demand_rate < 0)
+          AND b.utilityName IS NOT DISTINCT FROM r.utilityName AND b.rateName IS NOT DISTINCT FROM r.rateName))
+, n AS (
+  SELECT (SELECT count(*) FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM rates)) AS n0,
+         (SELECT count(*) FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM s1)) AS n1,
+         (SELECT count(*) FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM s2)) AS n2,
+         (SELECT count(*) FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM s3)) AS n3,
+         (SELECT count(*) FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM s4)) AS n4,
+         (SELECT count(*) FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM s5)) AS n5)
+SELECT CAST(step AS INTEGER) AS step, name, CAST(removed AS BIGINT) AS removed, CAST(remaining AS BIGINT) AS remaining
+FROM (
+  SELECT 1 AS step, 'high_fixed_charge' AS name, n0 - n1 AS removed, n1 AS remaining FROM n UNION ALL
+  SELECT 2, 'high_energy_rate', n1 - n2, n2 FROM n UNION ALL
+  SELECT 3, 'irrelevant_plans', n2 - n3, n3 FROM n UNION ALL
+  SELECT 4, 'multi_unit_plans', n3 - n4, n4 FROM n UNION ALL
+  SELECT 5, 'remove_negative_plans', n4 - n5, n5 FROM n)
+"""
+)
+
+
+def _validation(rows: str, fixed: str, energy: str) -> str:
+    return q(
+        f""", v AS ({rows})
+, agg AS (
+  SELECT count(*) AS n,
+    count(*) FILTER (WHERE NOT coalesce(fixedChargeFirstMeter <= {fixed}, false)) AS f1,
+    count(*) FILTER (WHERE NOT coalesce(total_energy_rate <= {energy}, false)) AS f2,
+    count(*) FILTER (WHERE NOT coalesce(NOT regexp_matches(rateName,
+      '(?i)agriculture|agricultural|agribusiness|pumping|irrigation|furnace|heating|conditioning|catfish'), false)) AS f4,
+    count(*) FILTER (WHERE NOT coalesce(total_demand_rate >= 0, false)) AS f5,
+    count(*) FILTER (WHERE NOT coalesce(total_energy_rate >= 0, false)) AS f6
+  FROM v)
+, dup AS (SELECT coalesce(sum(c) FILTER (WHERE c > 1), 0) AS f3 FROM (
+    SELECT count(*) AS c FROM v GROUP BY eiaId, utilityName, rateName, month, week_part, hour))
+, cnt AS (SELECT (SELECT count(*) FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM plans)) AS n_in,
+                 (SELECT count(*) FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM v)) AS n_out)
+SELECT CAST(step AS INTEGER) AS step, check_name, severity, CAST(n AS BIGINT) AS n, CAST(n_failed AS BIGINT) AS n_failed,
+  n_failed = 0 AS passed
+FROM (
+  SELECT 1 AS step, 'fixed_charge_lte_limit' AS check_name, 'critical' AS severity, n, f1 AS n_failed FROM agg UNION ALL
+  SELECT 2, 'energy_rate_lte_limit', 'critical', n, f2 FROM agg UNION ALL
+  SELECT 3, 'rows_distinct', 'critical', n, f3 FROM agg, dup UNION ALL
+  SELECT 4, 'no_excluded_plan_names', 'critical', n, f4 FROM agg UNION ALL
+  SELECT 5, 'demand_rate_gte_0', 'report', n, f5 FROM agg UNION ALL
+  SELECT 6, 'energy_rate_gte_0', 'report', n, f6 FROM agg UNION ALL
+  SELECT 7, 'plan_count_matches_input', 'warning', n, CASE WHEN n_in = n_out THEN 0 ELSE 1 END FROM agg, cnt)
+"""
+    )
+
+
 ORACLE: dict[str, str] = {
     # sources
     "scan_plans": q(
-        f"SELECT r.label, r.eiaId, r.utilityName, r.rateName, r.sector, r.fixedChargeFirstMeter, "
-        f"CAST({N_ENERGY_PERIODS} AS INTEGER) AS n_energy_periods FROM rec r LEFT JOIN ordinfo i ON i.okey = r.okey"
+        f"""
+SELECT r.label, r.eiaId, r.utilityName, r.rateName, r.sector,
+  CASE WHEN r.okey % 7 = 1 THEN '{{"$date": ["' || r.iso_date || '"]}}' WHEN r.okey % 7 = 2 THEN '{{"$date": []}}'
+       WHEN r.okey % 7 = 3 THEN NULL WHEN r.okey % 7 = 4 THEN '{{"$date": "' || replace(r.iso_date, 'Z', '.000Z') || '"}}'
+       ELSE '{{"$date": "' || r.iso_date || '"}}' END AS effectiveDate,
+  '{{"$date": "' || strftime(r.endDate, '%Y-%m-%dT%H:%M:%SZ') || '"}}' AS endDate,
+  round(r.demandMin, 6) AS demandMin, round(r.demandMax, 6) AS demandMax, round(r.energyMin, 6) AS energyMin,
+  round(r.energyMax, 6) AS energyMax, round(r.fixedChargeFirstMeter, 6) AS fixedChargeFirstMeter, r.fixedChargeUnits,
+  r.flatDemandUnits, r.demandRateUnits, 'kW' AS demandUnits,
+  CASE WHEN r.okey % 11 = 0 THEN '-'
+       WHEN r.okey % 13 = 0 THEN strftime(o.o_orderdate - INTERVAL 400 DAY, '%Y-%m-%dT%H:%M:%SZ') || ',' || r.iso_date
+       ELSE r.iso_date END AS revisions,
+  {digests("NULL", MONTHS.format(null="NULL", empty="0"))}
+FROM rec r JOIN orders o ON o.o_orderkey = r.okey {DIGEST_JOIN}
+"""
     ),
     "publish_parquet": q(f"SELECT {RATE_COLS} FROM published"),
-    "rates_json": _densified("published", 4),
+    "rates_json": _densified("published", 4, "round(pl.fixedChargeFirstMeter, 4)"),
     "default_structures": q(
-        """
-SELECT k.eiaId, k.rateName, k.utilityName,
-  CAST(CASE WHEN k.ckey % 19 = 0 THEN 12 WHEN k.ckey % 37 = 0 THEN 0 ELSE 12 END AS INTEGER) AS n_flat_months,
-  CAST(CASE WHEN k.ckey % 19 = 0 THEN 12 WHEN k.ckey % 37 = 0 THEN 0 ELSE 6 END AS BIGINT) AS flat_month_sum,
-  CAST(CASE WHEN i.okey IS NULL THEN 1 WHEN i.has_o THEN 2 ELSE 1 END AS INTEGER) AS n_energy_periods,
-  CAST(CASE WHEN i.okey IS NULL THEN 1 WHEN i.has_o THEN 2 ELSE 1 END AS INTEGER) AS n_demand_periods,
-  CAST(CASE WHEN k.ckey % 29 = 0 THEN 288 WHEN k.ckey % 41 = 0 THEN 0
-       ELSE (SELECT sum((k.ckey + (g.month - 1) + (g.hour - 1) // 6) % 2) FROM grid g) END AS BIGINT)
-    AS energy_weekday_sum
-FROM k2 k LEFT JOIN ordinfo i ON i.okey = k.okey
-"""
+        f"SELECT r.eiaId, r.rateName, r.utilityName, "
+        f"{digests('41616', MONTHS.format(null='78', empty='0'), '0', '1')} FROM k2 r {DIGEST_JOIN}"
     ),
     # cleaning
     "sector_filter": q("SELECT label, sector FROM rec WHERE sector = 'Commercial'"),
@@ -89,31 +148,25 @@ FROM k2 k LEFT JOIN ordinfo i ON i.okey = k.okey
         "fixedChargeUnits FROM plans"
     ),
     "empty_to_null": q(
-        "SELECT eiaId, rateName, utilityName, CAST(CASE WHEN no_months THEN NULL ELSE 12 END AS INTEGER) AS n_flat_months, "
-        "CAST(CASE WHEN no_sched OR empty_energy_weekday THEN NULL ELSE 12 END AS INTEGER) AS n_energy_weekday_rows FROM k2"
-    ),
-    "default_schedule": q(
-        """
-SELECT e.eiaId, e.rateName, e.utilityName, e.energy_weekday_sum, d.demand_weekend_sum
-FROM (SELECT eiaId, rateName, utilityName, CAST(sum(period - 1) AS BIGINT) AS energy_weekday_sum
-      FROM esched WHERE week_part = 'Weekday' GROUP BY ALL) e
-JOIN (SELECT eiaId, rateName, utilityName, CAST(sum(period - 1) AS BIGINT) AS demand_weekend_sum
-      FROM dsched WHERE week_part = 'Weekend' GROUP BY ALL) d
-  ON e.eiaId IS NOT DISTINCT FROM d.eiaId AND e.rateName = d.rateName AND e.utilityName = d.utilityName
-"""
+        f"SELECT r.eiaId, r.rateName, r.utilityName, "
+        f"{digests('NULL', MONTHS.format(null='NULL', empty='NULL'), empty='NULL')} FROM k2 r {DIGEST_JOIN}"
     ),
+    "default_schedule": q("SELECT *, 'demand' AS kind FROM dsched UNION ALL SELECT *, 'energy' AS kind FROM esched"),
     "clean_plans": q(
         f"""
-SELECT p.eiaId, p.revision_date, p.revision_year, p.effectiveDate, p.effectiveDate_year, p.effectiveDate_month,
-  p.endDate, p.endDate_year, p.endDate_month, p.utilityName, p.rateName, p.sector,
-  round(p.demandMin, 6) AS demandMin, round(p.demandMax, 6) AS demandMax,
-  round(p.fixedChargeFirstMeter, 6) AS fixedChargeFirstMeter, p.fixedChargeUnits, p.flatDemandUnits,
-  p.demandRateUnits, p.demandUnits, round(p.energyMin, 6) AS energyMin, round(p.energyMax, 6) AS energyMax,
-  CAST(CASE WHEN p.no_months THEN NULL ELSE 12 END AS INTEGER) AS n_flat_months,
-  CAST({N_ENERGY_PERIODS} AS INTEGER) AS n_energy_periods
-FROM plans p LEFT JOIN ordinfo i ON i.okey = p.okey
+SELECT r.eiaId, r.revision_date, r.revision_year, r.effectiveDate, r.effectiveDate_year, r.effectiveDate_month,
+  r.endDate, r.endDate_year, r.endDate_month, r.utilityName, r.rateName, r.sector,
+  round(r.demandMin, 6) AS demandMin, round(r.demandMax, 6) AS demandMax,
+  round(r.fixedChargeFirstMeter, 6) AS fixedChargeFirstMeter, r.fixedChargeUnits, r.flatDemandUnits,
+  r.demandRateUnits, r.demandUnits, round(r.energyMin, 6) AS energyMin, round(r.energyMax, 6) AS energyMax,
+  {digests("0", MONTHS.format(null="NULL", empty="NULL"))}
+FROM plans r {DIGEST_JOIN}
 """
     ),
+    "revision_dates": q(
+        "SELECT CAST(count(*) AS BIGINT) AS records, CAST(count(*) FILTER (WHERE okey % 11 = 0) AS BIGINT) AS without_date, "
+        "CAST(0 AS BIGINT) AS unreadable_date FROM rec"
+    ),
     # reshape
     "schedule_long": q(
         "SELECT eiaId, rateName, utilityName, sector, month, hour, period FROM esched WHERE week_part = 'Weekday'"
@@ -179,6 +232,27 @@ FROM plans p LEFT JOIN ordinfo i ON i.okey = p.okey
         "SELECT eiaId, rateName, utilityName, multi_unit, period, round(total_kWh_billed, 6) AS total_kWh_billed, "
         "round(total_energy_cost, 6) AS total_energy_cost, round(levelized_rate, 6) AS levelized_rate FROM ecost"
     ),
+    "levelized_demand_billed": q(
+        "SELECT eiaId, rateName, utilityName, period, round(total_demand_billed, 6) AS total_demand_billed, "
+        "round(total_demand_cost, 6) AS total_demand_cost, "
+        "round(total_demand_cost / nullif(total_demand_billed, 0), 6) AS levelized_demand_rate FROM dcost"
+    ),
+    "levelized_flat_demand_billed": q(
+        "SELECT eiaId, rateName, utilityName, month, round(total_flat_demand_billed, 6) AS total_flat_demand_billed, "
+        "round(total_flat_demand_cost, 6) AS total_flat_demand_cost, "
+        "round(total_flat_demand_cost / nullif(total_flat_demand_billed, 0), 6) AS levelized_flat_demand_rate FROM fcost"
+    ),
+    "demand_total_billed": q(
+        "SELECT eiaId, rateName, utilityName, sector, week_part, month, hour, "
+        "round((total_demand_cost + total_flat_demand_cost) / nullif(total_demand_billed, 0), 6) "
+        "AS levelized_total_demand_cost FROM dtotal"
+    ),
+    "energy_structure_dropped": q(
+        "SELECT eiaId, rateName, utilityName, sector, round(energyMin, 6) AS energyMin, "
+        "round(energyMax, 6) AS energyMax, period, tier, round(coalesce(rate, 0), 6) AS rate, "
+        "round(coalesce(adj, 0), 6) AS adj, round(coalesce(max, -1), 6) AS max, unit, "
+        "round(coalesce(rate, 0) + coalesce(adj, 0), 6) AS total_rate FROM e_filled WHERE tier IS NOT NULL"
+    ),
     "demand_total": q(
         "SELECT eiaId, rateName, utilityName, sector, week_part, month, hour, period, "
         "round(total_demand_billed, 6) AS total_demand_billed, round(total_demand_cost, 6) AS total_demand_cost, "
@@ -203,121 +277,22 @@ FROM plans p LEFT JOIN ordinfo i ON i.okey = p.okey
     ),
     "drop_high_fixed": q(f"SELECT {RATE_COLS} FROM rates WHERE fixedChargeFirstMeter < 10000"),
     "drop_high_energy": q(_group_drop("rates", "b.total_energy_rate > 0.1")),
+    "drop_high_energy_long": q(_group_drop("rates", "b.total_energy_rate > 0.1")),
     "drop_multi_unit": q(f"SELECT {RATE_COLS} FROM rates WHERE multi_unit = false"),
     "keep_multi_unit": q(f"SELECT {RATE_COLS} FROM rates WHERE multi_unit = true"),
     "drop_negative": q(_group_drop("rates", "b.total_energy_rate < 0 OR b.total_demand_rate < 0")),
+    "drop_negative_long": q(_group_drop("rates", "b.total_energy_rate < 0 OR b.total_demand_rate < 0")),
     "published_rates": q(f"SELECT {RATE_COLS} FROM published"),
     "published_rates_stepwise": q(f"SELECT {RATE_COLS} FROM published"),
     "count_plans": q(
         "SELECT CAST(count(*) AS BIGINT) AS n_plans FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM rates)"
     ),
-    "filter_funnel": q(
-        """
-, s1 AS (SELECT * FROM rates WHERE fixedChargeFirstMeter < 10000)
-, s2 AS (SELECT * FROM s1 r WHERE NOT EXISTS (SELECT 1 FROM s1 b WHERE b.total_energy_rate > 100
-          AND b.utilityName IS NOT DISTINCT FROM r.utilityName AND b.rateName IS NOT DISTINCT FROM r.rateName))
-, s3 AS (SELECT * FROM s2 WHERE NOT regexp_matches(rateName,
-          '(?i)irrigation|agricultur|agribusiness|pumping|furnace|heating|conditioning|catfish'))
-, s4 AS (SELECT * FROM s3 WHERE multi_unit = false)
-, s5 AS (SELECT * FROM s4 r WHERE NOT EXISTS (SELECT 1 FROM s4 b WHERE (b.total_energy_rate < 0 OR b.total_demand_rate < 0)
-          AND b.utilityName IS NOT DISTINCT FROM r.utilityName AND b.rateName IS NOT DISTINCT FROM r.rateName))
-, n AS (
-  SELECT (SELECT count(*) FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM rates)) AS n0,
-         (SELECT count(*) FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM s1)) AS n1,
-         (SELECT count(*) FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM s2)) AS n2,
-         (SELECT count(*) FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM s3)) AS n3,
-         (SELECT count(*) FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM s4)) AS n4,
-         (SELECT count(*) FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM s5)) AS n5)
-SELECT CAST(step AS INTEGER) AS step, name, CAST(removed AS BIGINT) AS removed, CAST(remaining AS BIGINT) AS remaining
-FROM (
-  SELECT 1 AS step, 'high_fixed_charge' AS name, n0 - n1 AS removed, n1 AS remaining FROM n UNION ALL
-  SELECT 2, 'high_energy_rate', n1 - n2, n2 FROM n UNION ALL
-  SELECT 3, 'irrelevant_plans', n2 - n3, n3 FROM n UNION ALL
-  SELECT 4, 'multi_unit_plans', n3 - n4, n4 FROM n UNION ALL
-  SELECT 5, 'remove_negative_plans', n4 - n5, n5 FROM n)
-""".replace("\n, s1 AS", ", s1 AS", 1)
-    ),
-    "filter_funnel_cells": q(
-        """
-, s1 AS (SELECT * FROM rates WHERE fixedChargeFirstMeter < 10000)
-, s2 AS (SELECT * FROM s1 r WHERE NOT EXISTS (SELECT 1 FROM s1 b WHERE b.total_energy_rate > 100
-          AND b.utilityName IS NOT DISTINCT FROM r.utilityName AND b.rateName IS NOT DISTINCT FROM r.rateName))
-, s3 AS (SELECT * FROM s2 WHERE NOT regexp_matches(rateName,
-          '(?i)irrigation|agricultur|agribusiness|pumping|furnace|heating|conditioning|catfish'))
-, s4 AS (SELECT * FROM s3 WHERE multi_unit = false)
-, s5 AS (SELECT * FROM s4 r WHERE NOT EXISTS (SELECT 1 FROM s4 b WHERE (b.total_energy_rate < 0 OR b.total_demand_rate < 0)
-          AND b.utilityName IS NOT DISTINCT FROM r.utilityName AND b.rateName IS NOT DISTINCT FROM r.rateName))
-, n AS (
-  SELECT (SELECT count(*) FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM rates)) AS n0,
-         (SELECT count(*) FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM s1)) AS n1,
-         (SELECT count(*) FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM s2)) AS n2,
-         (SELECT count(*) FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM s3)) AS n3,
-         (SELECT count(*) FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM s4)) AS n4,
-         (SELECT count(*) FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM s5)) AS n5)
-SELECT CAST(step AS INTEGER) AS step, name, CAST(removed AS BIGINT) AS removed, CAST(remaining AS BIGINT) AS remaining
-FROM (
-  SELECT 1 AS step, 'high_fixed_charge' AS name, n0 - n1 AS removed, n1 AS remaining FROM n UNION ALL
-  SELECT 2, 'high_energy_rate', n1 - n2, n2 FROM n UNION ALL
-  SELECT 3, 'irrelevant_plans', n2 - n3, n3 FROM n UNION ALL
-  SELECT 4, 'multi_unit_plans', n3 - n4, n4 FROM n UNION ALL
-  SELECT 5, 'remove_negative_plans', n4 - n5, n5 FROM n)
-""".replace("\n, s1 AS", ", s1 AS", 1)
-    ),
-    "validation_report": q(
-        """
-, v AS (SELECT * FROM validated)
-, agg AS (
-  SELECT count(*) AS n,
-    count(*) FILTER (WHERE NOT coalesce(fixedChargeFirstMeter <= 10000, false)) AS f1,
-    count(*) FILTER (WHERE NOT coalesce(total_energy_rate <= 100, false)) AS f2,
-    count(*) FILTER (WHERE NOT coalesce(NOT regexp_matches(rateName,
-      '(?i)agriculture|agricultural|agribusiness|pumping|irrigation|furnace|heating|conditioning|catfish'), false)) AS f4,
-    count(*) FILTER (WHERE NOT coalesce(total_demand_rate >= 0, false)) AS f5,
-    count(*) FILTER (WHERE NOT coalesce(total_energy_rate >= 0, false)) AS f6
-  FROM v)
-, dup AS (SELECT coalesce(sum(c) FILTER (WHERE c > 1), 0) AS f3 FROM (
-    SELECT count(*) AS c FROM v GROUP BY eiaId, utilityName, rateName, month, week_part, hour))
-, cnt AS (SELECT (SELECT count(*) FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM plans)) AS n_in,
-                 (SELECT count(*) FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM v)) AS n_out)
-SELECT CAST(step AS INTEGER) AS step, check_name, severity, CAST(n AS BIGINT) AS n, CAST(n_failed AS BIGINT) AS n_failed,
-  n_failed = 0 AS passed
-FROM (
-  SELECT 1 AS step, 'fixed_charge_lte_limit' AS check_name, 'critical' AS severity, n, f1 AS n_failed FROM agg UNION ALL
-  SELECT 2, 'energy_rate_lte_limit', 'critical', n, f2 FROM agg UNION ALL
-  SELECT 3, 'rows_distinct', 'critical', n, f3 FROM agg, dup UNION ALL
-  SELECT 4, 'no_excluded_plan_names', 'critical', n, f4 FROM agg UNION ALL
-  SELECT 5, 'demand_rate_gte_0', 'report', n, f5 FROM agg UNION ALL
-  SELECT 6, 'energy_rate_gte_0', 'report', n, f6 FROM agg UNION ALL
-  SELECT 7, 'plan_count_matches_input', 'warning', n, CASE WHEN n_in = n_out THEN 0 ELSE 1 END FROM agg, cnt)
-""".replace("\n, v AS", ", v AS", 1)
-    ),
-    "validation_report_cells": q(
-        """
-, v AS (SELECT * FROM validated)
-, agg AS (
-  SELECT count(*) AS n,
-    count(*) FILTER (WHERE NOT coalesce(fixedChargeFirstMeter <= 10000, false)) AS f1,
-    count(*) FILTER (WHERE NOT coalesce(total_energy_rate <= 100, false)) AS f2,
-    count(*) FILTER (WHERE NOT coalesce(NOT regexp_matches(rateName,
-      '(?i)agriculture|agricultural|agribusiness|pumping|irrigation|furnace|heating|conditioning|catfish'), false)) AS f4,
-    count(*) FILTER (WHERE NOT coalesce(total_demand_rate >= 0, false)) AS f5,
-    count(*) FILTER (WHERE NOT coalesce(total_energy_rate >= 0, false)) AS f6
-  FROM v)
-, dup AS (SELECT coalesce(sum(c) FILTER (WHERE c > 1), 0) AS f3 FROM (
-    SELECT count(*) AS c FROM v GROUP BY eiaId, utilityName, rateName, month, week_part, hour))
-, cnt AS (SELECT (SELECT count(*) FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM plans)) AS n_in,
-                 (SELECT count(*) FROM (SELECT DISTINCT eiaId, utilityName, rateName FROM v)) AS n_out)
-SELECT CAST(step AS INTEGER) AS step, check_name, severity, CAST(n AS BIGINT) AS n, CAST(n_failed AS BIGINT) AS n_failed,
-  n_failed = 0 AS passed
-FROM (
-  SELECT 1 AS step, 'fixed_charge_lte_limit' AS check_name, 'critical' AS severity, n, f1 AS n_failed FROM agg UNION ALL
-  SELECT 2, 'energy_rate_lte_limit', 'critical', n, f2 FROM agg UNION ALL
-  SELECT 3, 'rows_distinct', 'critical', n, f3 FROM agg, dup UNION ALL
-  SELECT 4, 'no_excluded_plan_names', 'critical', n, f4 FROM agg UNION ALL
-  SELECT 5, 'demand_rate_gte_0', 'report', n, f5 FROM agg UNION ALL
-  SELECT 6, 'energy_rate_gte_0', 'report', n, f6 FROM agg UNION ALL
-  SELECT 7, 'plan_count_matches_input', 'warning', n, CASE WHEN n_in = n_out THEN 0 ELSE 1 END FROM agg, cnt)
-""".replace("\n, v AS", ", v AS", 1)
+    "filter_funnel": FUNNEL,
+    "filter_funnel_cells": FUNNEL,
+    "validation_report": _validation("SELECT * FROM validated", "10000", "100"),
+    "validation_report_cells": _validation("SELECT * FROM validated", "10000", "100"),
+    "validation_failures": _validation(
+        "SELECT * FROM rates UNION ALL SELECT * FROM rates WHERE month = 1 AND hour = 1", "5000", "0.1"
     ),
     # report
     "rates_profile": q(

@@ -7,16 +7,16 @@ a projection that Catalyst fuses into the scan's codegen stage.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import (
+    any_instant,
     first_date,
     non_empty,
     null_safe_left_join,
-    parse_instant,
     zero_matrix,
 )
 from ..constants import (
@@ -30,6 +30,7 @@ from ..constants import (
     SCHEDULE_FILL,
 )
 from ..schema import CLEAN_COLUMNS, NAME_KEYS, SCHEDULE_COLUMNS
+from ..session import cut_lineage
 
 BOUND_COLUMNS = ["demandMin", "demandMax", "energyMin", "energyMax"]
 REQUIRED_FOR_IN_EFFECT = ["utilityName", "rateName", "effectiveDate_year", "endDate"]
@@ -50,6 +51,23 @@ def parse_dates(df: DataFrame) -> DataFrame:
 
 
 # --- K1 -------------------------------------------------------------------
+def newest_revision(revisions: str = "revisions") -> Column:
+    """The newest of a record's revision dates, in any orderable spelling."""
+    return F.array_max(F.transform(revisions, lambda r: any_instant(r["date"])))
+
+
+def revision_dates_report(df: DataFrame) -> DataFrame:
+    """One row: records, those that K1 drops for having no revision date, and
+    those that it drops because none of their dates can be read."""
+    present = F.coalesce(F.exists("revisions", lambda r: F.trim(r["date"]) != ""), F.lit(False))
+    dated = newest_revision().isNotNull()
+    return df.agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count(F.when(~present, 1)).alias("without_date"),
+        F.count(F.when(present & ~dated, 1)).alias("unreadable_date"),
+    )
+
+
 def latest_revision(
     df: DataFrame,
     keys: Sequence[str] = tuple(NAME_KEYS),
@@ -66,10 +84,7 @@ def latest_revision(
     that keeps one row per key *before* the shuffle, so a hot key costs one
     row per input partition.
     """
-    dated = df.withColumn(
-        "revision_date",
-        F.array_max(F.transform("revisions", lambda r: parse_instant(r["date"]))),
-    ).where(F.col("revision_date").isNotNull())
+    dated = df.withColumn("revision_date", newest_revision()).where(F.col("revision_date").isNotNull())
     if tie_break is None:
         full_hash = F.xxhash64(*[F.col(c) for c in df.columns])
         if "label" in df.columns:
@@ -111,8 +126,8 @@ def latest_per_utility(
 
 
 # --- P3 / P11 -------------------------------------------------------------
-def date_parts(df: DataFrame) -> DataFrame:
-    """Year/month parts of the three dates and the 29-column projection."""
+def with_date_parts(df: DataFrame) -> DataFrame:
+    """Year/month parts of the three dates, beside the other columns."""
     return df.withColumns(
         {
             "revision_year": F.year("revision_date"),
@@ -121,7 +136,12 @@ def date_parts(df: DataFrame) -> DataFrame:
             "endDate_year": F.year("endDate"),
             "endDate_month": F.month("endDate"),
         }
-    ).select(*CLEAN_COLUMNS)
+    )
+
+
+def date_parts(df: DataFrame) -> DataFrame:
+    """Year/month parts of the three dates and the 29-column projection."""
+    return with_date_parts(df).select(*CLEAN_COLUMNS)
 
 
 def end_date_as_date(df: DataFrame) -> DataFrame:
@@ -132,7 +152,7 @@ def end_date_as_date(df: DataFrame) -> DataFrame:
 def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
     missing = [c for c in required if c not in df.columns]
     if missing:
-        raise ValueError("Dataset is missing required columns: " + ", ".join(missing))
+        raise ValueError("plans_in_effect needs these columns, which the input lacks: " + ", ".join(missing))
     return df
 
 
@@ -145,20 +165,17 @@ def newest_years(df: DataFrame, keys: Sequence[str] = ("eiaId", "utilityName"))
 def plans_in_effect(
     df: DataFrame,
     keys: Sequence[str] = ("eiaId", "utilityName"),
-    newest: DataFrame | None = None,
 ) -> DataFrame:
     """Per (eiaId, utilityName) keep every row of the newest revision year.
 
     NULL keys form their own group.  The group maximum is a map-side
     combined aggregate joined back on ``<=>`` keys (AQE: broadcast when
     small, skew split otherwise), so a hot utility never lands in one task.
-    ``newest`` may be supplied (see ``clean_plans``) so that ``df`` is not
-    evaluated twice.
+    The input is read twice; pass a landed or checkpointed table.
     """
     require_columns(df, REQUIRED_FOR_IN_EFFECT)
     df = end_date_as_date(df)
-    if newest is None:
-        newest = newest_years(df, keys)
+    newest = newest_years(df, keys)
     return (
         null_safe_left_join(df, newest, list(keys), how="inner")
         .where(F.col("revision_year").eqNullSafe(F.col("_newest")))
@@ -242,28 +259,49 @@ def default_structures(df: DataFrame, fill: int = LEGACY_SCHEDULE_FILL) -> DataF
 
 
 # --- P17 ------------------------------------------------------------------
-def clean_plans(df: DataFrame, sector: str = DEFAULT_SECTOR) -> DataFrame:
+def current_plans(flat: DataFrame, sector: str = DEFAULT_SECTOR) -> DataFrame:
+    """P1, P2, K1, P3 and K2 on the narrow columns of the records.
+
+    The winners of K1 are written to the shared folder (a few hundred bytes
+    a plan), so the group maximum of K2 and the plans themselves come from
+    one K1 pass.
+    """
+    winners = cut_lineage(flat.transform(sector_filter, sector=sector).transform(parse_dates).transform(latest_revision))
+    return with_date_parts(winners.drop("revisions")).transform(plans_in_effect)
+
+
+def clean_plans(
+    df: DataFrame,
+    sector: str = DEFAULT_SECTOR,
+    payload: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Sector filter, dates, newest revision, date parts, plans in effect,
     bounds, fixed charges, daily->monthly, empty->NULL, default schedules.
 
-    K2 needs the newest year per (eiaId, utilityName) over the K1 winners.
-    Those winners' eiaId and revision date are decided by the flat columns
-    alone (the nested-column hash only orders records whose flat columns
-    are all equal), so the group maximum comes from a K1 pass over the flat
-    columns, and the full records go through K1 and its shuffle only once.
+    Which records stay is decided by the flat columns alone (the nested
+    columns only order records whose flat columns are all equal), so the
+    nested payload is fetched afterwards, for the plans that stay.  A source
+    that can build it for given records passes ``payload``: from the plans
+    (``label`` is their record id) to rows of ``label`` and nested columns,
+    one per label.  Otherwise it is joined from ``df`` by the label and a
+    hash of the flat columns, and of records equal in all of these the one
+    with the smallest hash of its nested columns stays.
     """
-    dated = df.transform(sector_filter, sector=sector).transform(parse_dates)
-    nested_cols = [
-        f.name
-        for f in dated.schema.fields
-        if f.dataType.typeName() in ("array", "map", "struct") and f.name != "revisions"
+    nested = [
+        f.name for f in df.schema.fields if f.dataType.typeName() in ("array", "map", "struct") and f.name != "revisions"
     ]
-    light = dated.drop(*nested_cols).transform(latest_revision)
-    newest = newest_years(light.withColumn("revision_year", F.year("revision_date")))
+    flat_names = [c for c in df.columns if c not in nested]
+    record = F.xxhash64(*flat_names)
+    plans = current_plans(df.select(*flat_names, record.alias("_record")), sector)
+    if payload is not None:
+        full = plans.join(payload(plans).select("label", *nested), "label")
+    else:
+        rows = df.transform(sector_filter, sector=sector).select(F.col("label").alias("_label"), record.alias("_rec"), *nested)
+        same = plans["label"].eqNullSafe(rows["_label"]) & (plans["_record"] == rows["_rec"])
+        w = Window.partitionBy("_record", "label").orderBy(F.xxhash64(*nested))
+        full = plans.join(rows, same).withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
     return (
-        dated.transform(latest_revision)
-        .transform(date_parts)
-        .transform(plans_in_effect, newest=newest)
+        full.select(*CLEAN_COLUMNS)
         .transform(fill_bounds)
         .transform(fill_fixed_charge)
         .transform(daily_to_monthly)

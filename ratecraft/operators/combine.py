@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import PEAK_DEMAND_KW
-from ..functions.columns import distinct_count_with_null, null_safe_left_join
+from ..functions.columns import choose_divisor as _divisor
+from ..functions.columns import carried, distinct_count_with_null, null_safe_left_join
 from ..schema import PLAN_KEYS, PLAN_KEYS_SECTOR
 
 COMBO_KEYS = [*PLAN_KEYS_SECTOR, "period"]
@@ -20,19 +21,19 @@ COMBO_KEYS = [*PLAN_KEYS_SECTOR, "period"]
 
 # --- J1 -------------------------------------------------------------------
 def demand_combo(sched: DataFrame, strux: DataFrame) -> DataFrame:
-    right = strux.select(*COMBO_KEYS, "tier", "demandRateUnits", "total_rate", "max")
+    right = strux.select(*carried(strux, COMBO_KEYS), "tier", "demandRateUnits", "total_rate", "max")
     return null_safe_left_join(sched, right, COMBO_KEYS)
 
 
 # --- J2 -------------------------------------------------------------------
 def flat_combo(sched: DataFrame, strux: DataFrame) -> DataFrame:
-    right = strux.select(*COMBO_KEYS, "tier", "flatDemandUnits", "total_rate", "max")
+    right = strux.select(*carried(strux, COMBO_KEYS), "tier", "flatDemandUnits", "total_rate", "max")
     return null_safe_left_join(sched, right, COMBO_KEYS)
 
 
 # --- J3 -------------------------------------------------------------------
 def energy_combo(sched: DataFrame, strux: DataFrame) -> DataFrame:
-    right = strux.select(*COMBO_KEYS, "tier", "unit", "total_rate", "max")
+    right = strux.select(*carried(strux, COMBO_KEYS), "tier", "unit", "total_rate", "max")
     return null_safe_left_join(sched, right, COMBO_KEYS)
 
 
@@ -43,7 +44,7 @@ def multi_unit_flags(combo: DataFrame, keys=tuple(PLAN_KEYS_SECTOR)) -> DataFram
     A grouped aggregate (partial distinct per partition, then merge), so a
     plan with a huge combo is reduced map-side.
     """
-    return combo.groupBy(*keys).agg(
+    return combo.groupBy(*carried(combo, keys)).agg(
         (distinct_count_with_null("unit") > 1).alias("multi_unit")
     )
 
@@ -52,10 +53,30 @@ def with_multi_unit(combo: DataFrame, keys=tuple(PLAN_KEYS_SECTOR)) -> DataFrame
     return null_safe_left_join(combo, multi_unit_flags(combo, keys), list(keys))
 
 
+def energy_combo_with_flag(sched: DataFrame, strux: DataFrame, keys=tuple(PLAN_KEYS_SECTOR)) -> DataFrame:
+    """J3 with the W2 flag.
+
+    The flag depends on a plan's distinct scheduled periods only, so it is
+    taken from those (a few rows per plan) and joined to the schedule at plan
+    grain; the hourly combo is built once.
+    """
+    periods = sched.select(*carried(sched, keys), "period").distinct()
+    flags = multi_unit_flags(energy_combo(periods, strux), keys)
+    right = strux.select(*carried(strux, COMBO_KEYS), "tier", "unit", "total_rate", "max")
+    return null_safe_left_join(null_safe_left_join(sched, right, COMBO_KEYS), flags, list(keys))
+
+
 # --- J4 -------------------------------------------------------------------
 def demand_total(
-    sched: DataFrame, demand_cost: DataFrame, flat_cost: DataFrame, peak_kw: float = PEAK_DEMAND_KW
+    sched: DataFrame,
+    demand_cost: DataFrame,
+    flat_cost: DataFrame,
+    peak_kw: float = PEAK_DEMAND_KW,
+    denominator: str = "peak",
 ) -> DataFrame:
+    """Demand and flat demand per hour; the total is divided by the peak, or by
+    the billed demand (``denominator="billed"``, the legacy rate)."""
+    divisor = _divisor(denominator, F.lit(float(peak_kw)), F.col("total_demand_billed"))
     out = null_safe_left_join(sched, demand_cost, [*PLAN_KEYS, "period"])
     out = null_safe_left_join(out, flat_cost, [*PLAN_KEYS, "month"])
     return out.withColumns(
@@ -65,7 +86,7 @@ def demand_total(
         }
     ).withColumn(
         "levelized_total_demand_cost",
-        F.try_divide(F.col("total_demand_cost") + F.col("total_flat_demand_cost"), F.lit(float(peak_kw))),
+        F.try_divide(F.col("total_demand_cost") + F.col("total_flat_demand_cost"), divisor),
     )
 
 
@@ -92,12 +113,12 @@ UTILITY_RATE_COLUMNS = [
 
 
 def utility_rates(plans: DataFrame, demand_tot: DataFrame, energy_tot: DataFrame) -> DataFrame:
-    """Hourly table: demand part left join energy part, then fixed charges."""
+    """Hourly table: demand part left join fixed charges, left join energy part."""
     fixed = plans.select(
-        *PLAN_KEYS, F.coalesce("fixedChargeFirstMeter", F.lit(0.0)).alias("fixedChargeFirstMeter")
+        *carried(plans, PLAN_KEYS), F.coalesce("fixedChargeFirstMeter", F.lit(0.0)).alias("fixedChargeFirstMeter")
     )
     demand = demand_tot.select(
-        *PLAN_KEYS,
+        *carried(demand_tot, PLAN_KEYS),
         "week_part",
         "month",
         "hour",
@@ -113,5 +134,8 @@ def utility_rates(plans: DataFrame, demand_tot: DataFrame, energy_tot: DataFrame
         F.col("period").alias("energy_period"),
         F.col("levelized_rate").alias("total_energy_rate"),
     )
-    hourly = null_safe_left_join(demand, energy, [*PLAN_KEYS, "week_part", "month", "hour"])
-    return null_safe_left_join(hourly, fixed, PLAN_KEYS).select(*UTILITY_RATE_COLUMNS)
+    charged = null_safe_left_join(demand, fixed, PLAN_KEYS)
+    # hour by hour the keys have many values a plan, so they are hash keys here
+    return null_safe_left_join(charged, energy, [*PLAN_KEYS, "week_part", "month", "hour"], co_located=False).select(
+        *UTILITY_RATE_COLUMNS
+    )

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import ENERGY_RATE_LIMIT, FIXED_CHARGE_LIMIT, IRRELEVANT_PATTERN, IRRIGATION_PATTERN
@@ -157,8 +157,10 @@ def _funnel_from_flags(flagged: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     The input is consumed once: one aggregate per plan keeps, for each
     step, whether some row reaches it and whether a reaching row fails a
-    group-wise check; the group-wide verdicts (W4, W5) are then window
-    maxima over those per-plan rows.  A group failing W4 reaches no later
+    group-wise check.  The group-wide verdicts (W4, W5) only decide whether
+    a name's counts go on, so a second aggregate, per name, adds up the
+    counts and the verdicts; a name that very many plans share is combined
+    before the shuffle like any other.  A group failing W4 reaches no later
     step, so W5's verdict only needs rows passing the row-level steps.
     """
     ids = list(dict.fromkeys([*keys, *NAME_KEYS]))
@@ -170,23 +172,40 @@ def _funnel_from_flags(flagged: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.max(F.when(k1, F.col("eb"))).alias("e2"),
         F.max(F.when(k1 & k3 & k4, F.col("nb"))).alias("e5"),
     )
-    w = Window.partitionBy(*NAME_KEYS)
-    g2 = F.coalesce(F.max("e2").over(w), F.lit(False))
-    g5 = F.coalesce(F.max("e5").over(w), F.lit(False))
-    staged = per_plan.select(
-        *ids,
-        F.col("a1").alias("s1"),
-        (F.col("a1") & ~g2).alias("s2"),
-        (F.col("a3") & ~g2).alias("s3"),
-        (F.col("a4") & ~g2).alias("s4"),
-        (F.col("a4") & ~g2 & ~g5).alias("s5"),
-    )
-    if list(keys) != ids:
-        staged = staged.groupBy(*keys).agg(*[F.max(f"s{i}").alias(f"s{i}") for i in range(1, 6)])
-    counts = staged.agg(
-        F.count(F.lit(1)).alias("n0"),
-        *[F.count(F.when(F.col(f"s{i}"), 1)).alias(f"n{i}") for i in range(1, 6)],
-    )
+    if set(keys) >= set(NAME_KEYS):
+        per_name = per_plan.groupBy(*NAME_KEYS).agg(
+            F.count(F.lit(1)).alias("c0"),
+            *[F.count(F.when(F.col(f"a{i}"), 1)).alias(f"c{i}") for i in (1, 3, 4)],
+            F.coalesce(F.max("e2"), F.lit(False)).alias("g2"),
+            F.coalesce(F.max("e5"), F.lit(False)).alias("g5"),
+        )
+        g2, g5 = F.col("g2"), F.col("g5")
+        total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+        counts = per_name.agg(
+            total("c0").alias("n0"),
+            total("c1").alias("n1"),
+            total(F.when(~g2, F.col("c1"))).alias("n2"),
+            total(F.when(~g2, F.col("c3"))).alias("n3"),
+            total(F.when(~g2, F.col("c4"))).alias("n4"),
+            total(F.when(~g2 & ~g5, F.col("c4"))).alias("n5"),
+        )
+    else:
+        # plans are counted by keys that span names: the verdicts go back to the plans first
+        verdict = per_plan.groupBy(*NAME_KEYS).agg(
+            F.coalesce(F.max("e2"), F.lit(False)).alias("g2"), F.coalesce(F.max("e5"), F.lit(False)).alias("g5")
+        )
+        g2, g5 = F.col("g2"), F.col("g5")
+        staged = null_safe_left_join(per_plan, verdict, list(NAME_KEYS)).groupBy(*keys).agg(
+            F.max("a1").alias("s1"),
+            F.max(F.col("a1") & ~g2).alias("s2"),
+            F.max(F.col("a3") & ~g2).alias("s3"),
+            F.max(F.col("a4") & ~g2).alias("s4"),
+            F.max(F.col("a4") & ~g2 & ~g5).alias("s5"),
+        )
+        counts = staged.agg(
+            F.count(F.lit(1)).alias("n0"),
+            *[F.count(F.when(F.col(f"s{i}"), 1)).alias(f"n{i}") for i in range(1, 6)],
+        )
     steps = F.array(
         *[
             F.struct(

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import col_of
+from ..functions.columns import as_number, carried, col_of
 from ..constants import DEFAULT_ENERGY_UNIT, WEEKDAY, WEEKEND
 from ..schema import PLAN_KEYS_SECTOR
 
@@ -42,7 +42,7 @@ def schedule_long(
     df: DataFrame, matrix: str, keys: Sequence[str] = tuple(PLAN_KEYS_SECTOR), offset: int = 1
 ) -> DataFrame:
     """12x24 matrix -> rows (month, hour, period); NULL matrix -> no rows."""
-    return df.select(*keys, F.inline(matrix_cells(matrix, offset)))
+    return df.select(*carried(df, keys), F.inline(matrix_cells(matrix, offset)))
 
 
 # --- U2 / U3 / U11 --------------------------------------------------------
@@ -61,7 +61,7 @@ def week_schedule(
             F.coalesce(matrix_cells(weekend, offset, WEEKEND), empty),
         )
     )
-    return df.select(*keys, F.inline(cells))
+    return df.select(*carried(df, keys), F.inline(cells))
 
 
 def demand_schedule(df: DataFrame) -> DataFrame:
@@ -80,6 +80,7 @@ def flat_schedule(df: DataFrame, keys: Sequence[str] = tuple(PLAN_KEYS_SECTOR))
     table-wide recycling counter), so a plan without months cannot shift
     the months of other plans.
     """
+    keys = carried(df, keys)
     return df.select(*keys, F.posexplode("flatDemandMonths").alias("_pos", "period")).select(
         *keys, F.col("period").cast("int").alias("period"), (F.col("_pos") + 1).alias("month")
     )
@@ -92,15 +93,20 @@ def rate_structure(
     tiers_field: str,
     keep: Sequence[str],
     period_base: int = 1,
+    keep_empty: bool = True,
 ) -> DataFrame:
-    """Explode periods then tiers, keeping plans/periods without any
-    (``posexplode_outer``); period = position + ``period_base``, tier 1-based.
+    """Explode periods then tiers; period = position + ``period_base``, tier 1-based.
+
+    Plans and periods without tiers stay as a row of NULLs, or go
+    (``keep_empty=False``, the legacy form).
     """
-    periods = df.select(*keep, F.posexplode_outer(strux).alias("_p", "_period"))
+    keep = carried(df, keep)
+    explode = F.posexplode_outer if keep_empty else F.posexplode
+    periods = df.select(*keep, explode(strux).alias("_p", "_period"))
     tiers = periods.select(
         *keep,
         (F.col("_p") + F.lit(period_base)).cast("int").alias("period"),
-        F.posexplode_outer(F.col("_period")[tiers_field]).alias("_t", "_tier"),
+        explode(F.col("_period")[tiers_field]).alias("_t", "_tier"),
     )
     tier_fields = [
         f.name
@@ -116,14 +122,14 @@ def rate_structure(
 
 # --- U8 -------------------------------------------------------------------
 def reformat_zero_filled(df: DataFrame) -> DataFrame:
-    """period, tier, rate, adj, max: NULL -> 0; total_rate = rate + adj."""
+    """period, tier, rate, adj, max: NULL -> 0 (numbers may be text); total_rate = rate + adj."""
     out = df.withColumns(
         {
             "period": F.coalesce("period", F.lit(0)),
             "tier": F.coalesce("tier", F.lit(0)),
-            "rate": F.coalesce("rate", F.lit(0.0)),
-            "adj": F.coalesce("adj", F.lit(0.0)),
-            "max": F.coalesce("max", F.lit(0.0)),
+            "rate": F.coalesce(as_number("rate"), F.lit(0.0)),
+            "adj": F.coalesce(as_number("adj"), F.lit(0.0)),
+            "max": F.coalesce(as_number("max"), F.lit(0.0)),
         }
     )
     return out.withColumn("total_rate", F.col("rate") + F.col("adj"))
@@ -134,9 +140,9 @@ def reformat_energy(df: DataFrame) -> DataFrame:
     """rate, adj: NULL -> 0; max: NULL -> -1; period and tier stay NULL."""
     out = df.withColumns(
         {
-            "rate": F.coalesce("rate", F.lit(0.0)),
-            "adj": F.coalesce("adj", F.lit(0.0)),
-            "max": F.coalesce("max", F.lit(-1.0)),
+            "rate": F.coalesce(as_number("rate"), F.lit(0.0)),
+            "adj": F.coalesce(as_number("adj"), F.lit(0.0)),
+            "max": F.coalesce(as_number("max"), F.lit(-1.0)),
         }
     )
     return out.withColumn("total_rate", F.col("rate") + F.col("adj"))
@@ -156,7 +162,7 @@ def fill_units(
     if "unit" not in df.columns:
         df = df.withColumn("unit", F.lit(None).cast("string"))
     w = (
-        Window.partitionBy(*group)
+        Window.partitionBy(*carried(df, group))
         .orderBy(*[F.col(c).asc_nulls_first() for c in order])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -166,28 +172,28 @@ def fill_units(
 
 
 # --- U10 ------------------------------------------------------------------
-def demand_structure(df: DataFrame) -> DataFrame:
+def demand_structure(df: DataFrame, keep_empty: bool = True) -> DataFrame:
     keep = [*PLAN_KEYS_SECTOR, "demandMin", "demandMax", "demandRateUnits"]
     return (
-        rate_structure(df, "demandRateStrux", "demandRateTiers", keep, period_base=1)
+        rate_structure(df, "demandRateStrux", "demandRateTiers", keep, period_base=1, keep_empty=keep_empty)
         .transform(reformat_zero_filled)
         .transform(fill_units)
     )
 
 
-def energy_structure(df: DataFrame) -> DataFrame:
+def energy_structure(df: DataFrame, keep_empty: bool = True) -> DataFrame:
     keep = [*PLAN_KEYS_SECTOR, "energyMin", "energyMax"]
     return (
-        rate_structure(df, "energyRateStrux", "energyRateTiers", keep, period_base=1)
+        rate_structure(df, "energyRateStrux", "energyRateTiers", keep, period_base=1, keep_empty=keep_empty)
         .transform(reformat_energy)
         .transform(fill_units)
         .drop("sell")
     )
 
 
-def flat_structure(df: DataFrame) -> DataFrame:
+def flat_structure(df: DataFrame, keep_empty: bool = True) -> DataFrame:
     keep = [*PLAN_KEYS_SECTOR, "flatDemandUnits"]
-    return rate_structure(df, "flatDemandStrux", "flatDemandTiers", keep, period_base=0).transform(
+    return rate_structure(df, "flatDemandStrux", "flatDemandTiers", keep, period_base=0, keep_empty=keep_empty).transform(
         reformat_zero_filled
     )
 
@@ -195,4 +201,4 @@ def flat_structure(df: DataFrame) -> DataFrame:
 # --- K4 -------------------------------------------------------------------
 def distinct_tiers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Unique tier rows (collapses the hourly fan-out of a combo)."""
-    return df.select(*cols).distinct()
+    return df.select(*carried(df, cols)).distinct()

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ..constants import MONTHLY_USAGE_KWH, PEAK_DEMAND_KW
-from ..functions.columns import parse_instant
+from ..functions.columns import NAME_KEY
 from ..operators import clean, combine, profile, quality, reshape, validate, waterfall
-from ..session import ensure_utc, scratch_path
+from ..session import cut_lineage, ensure_utc, scratch_path
 from ..sources import publish, tpch
 from . import end_to_end, nested, relational
 
@@ -26,6 +26,7 @@ KEYS_S = [*KEYS, "sector"]
 # Limit used where the reference default (100 $/kWh) removes nothing on the
 # driver tables, so that both outcomes of the group filter occur.
 TEST_ENERGY_LIMIT = 0.1
+TEST_FIXED_CHECK = 5000.0
 
 
 def rounded(df: DataFrame, decimals: int = 6) -> DataFrame:
@@ -55,7 +56,8 @@ def in_effect(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def plans(spark: SparkSession, sf: str) -> DataFrame:
-    return end_to_end.clean_plans(records(spark, sf))
+    ensure_utc(spark)
+    return end_to_end.clean_table_plans(spark, sf)
 
 
 def rates(spark: SparkSession, sf: str) -> DataFrame:
@@ -66,14 +68,6 @@ def published(spark: SparkSession, sf: str) -> DataFrame:
     return end_to_end.published_rates(plans(spark, sf))
 
 
-def _cell_sum(col: str):
-    return F.expr(f"aggregate(flatten({col}), 0L, (a, x) -> a + x)")
-
-
-def _size_or_null(col: str):
-    return F.when(F.col(col).isNotNull(), F.size(col))
-
-
 PLAN_SCALARS = [
     "eiaId", "revision_date", "revision_year", "effectiveDate", "effectiveDate_year",
     "effectiveDate_month", "endDate", "endDate_year", "endDate_month", "utilityName", "rateName",
@@ -81,16 +75,51 @@ PLAN_SCALARS = [
     "flatDemandUnits", "demandRateUnits", "demandUnits", "energyMin", "energyMax",
 ]
 
+MATRICES = {
+    "dm_wd": "demandWeekdaySched", "dm_we": "demandWeekendSched", "en_wd": "energyWeekdaySched", "en_we": "energyWeekendSched",
+}
+STRUCTURES = {
+    "e": ("energyRateStrux", "energyRateTiers", ["rate", "adj", "max", "sell", "unit"]),
+    "d": ("demandRateStrux", "demandRateTiers", ["rate", "adj", "max"]),
+    "f": ("flatDemandStrux", "flatDemandTiers", ["rate", "adj", "max"]),
+}
+
+
+def digests() -> list:
+    """Every nested column as numbers that depend on each value and its place:
+    sums of values weighted by (month, hour), by month, or by (period, tier);
+    units count by their last letter.  NULL stays NULL."""
+    out = [
+        F.expr(
+            f"aggregate(flatten(transform({c}, (r, i) -> transform(r, (v, j) -> CAST((i * 24 + j + 1) * v AS BIGINT)))), "
+            "0L, (a, x) -> a + x)"
+        ).alias(name)
+        for name, c in MATRICES.items()
+    ]
+    out.append(F.expr("aggregate(transform(flatDemandMonths, (v, i) -> CAST((i + 1) * v AS BIGINT)), 0L, (a, x) -> a + x)").alias("months"))
+    for name, (strux, tiers, fields) in STRUCTURES.items():
+        for f in fields:
+            value = "ascii(right(t.unit, 1))" if f == "unit" else f"t.{f}"
+            out.append(
+                F.expr(
+                    f"aggregate(flatten(transform({strux}, (p, i) -> transform(coalesce(p.{tiers}, array()), "
+                    f"(t, j) -> ((i + 1) * 100 + j + 1) * coalesce(CAST({value} AS DOUBLE), 0D)))), 0D, (a, x) -> a + x)"
+                ).alias(f"{name}_{f}")
+            )
+        out.append(
+            F.expr(f"CAST(aggregate({strux}, 0, (a, p) -> a + coalesce(size(p.{tiers}), 0)) AS BIGINT)").alias(f"{name}_tiers")
+        )
+    return out
+
 
 # --- sources ---------------------------------------------------------------
 def q_scan_plans(spark, sf):
     path = scratch_path(spark, "plans-json")
     records(spark, sf).write.json(path)
     back = publish.read_plans(spark, path)
-    return back.select(
-        "label", "eiaId", "utilityName", "rateName", "sector", "fixedChargeFirstMeter",
-        _size_or_null("energyRateStrux").alias("n_energy_periods"),
-    )
+    flat = [f.name for f in back.schema.fields if f.dataType.typeName() != "array"]
+    dates = F.expr("concat_ws(',', transform(revisions, r -> coalesce(r.date, '-')))").alias("revisions")
+    return rounded(back.select(*flat, dates, *digests()))
 
 
 def q_publish_parquet(spark, sf):
@@ -106,15 +135,7 @@ def q_rates_json(spark, sf):
 
 
 def q_default_structures(spark, sf):
-    out = in_effect(spark, sf).transform(clean.default_structures)
-    return out.select(
-        *KEYS,
-        F.size("flatDemandMonths").alias("n_flat_months"),
-        F.expr("aggregate(flatDemandMonths, 0L, (a, x) -> a + x)").alias("flat_month_sum"),
-        F.size("energyRateStrux").alias("n_energy_periods"),
-        F.size("demandRateStrux").alias("n_demand_periods"),
-        _cell_sum("energyWeekdaySched").alias("energy_weekday_sum"),
-    )
+    return rounded(in_effect(spark, sf).transform(clean.default_structures).select(*KEYS, *digests()))
 
 
 # --- cleaning ---------------------------------------------------------------
@@ -132,7 +153,7 @@ def q_latest_revision(spark, sf):
 
 def q_latest_per_utility(spark, sf):
     dated = records(spark, sf).transform(clean.sector_filter).withColumn(
-        "revision_date", F.array_max(F.transform("revisions", lambda r: parse_instant(r["date"])))
+        "revision_date", clean.newest_revision()
     )
     return clean.latest_per_utility(dated).select("label", "utilityName", "revision_date")
 
@@ -163,32 +184,21 @@ def q_daily_to_monthly(spark, sf):
 
 
 def q_empty_to_null(spark, sf):
-    out = in_effect(spark, sf).transform(clean.empty_to_null)
-    return out.select(
-        *KEYS,
-        _size_or_null("flatDemandMonths").alias("n_flat_months"),
-        _size_or_null("energyWeekdaySched").alias("n_energy_weekday_rows"),
-    )
+    return rounded(in_effect(spark, sf).transform(clean.empty_to_null).select(*KEYS, *digests()))
 
 
 def q_default_schedule(spark, sf):
     out = in_effect(spark, sf).transform(clean.empty_to_null).transform(clean.default_schedule)
-    return out.select(
-        *KEYS,
-        _cell_sum("energyWeekdaySched").alias("energy_weekday_sum"),
-        _cell_sum("demandWeekendSched").alias("demand_weekend_sum"),
-    )
+    demand = reshape.demand_schedule(out).withColumn("kind", F.lit("demand"))
+    return demand.unionByName(reshape.energy_schedule(out).withColumn("kind", F.lit("energy")))
 
 
 def q_clean_plans(spark, sf):
-    p = plans(spark, sf)
-    return rounded(
-        p.select(
-            *PLAN_SCALARS,
-            _size_or_null("flatDemandMonths").alias("n_flat_months"),
-            _size_or_null("energyRateStrux").alias("n_energy_periods"),
-        )
-    )
+    return rounded(plans(spark, sf).select(*PLAN_SCALARS, *digests()))
+
+
+def q_revision_dates(spark, sf):
+    return clean.revision_dates_report(records(spark, sf))
 
 
 # --- reshape ----------------------------------------------------------------
@@ -256,7 +266,8 @@ def q_energy_combo(spark, sf):
 
 
 def q_multi_unit(spark, sf):
-    return rounded(combine.with_multi_unit(_energy_combo(spark, sf)))
+    p = relational.co_located(plans(spark, sf))
+    return rounded(combine.energy_combo_with_flag(reshape.energy_schedule(p), reshape.energy_structure(p)).drop(NAME_KEY))
 
 
 # --- waterfall and levelized costs --------------------------------------------
@@ -280,25 +291,47 @@ def q_tier_waterfall(spark, sf):
 
 
 def q_levelized_demand(spark, sf):
-    return rounded(relational.costs(plans(spark, sf))["demand"])
+    return rounded(relational.costs(plans(spark, sf))["demand"].drop(NAME_KEY))
 
 
 def q_levelized_flat_demand(spark, sf):
-    return rounded(relational.costs(plans(spark, sf))["flat"])
+    return rounded(relational.costs(plans(spark, sf))["flat"].drop(NAME_KEY))
 
 
 def q_levelized_energy(spark, sf):
-    return rounded(relational.costs(plans(spark, sf))["energy"])
+    return rounded(relational.costs(plans(spark, sf))["energy"].drop(NAME_KEY))
+
+
+def q_levelized_demand_billed(spark, sf):
+    p = relational.co_located(plans(spark, sf))
+    combo = combine.demand_combo(relational.schedules(p)["demand"], reshape.demand_structure(p))
+    return rounded(waterfall.levelized_demand(combo, denominator="billed").drop(NAME_KEY))
+
+
+def q_levelized_flat_demand_billed(spark, sf):
+    p = relational.co_located(plans(spark, sf))
+    combo = combine.flat_combo(relational.schedules(p)["flat"], reshape.flat_structure(p))
+    return rounded(waterfall.levelized_flat_demand(combo, denominator="billed").drop(NAME_KEY))
+
+
+def q_demand_total_billed(spark, sf):
+    c = relational.costs(plans(spark, sf))
+    total = combine.demand_total(c["schedules"]["demand"], c["demand"], c["flat"], denominator="billed")
+    return rounded(total.select(*KEYS_S, "week_part", "month", "hour", "levelized_total_demand_cost"))
+
+
+def q_energy_structure_dropped(spark, sf):
+    return rounded(reshape.energy_structure(plans(spark, sf), keep_empty=False))
 
 
 def q_demand_total(spark, sf):
     c = relational.costs(plans(spark, sf))
-    return rounded(combine.demand_total(c["schedules"]["demand"], c["demand"], c["flat"]))
+    return rounded(combine.demand_total(c["schedules"]["demand"], c["demand"], c["flat"]).drop(NAME_KEY))
 
 
 def q_energy_total(spark, sf):
     c = relational.costs(plans(spark, sf))
-    return rounded(combine.energy_total(c["schedules"]["energy"], c["energy"]))
+    return rounded(combine.energy_total(c["schedules"]["energy"], c["energy"]).drop(NAME_KEY))
 
 
 def q_utility_rates(spark, sf):
@@ -323,7 +356,12 @@ def q_drop_high_fixed(spark, sf):
 
 
 def q_drop_high_energy(spark, sf):
-    return rounded(quality.drop_high_energy(rates(spark, sf), limit=TEST_ENERGY_LIMIT))
+    cells = cut_lineage(nested.rate_cells(plans(spark, sf)))
+    return rounded(nested.explode_cells(nested.drop_failing_names(cells, f"c.total_energy_rate > {TEST_ENERGY_LIMIT}D")))
+
+
+def q_drop_high_energy_long(spark, sf):
+    return rounded(quality.drop_high_energy(cut_lineage(rates(spark, sf)), limit=TEST_ENERGY_LIMIT))
 
 
 def q_drop_multi_unit(spark, sf):
@@ -335,7 +373,13 @@ def q_keep_multi_unit(spark, sf):
 
 
 def q_drop_negative(spark, sf):
-    return rounded(quality.drop_negative(rates(spark, sf)))
+    cells = cut_lineage(nested.rate_cells(plans(spark, sf)))
+    kept = nested.drop_failing_names(cells, "c.total_energy_rate < 0 OR c.total_demand_rate < 0")
+    return rounded(nested.explode_cells(kept))
+
+
+def q_drop_negative_long(spark, sf):
+    return rounded(quality.drop_negative(cut_lineage(rates(spark, sf))))
 
 
 def q_published_rates(spark, sf):
@@ -343,7 +387,7 @@ def q_published_rates(spark, sf):
 
 
 def q_published_rates_stepwise(spark, sf):
-    return rounded(relational.published(rates(spark, sf)))
+    return rounded(relational.published(cut_lineage(relational.utility_rates(plans(spark, sf)))))
 
 
 def q_count_plans(spark, sf):
@@ -365,10 +409,18 @@ def q_validation_report(spark, sf):
 
 def q_validation_report_cells(spark, sf):
     p = plans(spark, sf)
-    cells = nested.kept_plans(end_to_end.published_cells(p, drop_negative=True))
+    cells = cut_lineage(nested.kept_plans(end_to_end.published_cells(p, drop_negative=True)))
     return validate.validation_report_cells(p, cells)
 
 
+def q_validation_failures(spark, sf):
+    """The checks on unfiltered rates with some rows twice, at limits that some rows exceed."""
+    p = plans(spark, sf)
+    hourly = nested.explode_cells(cut_lineage(nested.rate_cells(p)))
+    twice = hourly.unionByName(hourly.where("month = 1 AND hour = 1"))
+    return validate.validation_report(p, twice, fixed_limit=TEST_FIXED_CHECK, energy_limit=TEST_ENERGY_LIMIT)
+
+
 # --- report -------------------------------------------------------------------------
 def q_rates_profile(spark, sf):
     return rounded(profile.rates_profile(published(spark, sf)))

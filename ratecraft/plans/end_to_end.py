@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean
-from . import nested
+from ..sources import tpch
+from ..session import cut_lineage
+from . import nested, relational
 from .relational import Load
 
 
@@ -14,6 +16,12 @@ def clean_plans(records: DataFrame, sector: str = "Commercial") -> DataFrame:
     return clean.clean_plans(records, sector=sector)
 
 
+def clean_table_plans(spark: SparkSession, sf_dir: str, sector: str = "Commercial") -> DataFrame:
+    """Cleaned plans of the driver tables; the payload is built for the plans that stay only."""
+    records = tpch.plan_records(spark, sf_dir)
+    return clean.clean_plans(records, sector, payload=lambda plans: tpch.plan_records(spark, sf_dir, only=plans))
+
+
 def hourly_rates(plans: DataFrame, load: Load = Load()) -> DataFrame:
     """``utility_rates`` (unfiltered hourly table) via the nested path."""
     return nested.explode_cells(nested.rate_cells(plans, load.monthly_kwh, load.peak_kw))
@@ -31,6 +39,18 @@ def published_rates(plans: DataFrame, load: Load = Load(), drop_negative: bool =
     return nested.explode_cells(published_cells(plans, load, drop_negative))
 
 
+def any_published_rates(plans: DataFrame, load: Load = Load(), drop_negative: bool = False) -> DataFrame:
+    """``published_rates`` for landed plans that may have skipped K1.
+
+    Where plans share a name, joins multiply rows and W4/W5 judge the whole
+    name; the relational path does both.  Unique names (one narrow aggregate
+    tells) take the path without shuffles, which then gives the same rows.
+    """
+    if nested.names_are_unique(plans):
+        return published_rates(plans, load, drop_negative)
+    return relational.published(cut_lineage(relational.utility_rates(plans, load)), drop_negative)
+
+
 def rate_json_rows(plans: DataFrame, load: Load = Load(), drop_negative: bool = False) -> DataFrame:
     """One row per plan with four 12x24 matrices (the JSON document rows)."""
     return nested.rate_matrices(nested.kept_plans(published_cells(plans, load, drop_negative)))
@@ -46,7 +66,6 @@ def run_job(records: DataFrame, out_dir: str, load: Load = Load(), enforce: bool
     W5 (what the reference validates), written, and only then enforced (V8).
     """
     from ..operators import validate
-    from ..session import cut_lineage
     from ..sources import publish
 
     spark = records.sparkSession
@@ -58,6 +77,8 @@ def run_job(records: DataFrame, out_dir: str, load: Load = Load(), enforce: bool
     }
     publish.land_plans(clean_plans(records), paths["plans"])
     plans = spark.read.parquet(paths["plans"])
+    if not nested.names_are_unique(plans):
+        raise ValueError("several plans share a name after K1: revision selection was skipped")
     published = cut_lineage(nested.kept_plans(published_cells(plans, load, drop_negative=False)))
     publish.write_rates_parquet(nested.explode_cells(published), paths["rates"])
     publish.write_rates_json(nested.rate_matrices(published), paths["json"])

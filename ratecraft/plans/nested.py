@@ -15,7 +15,7 @@ that is evaluated *inside the row* with higher-order functions:
 The physical plan has no Exchange after K2, whatever the data size, and a
 skewed utility or plan name cannot concentrate work: the unit of work is a
 row.  The relational operators in ``operators`` compute the same result
-step by step (tested equal in ``tests/test_nested.py``).
+step by step (tested equal in ``tests/test_pipeline.py`` and ``tests/test_properties.py``).
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from ..constants import (
     WEEKDAY,
     WEEKEND,
 )
-from ..schema import PLAN_KEYS
+from ..schema import NAME_KEYS, PLAN_KEYS
 from ..sources.publish import grid_matrix_sql
 
 INF = "CAST('Infinity' AS DOUBLE)"
@@ -271,6 +271,25 @@ def filter_plans(
     ).withColumn("keep", F.col("keep") & (F.size("cells") > 0))
 
 
+def drop_failing_names(plan_cells: DataFrame, fails: str) -> DataFrame:
+    """W4/W5 at plan grain: drop the plan rows of every (utilityName, rateName)
+    with a cell ``c`` for which the SQL condition ``fails`` is true.
+
+    The verdict is one narrow row per failing name; the hourly rows are
+    exploded afterwards, from the plan rows that stay.  Exact for any input,
+    also where several plans share a name.  Pass materialized plan rows:
+    they are read twice.
+    """
+    failing = plan_cells.where(F.expr(f"exists(cells, c -> coalesce({fails}, false))")).select(*NAME_KEYS).distinct()
+    bad = failing.select(*[F.col(k).alias(f"_bad_{k}") for k in NAME_KEYS])
+    return plan_cells.join(bad, [F.col(k).eqNullSafe(F.col(f"_bad_{k}")) for k in NAME_KEYS], "left_anti")
+
+
+def names_are_unique(plans: DataFrame) -> bool:
+    """Whether every (utilityName, rateName) is one plan, as after K1; an aggregate over two narrow columns."""
+    return plans.groupBy(*NAME_KEYS).agg(F.count(F.lit(1)).alias("n")).where("n > 1").first() is None
+
+
 def kept_plans(df: DataFrame) -> DataFrame:
     """Plan rows whose ``keep`` flag is set.
 

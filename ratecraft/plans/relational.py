@@ -4,7 +4,8 @@ Mirrors the reference's target graph, with one deliberate re-ordering:
 the levelizers only need the *distinct* (plan, period) pairs of a
 schedule, so the tier joins run on those (at most a few rows per plan)
 instead of on the 576-row hourly schedule ("late fan-out").  The hourly
-rows are joined to the per-period costs only once, at the end.
+rows are joined to the per-period costs only once, at the end.  The plans
+are landed and dealt by name once, and the chain keeps that partitioning.
 """
 
 from __future__ import annotations
@@ -14,8 +15,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from ..constants import MONTHLY_USAGE_KWH, PEAK_DEMAND_KW
+from ..functions.columns import NAME_KEY, carried, name_key
 from ..operators import combine, quality, reshape, waterfall
 from ..schema import PLAN_KEYS_SECTOR
+from ..session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -27,6 +30,20 @@ class Load:
     peak_kw: float = PEAK_DEMAND_KW
 
 
+def co_located(plans: DataFrame) -> DataFrame:
+    """The plans landed once (reliable checkpoint), dealt by plan name.
+
+    Every table of the chain comes from this one and carries the name key, so
+    its windows, aggregates and joins keep the partitioning; only the hourly
+    compile (J6) shuffles again.  After K1 a name is one plan, so no task
+    gets more than its share.
+    """
+    if NAME_KEY in plans.columns:
+        return plans
+    n = int(plans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage(plans.withColumn(NAME_KEY, name_key()).repartition(n, NAME_KEY))
+
+
 def schedules(plans: DataFrame) -> dict[str, DataFrame]:
     return {
         "demand": reshape.demand_schedule(plans),
@@ -44,10 +61,11 @@ def structures(plans: DataFrame) -> dict[str, DataFrame]:
 
 
 def _periods(sched: DataFrame) -> DataFrame:
-    return sched.select(*PLAN_KEYS_SECTOR, "period").distinct()
+    return sched.select(*carried(sched, PLAN_KEYS_SECTOR), "period").distinct()
 
 
 def costs(plans: DataFrame, load: Load = Load()) -> dict[str, DataFrame]:
+    plans = co_located(plans)
     sch = schedules(plans)
     st = structures(plans)
     d_combo = combine.demand_combo(_periods(sch["demand"]), st["demand"])
@@ -62,6 +80,7 @@ def costs(plans: DataFrame, load: Load = Load()) -> dict[str, DataFrame]:
 
 
 def utility_rates(plans: DataFrame, load: Load = Load()) -> DataFrame:
+    plans = co_located(plans)
     c = costs(plans, load)
     d_total = combine.demand_total(c["schedules"]["demand"], c["demand"], c["flat"], load.peak_kw)
     e_total = combine.energy_total(c["schedules"]["energy"], c["energy"])

@@ -7,7 +7,9 @@ missing, which is the case in local tests.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -22,6 +24,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -61,21 +64,40 @@ def ensure_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is missing (local tests) a folder under the
-    system temp directory is created and registered.
+    A session whose executors are this process (``local`` masters, as in
+    tests) may go without the setting and gets a folder of its own, which is
+    removed at exit.  Anywhere else a missing setting is an error: a folder
+    on one machine's disk would lose data.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="ratecraft-ckpt-")
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = tempfile.mkdtemp(prefix="ratecraft-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+_HANDED_OUT: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique location under the shared folder."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh, unique location under the shared folder; ``release_scratch`` deletes it."""
+    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    _HANDED_OUT.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete everything written under paths of ``scratch_path``, once no result is read from it any more."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _HANDED_OUT:
+        path = jvm.org.apache.hadoop.fs.Path(_HANDED_OUT.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -1,8 +1,6 @@
 """Sources and sinks: plan JSON scan, Parquet and JSON publication.
 
-* S1: JSON records are read with the explicit ``PLAN_SCHEMA`` (no
-  inference pass).  JSON lines split across tasks; a single JSON *array*
-  document needs ``multiLine`` and is one task per file, so it is landed
+* S1: the tolerant JSON scan is in ``sources.plans``; records are landed
   once as Parquet (``land_plans``) and every later job scans the Parquet.
 * S2/S4: outputs are written by the executors in parallel; nothing is
   collected on the driver.
@@ -14,14 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import JSON_DECIMALS, WEEKDAY, WEEKEND
-from ..schema import PLAN_SCHEMA
+from .plans import read_plans  # noqa: F401  (part of this module's interface)
 
 
 # --- S1 -------------------------------------------------------------------
-def read_plans(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    return spark.read.schema(PLAN_SCHEMA).option("multiLine", multi_line).json(path)
-
-
 def land_plans(records: DataFrame, path: str, mode: str = "overwrite") -> str:
     records.write.mode(mode).parquet(path)
     return path
@@ -132,18 +126,18 @@ def matrices_to_long(df: DataFrame) -> DataFrame:
 
 
 # --- S4 -------------------------------------------------------------------
-def round_matrices(df: DataFrame, decimals: int = JSON_DECIMALS) -> DataFrame:
-    return df.withColumns(
-        {
-            c: F.transform(c, lambda row: F.transform(row, lambda x: F.round(x, decimals)))
-            for c in MATRIX_COLUMNS
-        }
-    )
+def round_numbers(df: DataFrame, decimals: int = JSON_DECIMALS) -> DataFrame:
+    """Every number of the document rounded: the fixed charge and the matrices."""
+    matrices = {
+        c: F.transform(c, lambda row: F.transform(row, lambda x: F.round(x, decimals)))
+        for c in MATRIX_COLUMNS
+    }
+    return df.withColumns({"fixedchargefirstmeter": F.round("fixedchargefirstmeter", decimals)} | matrices)
 
 
 def write_rates_json(matrices: DataFrame, path: str, mode: str = "overwrite") -> str:
     """JSON lines, one plan document per line; NULL fields are omitted."""
-    round_matrices(matrices).write.mode(mode).json(path)
+    round_numbers(matrices).write.mode(mode).json(path)
     return path
 
 

@@ -129,11 +129,19 @@ def tier_arrays(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def plan_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One nested plan record per order, in ``PLAN_SCHEMA``."""
+def plan_records(spark: SparkSession, sf_dir: str, only: DataFrame | None = None) -> DataFrame:
+    """One nested plan record per order, in ``PLAN_SCHEMA``.
+
+    ``only`` (rows with a ``label``) builds the records of these labels:
+    orders and lineitems are restricted before anything is grouped or joined.
+    """
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    if only is not None:
+        wanted = only.select(F.col("label").cast("long").alias("_wanted"))
+        orders = orders.join(wanted, F.col("o_orderkey") == F.col("_wanted"), "left_semi")
+        lineitem = lineitem.join(wanted, F.col("l_orderkey") == F.col("_wanted"), "left_semi")
 
     # Schedules and months depend on the customer only: build them once per
     # customer, before the join, instead of once per order.

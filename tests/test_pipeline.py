@@ -136,7 +136,7 @@ def test_dates_tolerant(spark):
 
 def test_required_columns_guard(spark):
     df = spark.createDataFrame([(1,)], "x int")
-    with pytest.raises(ValueError, match="missing required columns"):
+    with pytest.raises(ValueError, match="which the input lacks"):
         clean.plans_in_effect(df)
 
 
