@@ -9,7 +9,8 @@ Stage 1 builds and cleans the plan records from the driver tables and lands
 them as Parquet in the shared checkpoint folder (the survey's "land the
 plan file once" step).  Every later query scans that Parquet, the way a
 scheduled job would, and is forced to full execution with the ``noop``
-sink (hourly tables, JSON rows) or a collect of its small result.
+sink, or a collect where the result has a fixed, small number of rows
+(funnel, report, profile, trend).  What was landed is deleted at the end.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ratecraft.operators import profile, quality, validate  # noqa: E402
 from ratecraft.plans import end_to_end, nested, relational  # noqa: E402
-from ratecraft.session import build_session, cut_lineage, scratch_path  # noqa: E402
-from ratecraft.sources import publish, tpch  # noqa: E402
+from ratecraft.session import build_session, cut_lineage, release_scratch, scratch_path  # noqa: E402
+from ratecraft.sources import publish  # noqa: E402
 
 
 def main() -> None:
@@ -55,15 +56,15 @@ def main() -> None:
     landed = scratch_path(spark, "bench-plans")
     timed(
         "land_clean_plans",
-        lambda: publish.land_plans(end_to_end.clean_plans(tpch.plan_records(spark, sf_dir)), landed),
+        lambda: publish.land_plans(end_to_end.clean_table_plans(spark, sf_dir), landed),
     )
     plans = spark.read.parquet(landed)
 
     timed("utility_rates", lambda: noop(end_to_end.hourly_rates(plans)))
     timed("published_rates", lambda: noop(end_to_end.published_rates(plans)))
     timed("rates_json_rows", lambda: noop(end_to_end.rate_json_rows(plans)))
-    timed("levelized_energy", lambda: relational.costs(plans)["energy"].collect())
-    timed("levelized_demand", lambda: relational.costs(plans)["demand"].collect())
+    timed("levelized_energy", lambda: noop(relational.costs(plans)["energy"]))
+    timed("levelized_demand", lambda: noop(relational.costs(plans)["demand"]))
     timed("filter_funnel", lambda: quality.filter_funnel_cells(nested.rate_cells(plans)).collect())
 
     def validation():
@@ -90,6 +91,7 @@ def main() -> None:
             }
         )
     )
+    release_scratch(spark)
     spark.stop()
 
 

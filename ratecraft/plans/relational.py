@@ -18,7 +18,7 @@ from ..constants import MONTHLY_USAGE_KWH, PEAK_DEMAND_KW
 from ..functions.columns import NAME_KEY, carried, name_key
 from ..operators import combine, quality, reshape, waterfall
 from ..schema import PLAN_KEYS_SECTOR
-from ..session import cut_lineage
+from ..session import dealt_by
 
 
 @dataclass(frozen=True)
@@ -31,7 +31,7 @@ class Load:
 
 
 def co_located(plans: DataFrame) -> DataFrame:
-    """The plans landed once (reliable checkpoint), dealt by plan name.
+    """The plans landed once, in buckets of the plan name.
 
     Every table of the chain comes from this one and carries the name key, so
     its windows, aggregates and joins keep the partitioning; only the hourly
@@ -40,8 +40,7 @@ def co_located(plans: DataFrame) -> DataFrame:
     """
     if NAME_KEY in plans.columns:
         return plans
-    n = int(plans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cut_lineage(plans.withColumn(NAME_KEY, name_key()).repartition(n, NAME_KEY))
+    return dealt_by(plans.withColumn(NAME_KEY, name_key()), NAME_KEY, "plans_by_name")
 
 
 def schedules(plans: DataFrame) -> dict[str, DataFrame]:

@@ -83,6 +83,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _HANDED_OUT: list[str] = []
+_TABLES: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -94,12 +95,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def release_scratch(spark: SparkSession) -> None:
     """Delete everything written under paths of ``scratch_path``, once no result is read from it any more."""
+    while _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     while _HANDED_OUT:
         path = jvm.org.apache.hadoop.fs.Path(_HANDED_OUT.pop())
         path.getFileSystem(conf).delete(path, True)
 
 
+def dealt_by(df: DataFrame, column: str, name: str) -> DataFrame:
+    """The table written to the shared folder in buckets of a column, and read back.
+
+    Windows, aggregates and joins on the column then need no shuffle.  The
+    table is external and unique to the call; ``release_scratch`` drops it.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, name)
+    table = f"{name}_{uuid.uuid4().hex[:12]}".replace("-", "_")
+    _TABLES.append(table)
+    df.repartition(n, column).write.bucketBy(n, column).sortBy(column).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     shared_dir(df.sparkSession)

@@ -76,8 +76,9 @@ def compare(spark, sf_dir: str, keys: list[str] | None = None) -> dict:
 
 
 if __name__ == "__main__":
-    from ratecraft.session import build_session
+    from ratecraft.session import build_session, release_scratch
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", shuffle_partitions=8)
     compare(spark, sf, sys.argv[2:] or None)
+    release_scratch(spark)

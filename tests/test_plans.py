@@ -59,3 +59,40 @@ def test_results_do_not_depend_on_session_settings(spark):
             spark.conf.set(k, v)
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert sorted(map(repr, base)) == sorted(map(repr, other))
+
+
+def test_relational_chain_shuffles_twice_after_landing(spark):
+    """The plans are landed and dealt by name; only the hourly compile (J6) shuffles again."""
+    from ratecraft.plans import relational
+
+    plans = relational.co_located(end_to_end.clean_table_plans(spark, SF))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        costs = relational.costs(plans)
+        for name in ("demand", "flat", "energy"):
+            assert _physical(costs[name]).count("Exchange hashpartitioning") <= 2, name
+        assert _physical(relational.utility_rates(plans)).count("Exchange hashpartitioning") <= 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_clean_plans_selects_revisions_on_narrow_rows(spark):
+    """K1 has run on flat columns when the plan rows are built: the plan holds no window over nested columns."""
+    plans = end_to_end.clean_table_plans(spark, SF)
+    text = _physical(plans)
+    assert "WindowGroupLimit" not in text and "Window " not in text
+    assert text.count("lineitem.parquet") == 1
+    records = tpch.plan_records(spark, SF)
+    winners = clean.current_plans(records.drop(*[c for c in records.columns if c.endswith(("Strux", "Sched", "Months"))]))
+    assert winners.count() == plans.count()
+
+
+def test_group_filters_judge_names_before_hours(spark):
+    """W4 at plan grain: the hourly rows are generated once, above the join that drops names."""
+    from ratecraft.session import cut_lineage
+
+    cells = cut_lineage(nested.rate_cells(end_to_end.clean_table_plans(spark, SF)))
+    kept = nested.explode_cells(nested.drop_failing_names(cells, "c.total_energy_rate > 0.1"))
+    text = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Generate ") == 1 and text.index("Generate ") < text.index("Join LeftAnti")
