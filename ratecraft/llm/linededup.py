@@ -20,9 +20,9 @@ from each of its lines.  So the lines to delete are the union of the
 occurrences of such runs, without the first occurrence of each (documents
 ordered by id, then by place).
 
-A run that very many documents share is a hot name: its first place is a
-minimum that is combined before the shuffle, and the join that marks the other
-occurrences is left to Spark, which splits skewed joins.
+A run that very many documents share is a hot name: names are counted, and
+first places taken, by aggregates that are combined before the shuffle, and the
+joins back to the occurrences are left to Spark, which splits skewed joins.
 
 Defined cases: null and empty texts have no lines and stay as they are; a
 null id comes after all others; rows repeated under one id with one text
@@ -36,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -137,15 +137,13 @@ def later_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 )
 
     kind = src.schema["doc_id"].dataType.simpleString()
-    found = src.mapInArrow(runs, f"name long, doc_id {kind}, text_key long, first int, last int")
-    shared = (
-        found.groupBy("name")
-        .agg(F.min(_place()).alias("origin"), F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
-        .select("name", "origin")
-    )
+    # written once: it is read to count the names and to find the rows of those that repeat, which are few
+    found = stored(src.mapInArrow(runs, f"name long, doc_id {kind}, text_key long, first int, last int"), "line-runs")
+    twice = found.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name")
+    again = stored(found.join(twice, "name", "left_semi"), "repeated-runs")
+    origin = again.groupBy("name").agg(F.min(_place()).alias("origin"))
     return (
-        found.join(shared, "name")
+        again.join(origin, "name")
         .withColumn("place", _place())
         .filter(F.col("place") > F.col("origin"))
         .select("doc_id", "text_key", "first", "last")
@@ -154,19 +152,17 @@ def later_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def cuts(runs: DataFrame) -> DataFrame:
     """Per document the lines to delete, as maximal runs: doc_id, text_key, begins, ends (ends exclusive)."""
-    merged = F.expr(
-        """aggregate(array_sort(collect_set(struct(first, last + 1 as stop))),
-             cast(array() as array<struct<first:int,stop:int>>),
-             (acc, x) -> case
-               when size(acc) > 0 and element_at(acc, -1).stop >= x.first then
-                 concat(slice(acc, 1, size(acc) - 1),
-                        array(struct(element_at(acc, -1).first as first, greatest(element_at(acc, -1).stop, x.stop) as stop)))
-               else concat(acc, array(struct(x.first as first, x.stop as stop))) end)"""
+    of_doc = Window.partitionBy("doc_id", "text_key").orderBy("first", "last")
+    reached = F.max("last").over(of_doc.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.when(F.col("first") <= reached + 1, 0).otherwise(1)
+    numbered = runs.withColumn("fresh", fresh).withColumn(
+        "run", F.sum("fresh").over(of_doc.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
+    merged = numbered.groupBy("doc_id", "text_key", "run").agg(F.min("first").alias("b"), (F.max("last") + 1).alias("e"))
     return (
-        runs.groupBy("doc_id", "text_key")
-        .agg(merged.alias("m"))
-        .select("doc_id", "text_key", F.col("m.first").alias("begins"), F.col("m.stop").alias("ends"))
+        merged.groupBy("doc_id", "text_key")
+        .agg(F.array_sort(F.collect_list(F.struct("b", "e"))).alias("m"))
+        .select("doc_id", "text_key", F.col("m.b").alias("begins"), F.col("m.e").alias("ends"))
     )
 
 
