@@ -14,12 +14,12 @@ is at least the threshold.  The join is exact.
    bounds the overlap from above; pairs over the bound are dropped.
 3. The rest is checked exactly: the sorted hash arrays of both sets are
    intersected.
-4. Components come from alternating stars over the links.
+4. Components come from contraction over the links (``components``).
 
-A class in a tile first proposes its nearest few candidates only.  Once these
-are checked and joined, tiles with candidates left are visited again, with
-four times as many, for pairs that don't lie in one component yet, until none
-is left.  So a large group of near copies needs few pairs a class in place of
+A class in a tile first proposes its nearest few candidates only, and a tile
+with more names the classes that its candidates connect.  Once the proposals
+are checked and joined, tiles in which such classes are still apart are visited
+again, with sixteen times as many candidates, until there is none.  So a large group of near copies needs few pairs a class in place of
 all pairs, and no link between components is missed.
 
 Defined cases: a document of fewer words than n has its whole sequence as one
@@ -36,11 +36,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .components import stars
+from .components import stars, unite
 from .storage import ship, stored
 
 
@@ -85,8 +85,8 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndar
 
 
 def width_of(sizes: np.ndarray, most_bits: int) -> np.ndarray:
-    """Bits of the bitmaps: the power of two that is at least the size, between 64 and the most."""
-    return np.clip(1 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64), 64, most_bits)
+    """Bits of the bitmaps: the power of two that is at least half the size, between 64 and the most."""
+    return np.clip(1 << np.ceil(np.log2(np.maximum(sizes / 2, 1))).astype(np.int64), 64, most_bits)
 
 
 SKETCH = "doc_id {kind}, text_key long, n_shingles long, set_id binary, prefix binary, bits binary"
@@ -157,27 +157,40 @@ def tiles(cls: DataFrame, cfg: Join = Join()) -> DataFrame:
     band that exceeds a block is dealt to blocks, and a tile is a pair of them.
     """
     ship(cls.sparkSession)
-    edges = band_edges(cfg.percent)
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             raw = b.column("prefix").to_pylist()
             n = np.fromiter((len(x) // 8 for x in raw), dtype=np.int64, count=len(raw))
             at = pa.array(np.repeat(np.arange(len(raw)), n))
-            band = np.searchsorted(edges, b.column("n_shingles").to_numpy(zero_copy_only=False), side="right") - 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.frombuffer(b"".join(raw), np.int64)), b.column("cid").take(at), pa.array(band.astype(np.int32)).take(at)],
-                names=["hash", "cid", "band"],
+                [pa.array(np.frombuffer(b"".join(raw), np.int64)), b.column("cid").take(at), b.column("n_shingles").take(at)],
+                names=["hash", "cid", "size"],
             )
 
-    rows = cls.select("cid", "n_shingles", "prefix").mapInArrow(spell, "hash long, cid long, band int")
-    counts = rows.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    met = stored(rows.join(counts, "hash"), "met")
-    few = met.filter(F.col("n") <= cfg.block).select(
-        "hash", F.lit(-1).alias("band"), F.lit(0).alias("bi"), F.lit(0).alias("bj"), "cid", F.lit(True).alias("home"), F.lit(True).alias("left")
+    rows = cls.select("cid", "n_shingles", "prefix").mapInArrow(spell, "hash long, cid long, size long")
+    # hashes that the same classes share (as copies share most of theirs) give the same tile: one of them is enough
+    members = [F.bit_xor(F.xxhash64("cid", F.lit(k))).alias(f"m{k}") for k in (1, 2)]
+    near = lambda small, large: 100 * small >= cfg.percent * large  # noqa: E731  sizes of sets that can link
+    counts = (
+        rows.groupBy("hash")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("lo"), F.max("size").alias("hi"), *members)
+        .filter((F.col("n") > 2) | ((F.col("n") == 2) & near(F.col("lo"), F.col("hi"))))
     )
-    many = met.filter(F.col("n") > cfg.block).select(
-        "hash", "cid", F.explode(F.array(F.struct(F.col("band"), F.lit(True).alias("home")), F.struct((F.col("band") + 1).alias("band"), F.lit(False).alias("home")))).alias("b")
+    one = counts.groupBy("n", "m1", "m2").agg(F.min("hash").alias("hash")).select("hash", "n")
+    met = stored(rows.join(one, "hash"), "met")
+    # in order of size, a class that can link with any other of its tile can do so with a neighbour
+    by_size = Window.partitionBy("hash").orderBy("size")
+    few = (
+        met.filter(F.col("n") <= cfg.block)
+        .withColumns({"before": F.lag("size").over(by_size), "after": F.lead("size").over(by_size)})
+        .filter(F.coalesce(near(F.col("before"), F.col("size")), F.lit(False)) | F.coalesce(near(F.col("size"), F.col("after")), F.lit(False)))
+        .select("hash", F.lit(-1).alias("band"), F.lit(0).alias("bi"), F.lit(0).alias("bj"), "cid", F.lit(True).alias("home"), F.lit(True).alias("left"))
+    )
+    bands = F.array(*[F.lit(int(e)) for e in band_edges(cfg.percent)])
+    band = F.size(F.filter(bands, lambda e: e <= F.col("size")))
+    many = met.filter(F.col("n") > cfg.block).withColumn("own", band).select(
+        "hash", "cid", F.explode(F.array(F.struct(F.col("own").alias("band"), F.lit(True).alias("home")), F.struct((F.col("own") + 1).alias("band"), F.lit(False).alias("home")))).alias("b")
     ).select("hash", "cid", "b.band", "b.home")
     sizes = many.groupBy("hash", "band").agg(F.ceil(F.count(F.lit(1)) / F.lit(cfg.block)).cast("int").alias("k"), F.max("home").alias("any_home"))
     dealt = (
@@ -243,14 +256,15 @@ TILE = ["hash", "band", "bi", "bj"]
 
 def propose(tiled: DataFrame, first: int, last: int, cfg: Join) -> DataFrame:
     """Candidates ranked ``first`` to ``last`` (exclusive) by nearness for one of their classes, unless both are in one
-    component already (column root): rows (u, v) with u > v; a row (null, hash, band, bi, bj) marks a tile with more."""
+    component already (column root): rows (u, v) with u > v.  Where a tile has more, a row (cid, marks, hash, band, bi,
+    bj) for each group that its candidates connect: one class of it, and the exclusive or of its classes' marks."""
     percent = cfg.percent
 
     def pairs_of(t: dict[str, np.ndarray], bits: list[bytes]):
         cross = bool(t["bi"][0] != t["bj"][0])
         i, j, d = candidates(t["n_shingles"], bits, t["home"], t["left"], cross, percent)
         if not len(i):
-            return np.empty((0, 2), np.int64), False
+            return np.empty((0, 2), np.int64), np.empty((0, 2), np.int64)
         cid, root = t["cid"], t["root"]
         # rank of each candidate among those of either class, nearest first
         who, other, near = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([d, d])
@@ -258,23 +272,35 @@ def propose(tiled: DataFrame, first: int, last: int, cfg: Join) -> DataFrame:
         w = who[order]
         rank = np.arange(len(w)) - np.searchsorted(w, w)
         apart = root[w] != root[other[order]]
-        more = bool((apart & (rank >= last)).any())
+        rest = order[apart & (rank >= last)]
+        more = np.empty((0, 2), np.int64)
+        if len(rest):
+            # the classes connected to a candidate left over, by the tile's whole candidate graph
+            ids, group = unite(i, j)
+            open_ = np.isin(group, group[np.searchsorted(ids, who[rest])])
+            first_of = group[open_]
+            heads, at = np.unique(first_of, return_inverse=True)
+            marks = np.zeros(len(heads), dtype=np.int64)
+            np.bitwise_xor.at(marks, at, t["mark"][ids[open_]])
+            more = np.stack([cid[heads], marks], axis=1)
         take = order[apart & (rank >= first) & (rank < last)]
         a, b = cid[who[take]], cid[other[take]]
         pair = np.stack([np.maximum(a, b), np.minimum(a, b)], axis=1)
         return pair[pair[:, 0] != pair[:, 1]], more
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("hash", pa.int64()), ("band", pa.int32()), ("bi", pa.int32()), ("bj", pa.int32())])
+        schema = pa.schema([(c, pa.int64()) for c in ("u", "v", "cid", "marks", "hash")] + [(c, pa.int32()) for c in ("band", "bi", "bj")])
         found: list[np.ndarray] = []
-        open_: list[list[int]] = []
+        open_: list[np.ndarray] = []
 
         def flush() -> pa.RecordBatch:
             pairs = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
-            n, m = len(pairs), len(open_)
-            cols = [pa.array(np.concatenate([pairs[:, k], np.zeros(m, np.int64)]), pa.int64(), mask=np.arange(n + m) >= n) for k in (0, 1)]
-            for k in range(4):
-                cols.append(pa.array([None] * n + [o[k] for o in open_], schema.types[k + 2]))
+            more = np.concatenate(open_) if open_ else np.empty((0, 6), np.int64)
+            n, m = len(pairs), len(more)
+            is_pair = np.arange(n + m) < n
+            cols = [pa.array(np.concatenate([pairs[:, k], np.zeros(m, np.int64)]), mask=~is_pair) for k in (0, 1)]
+            for k, t in enumerate(schema.types[2:]):
+                cols.append(pa.array(np.concatenate([np.zeros(n, np.int64), more[:, k]]), mask=is_pair).cast(t))
             found.clear()
             open_.clear()
             return pa.RecordBatch.from_arrays(cols, schema=schema)
@@ -286,14 +312,15 @@ def propose(tiled: DataFrame, first: int, last: int, cfg: Join) -> DataFrame:
             edges = _starts(t)
             # the last tile may go on in the next batch
             rest = t.slice(edges[-1])
-            _visit_tiles(t.slice(0, edges[-1]), edges[:-1], pairs_of, found, open_)
-            if sum(map(len, found)) > 500_000:
+            _visit_tiles(t.slice(0, edges[-1]), edges[:-1], pairs_of, first, percent, found, open_)
+            if sum(map(len, found)) + sum(map(len, open_)) > 500_000:
                 yield flush()
         if rest is not None:
-            _visit_tiles(rest, [0], pairs_of, found, open_)
+            _visit_tiles(rest, [0], pairs_of, first, percent, found, open_)
         yield flush()
+        tx.release()
 
-    return tiled.mapInArrow(visit, "u long, v long, hash long, band int, bi int, bj int")
+    return tiled.mapInArrow(visit, "u long, v long, cid long, marks long, hash long, band int, bi int, bj int")
 
 
 def _starts(t: pa.Table) -> list[int]:
@@ -302,18 +329,49 @@ def _starts(t: pa.Table) -> list[int]:
     return [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist()]
 
 
-def _visit_tiles(t: pa.Table, edges: list[int], pairs_of, found: list, open_: list) -> None:
+def _pairs_alone(cols: dict[str, np.ndarray], bits: list[bytes], first: np.ndarray, percent: int) -> np.ndarray:
+    """Candidates of the tiles of two classes each (rows ``first`` and the next), all at once."""
+    cid, size, root = cols["cid"], cols["n_shingles"], cols["root"]
+    a, b = first, first + 1
+    ok = (root[a] != root[b]) & (cols["home"][a] | cols["home"][b])
+    ok &= (cols["bi"][a] == cols["bj"][a]) | (cols["left"][a] != cols["left"][b])
+    ok &= 100 * np.minimum(size[a], size[b]) >= percent * np.maximum(size[a], size[b])
+    a, b = a[ok], b[ok]
+    width = np.fromiter(map(len, bits), dtype=np.int64, count=len(bits))
+    swap = width[a] > width[b]
+    a, b = np.where(swap, b, a), np.where(swap, a, b)
+    out = []
+    for w in np.unique(width[a]).tolist():
+        for fold in (False, True):
+            at = np.flatnonzero((width[a] == w) & (width[b] == (2 * w if fold else w)))
+            if len(at):
+                x, y = _bit_rows([bits[i] for i in a[at]]), _bit_rows([bits[i] for i in b[at]])
+                if fold:
+                    y = y[:, : x.shape[1]] ^ y[:, x.shape[1] :]
+                total = size[a[at]] + size[b[at]]
+                differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+                at = at[(100 + percent) * (total - differ) >= 2 * percent * total]
+                out.append(np.stack([np.maximum(cid[a[at]], cid[b[at]]), np.minimum(cid[a[at]], cid[b[at]])], axis=1))
+    return np.concatenate(out) if out else np.empty((0, 2), np.int64)
+
+
+def _visit_tiles(t: pa.Table, edges: list[int], pairs_of, first: int, percent: int, found: list, open_: list) -> None:
     if not edges or not t.num_rows:
         return
-    cols = {c: t.column(c).to_numpy() for c in (*TILE, "cid", "n_shingles", "home", "left", "root")}
+    cols = {c: t.column(c).to_numpy() for c in (*TILE, "cid", "n_shingles", "home", "left", "root", "mark")}
     bits = t.column("bits").to_pylist()
+    start = np.array(edges)
+    two = start[np.diff(np.append(start, t.num_rows)) == 2]
+    if len(two) and first == 0:
+        found.append(_pairs_alone(cols, bits, two, percent))
     for s, e in zip(edges, [*edges[1:], t.num_rows], strict=True):
-        if e - s > 1:
+        if e - s > 2:
             pairs, more = pairs_of({c: v[s:e] for c, v in cols.items()}, bits[s:e])
             if len(pairs):
                 found.append(pairs)
-            if more:
-                open_.append([int(cols[c][s]) for c in TILE])
+            if len(more):
+                tile = np.array([[cols[c][s] for c in TILE]], dtype=np.int64)
+                open_.append(np.concatenate([more, np.repeat(tile, len(more), axis=0)], axis=1))
 
 
 def exact_links(pairs: DataFrame, sets: DataFrame, cfg: Join) -> DataFrame:
@@ -331,6 +389,7 @@ def exact_links(pairs: DataFrame, sets: DataFrame, cfg: Join) -> DataFrame:
                 common = int((q[np.minimum(at, len(q) - 1)] == p).sum())
                 keep[i] = 100 * common >= percent * (len(p) + len(q) - common)
             yield b.select(["u", "v"]).filter(pa.array(keep))
+        tx.release()
 
     both = pairs.join(sets.select(F.col("cid").alias("u"), F.col("hashes").alias("a")), "u").join(
         sets.select(F.col("cid").alias("v"), F.col("hashes").alias("b")), "v"
@@ -374,8 +433,7 @@ def link_roots(docs: DataFrame, cls: DataFrame, cfg: Join = Join(), id_col: str
     The links found connect every component; links inside a component may be left unchecked.
     """
     spark = docs.sparkSession
-    tiled = tiles(cls, cfg).withColumn("root", F.col("cid"))
-    tiled = stored(tiled, "tiles")
+    tiled = stored(tiles(cls, cfg).withColumns({"root": F.col("cid"), "mark": F.xxhash64("cid")}), "tiles")
     links = spark.createDataFrame([], "u long, v long")
     roots = spark.createDataFrame([], "u long, root long")
     first, last = 0, cfg.nearest
@@ -386,19 +444,28 @@ def link_roots(docs: DataFrame, cls: DataFrame, cfg: Join = Join(), id_col: str
         if pairs.first() is not None:
             members = pairs.select(F.col("u").alias("cid")).union(pairs.select("v")).distinct()
             wanted = cls.select("cid", "set_id", "rep_id").join(members, "cid", "left_semi")
-            more = exact_links(pairs, sets_of(docs, wanted, cfg, id_col, text_col), cfg)
-            links = stored(links.unionByName(more), "links")
-            roots = stars(links)
-        left = proposed.filter("hash is not null").select(*TILE)
+            more = stored(exact_links(pairs, sets_of(docs, wanted, cfg, id_col, text_col), cfg), "links")
+            if more.first() is not None:
+                links = links.unionByName(more)
+                # what is known already is a star, so only the new links have work to do
+                roots = stars(roots.select("u", F.col("root").alias("v")).unionByName(more))
+        known = roots.select(F.col("u").alias("cid"), F.col("root").alias("now"))
+        # a group is settled if all its classes lie in one component: their marks tell, without listing them
+        groups = proposed.filter("hash is not null").select("cid", "marks", *TILE).join(known, "cid", "left")
+        groups = stored(groups.select(*TILE, "marks", F.coalesce("now", "cid").alias("in")), "groups")
+        inside = (
+            tiled.select(*TILE, "cid", "mark").join(groups.select(*TILE).distinct(), TILE, "left_semi").join(known, "cid", "left")
+            .groupBy(*TILE, F.coalesce("now", "cid").alias("in")).agg(F.bit_xor("mark").alias("marks"))
+        )
+        left = stored(groups.join(inside, [*TILE, "in", "marks"], "left_anti").select(*TILE).distinct(), "tiles-open")
         if left.first() is None:
             return links, roots
-        known = roots.select(F.col("u").alias("cid"), F.col("root").alias("now"))
         tiled = stored(
             tiled.drop("root").join(left, TILE, "left_semi").join(known, "cid", "left")
             .withColumn("root", F.coalesce("now", "cid")).drop("now"),
             "tiles-left",
         )
-        first, last = last, 4 * last + 4
+        first, last = last, 16 * last + 2
 
 
 def join(docs: DataFrame, cfg: Join = Join(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
