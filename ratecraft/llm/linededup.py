@@ -141,7 +141,8 @@ def later_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = stored(src.mapInArrow(runs, f"name long, doc_id {kind}, text_key long, first int, last int"), "line-runs")
     twice = found.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name")
     again = stored(found.join(twice, "name", "left_semi"), "repeated-runs")
-    origin = again.groupBy("name").agg(F.min(_place()).alias("origin"))
+    # written, so that the join below has plain inputs, which Spark splits where a name is hot
+    origin = stored(again.groupBy("name").agg(F.min(_place()).alias("origin")), "first-places")
     return (
         again.join(origin, "name")
         .withColumn("place", _place())
