@@ -22,8 +22,15 @@ from pyspark.sql import DataFrame, SparkSession
 from ratecraft.session import scratch_path
 
 
+#: Rows per Arrow batch: documents are long, and a batch is held whole on both sides of the pipe.
+BATCH_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package's code (once per context), as ``--py-files`` would."""
+    """Give the executors this package's code (once per context), as ``--py-files`` would, and bound Arrow batches."""
+    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     sc = spark.sparkContext
     if getattr(sc, "_ratecraft_shipped", False):
         return

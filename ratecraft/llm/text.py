@@ -10,6 +10,7 @@ seeds fixed here, so equal in every task and run).
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 
@@ -17,13 +18,18 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at a time; a longer single text is one piece.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 _K1 = np.uint64(0xD6E8FEB86659FD93)
 _K2 = np.uint64(0x9E3779B97F4A7C15)
 _S32 = np.uint64(32)
 _LONG = 1024  # spans beyond this many bytes are hashed one by one
 
+try:  # glibc only
+    _TRIM = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):
+    _TRIM = None
+
 _MASKS = np.array([(1 << (8 * i)) - 1 for i in range(9)], dtype=np.uint64)
 
 
@@ -63,6 +69,14 @@ def pieces(texts: pa.Array, max_bytes: int = PIECE_BYTES) -> Iterator[tuple[int,
         base = offsets[lo]
         yield lo, hi, data[base : offsets[hi]], offsets[lo : hi + 1] - base
         lo = hi
+    release()
+
+
+def release() -> None:
+    """Hand freed memory back to the system; else each of a machine's workers keeps the most it ever used."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
 
 def words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

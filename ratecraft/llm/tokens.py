@@ -24,7 +24,7 @@ BPE_FILE = "byte_bpe_50k.json"
 #: Id that ends a document in flat files: the vocabulary's own end-of-text id.
 END_OF_TEXT = 50256
 #: Units that a worker keeps; beyond, it starts anew.
-KEEP_UNITS = 1_500_000
+KEEP_UNITS = 400_000
 
 
 def tokenizer_path(path: str | None = None) -> str:

@@ -57,11 +57,11 @@ class Config:
     #: weight of the unigram distribution, in counts
     strength: float = 200.0
     #: bytes of text per shard
-    shard_bytes: int = 32 << 20
+    shard_bytes: int = 20 << 20
     #: occurrences from which a word's contexts are dealt to several shards
     hot: int = 1 << 20
     #: tokens that a task sorts at a time
-    chunk_tokens: int = 3 << 20
+    chunk_tokens: int = 3 << 19
 
 
 def held_out(doc_id: Column) -> Column:
