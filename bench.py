@@ -63,8 +63,9 @@ def main() -> None:
     timed("utility_rates", lambda: noop(end_to_end.hourly_rates(plans)))
     timed("published_rates", lambda: noop(end_to_end.published_rates(plans)))
     timed("rates_json_rows", lambda: noop(end_to_end.rate_json_rows(plans)))
-    timed("levelized_energy", lambda: noop(relational.costs(plans)["energy"]))
-    timed("levelized_demand", lambda: noop(relational.costs(plans)["demand"]))
+    by_name = timed("land_by_name", lambda: relational.co_located(plans))
+    timed("levelized_energy", lambda: noop(relational.costs(by_name)["energy"]))
+    timed("levelized_demand", lambda: noop(relational.costs(by_name)["demand"]))
     timed("filter_funnel", lambda: quality.filter_funnel_cells(nested.rate_cells(plans)).collect())
 
     def validation():
