@@ -23,8 +23,8 @@ from . import text as tx
 BPE_FILE = "byte_bpe_50k.json"
 #: Id that ends a document in flat files: the vocabulary's own end-of-text id.
 END_OF_TEXT = 50256
-#: Units that a worker keeps; beyond, it starts anew.
-KEEP_UNITS = 400_000
+#: Units that a worker keeps; beyond, those met in one piece only are forgotten.
+KEEP_UNITS = 800_000
 
 
 def tokenizer_path(path: str | None = None) -> str:
@@ -52,11 +52,24 @@ class Units:
         self.starts = np.empty(0, dtype=np.int64)
         self.lens = np.empty(0, dtype=np.int64)
         self.ids = np.empty(0, dtype=np.uint32)
+        self.met = np.empty(0, dtype=np.uint32)  # pieces that had the unit
+
+    def forget(self) -> None:
+        """Keep the units met in several pieces, and of these no more than half of what may be kept."""
+        least = 2
+        while (self.met >= least).sum() > KEEP_UNITS // 2:
+            least *= 2
+        keep = np.flatnonzero(self.met >= least)
+        lens = self.lens[keep]
+        ends = np.cumsum(lens)
+        total = int(ends[-1]) if len(ends) else 0
+        self.ids = self.ids[np.repeat(self.starts[keep] - (ends - lens), lens) + np.arange(total)]
+        self.hashes, self.lens, self.met, self.starts = self.hashes[keep], lens, self.met[keep], ends - lens
 
     def places(self, hashes: np.ndarray, spell) -> np.ndarray:
         """Indexes of sorted distinct hashes; ``spell(i)`` gives the text of an unknown one."""
         if len(self.hashes) + len(hashes) > KEEP_UNITS and len(self.hashes):
-            self.clear()
+            self.forget()
         at = np.searchsorted(self.hashes, hashes)
         known = at < len(self.hashes)
         known[known] = self.hashes[at[known]] == hashes[known]
@@ -72,7 +85,9 @@ class Units:
             self.starts = np.concatenate([self.starts, starts])[order]
             self.lens = np.concatenate([self.lens, lens])[order]
             self.ids = np.concatenate([self.ids, flat])
+            self.met = np.concatenate([self.met, np.zeros(len(fresh), np.uint32)])[order]
             at = np.searchsorted(self.hashes, hashes)
+        self.met[at] += np.uint32(1)
         return at
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

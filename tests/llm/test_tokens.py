@@ -28,6 +28,13 @@ def test_ids_of_the_fixture():
     assert vector(ts) == [ids_of(t, 0) for t in ts]
 
 
+def test_forgotten_units_change_nothing(monkeypatch):
+    monkeypatch.setattr(tokens, "KEEP_UNITS", 40)
+    monkeypatch.setattr(tokens, "_UNITS", {})
+    ts = texts()
+    assert [x for k in range(0, len(ts), 3) for x in vector(ts[k : k + 3])] == [ids_of(t, 0) for t in ts]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(alphabet=" \n\t\r  　\x85\x1cabé'sñ日1.,Ω", max_size=25), max_size=6))
 def test_ids_of_any_white_space(ts):
