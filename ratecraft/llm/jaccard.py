@@ -55,6 +55,8 @@ class Join:
     nearest: int = 2
     #: bits of a bitmap at most
     most_bits: int = 8192
+    #: n-grams for each bit of a bitmap, up to most_bits; a lower percent needs fewer, or unrelated sets pass its bound
+    load: int = 2
 
 
 #: Lists of ids up to this many rows are sent to all executors; larger ones are joined by a shuffle.
@@ -84,9 +86,9 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndar
     return key, np.searchsorted(row, np.arange(len(count) + 1))
 
 
-def width_of(sizes: np.ndarray, most_bits: int) -> np.ndarray:
-    """Bits of the bitmaps: the power of two that is at least half the size, between 64 and the most."""
-    return np.clip(1 << np.ceil(np.log2(np.maximum(sizes / 2, 1))).astype(np.int64), 64, most_bits)
+def width_of(sizes: np.ndarray, most_bits: int, load: int = 2) -> np.ndarray:
+    """Bits of the bitmaps: the power of two that is at least the size over ``load``, between 64 and the most."""
+    return np.clip(1 << np.ceil(np.log2(np.maximum(sizes / load, 1))).astype(np.int64), 64, most_bits)
 
 
 SKETCH = "doc_id {kind}, text_key long, n_shingles long, set_id binary, prefix binary, bits binary"
@@ -110,7 +112,7 @@ def sketches(docs: DataFrame, cfg: Join = Join(), id_col: str = "doc_id", text_c
                 np.cumsum(tx.mix(key), out=with_sums[0, 1:])
                 np.cumsum(tx.mix(key ^ np.uint64(0x5BD1E995)), out=with_sums[1, 1:])
                 ids = (with_sums[:, off[1:]] - with_sums[:, off[:-1]]).T + size[:, None].astype(np.uint64)
-                width = width_of(size, cfg.most_bits)
+                width = width_of(size, cfg.most_bits, cfg.load)
                 w_off = np.concatenate([[0], np.cumsum(width)])
                 bit = (tx.mix(key + np.uint64(7)) % width[row].astype(np.uint64)).astype(np.int64)
                 flips = np.bincount(w_off[row] + bit, minlength=int(w_off[-1])) & 1

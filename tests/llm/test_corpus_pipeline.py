@@ -11,6 +11,7 @@ from ratecraft.llm import linededup, quality
 from tests.llm import test_linededup, test_postings, test_quality
 from tests.llm.fixtures import documents
 from tests.llm.test_jaccard import brute as components_of
+from tests.llm.test_jaccard import grams
 from tests.llm.test_tokens import check_pieces
 
 WORDY = re.compile(r"[^\x20\x09-\x0D]")
@@ -109,3 +110,22 @@ def test_registered():
     assert names["pipeline"] is corpus_pipeline.run
     assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
     assert set(e.oracle_sql()) <= set(names)
+
+
+def test_near_duplicates_by_five_words(spark):
+    """Pairs between the stage's rule (5 words, 80 %) and op6's (3 words, 90 %) lose a document; pairs under 80 % don't."""
+    rng = random.Random(29)
+    rows = []
+    for k, changes in enumerate([1, 4, 4, 5, 30]):
+        w = [f"t{k}x{i}" for i in range(200)]
+        at = range(6, 200, 6)[:changes] if changes == 30 else [20 + 40 * i for i in range(changes)]
+        copy = [f"other{k}x{i}" if i in at else x for i, x in enumerate(w)]
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(copy))]
+    sets = {n: [grams(t, n) for _, t in rows] for n in (3, 5)}
+    alike = lambda n, i, j: len(sets[n][i] & sets[n][j]) / len(sets[n][i] | sets[n][j])
+    assert all(0.8 <= alike(5, i, i + 1) < 0.84 and alike(3, i, i + 1) < 0.9 for i in (2, 4))
+    gone = {j for i in range(len(rows)) for j in range(i + 1, len(rows)) if alike(5, i, j) >= 0.8}
+    assert gone == {1, 3, 5}
+    rng.shuffle(rows)
+    out = corpus_pipeline.near_duplicates(spark, documents(spark, rows), "")
+    assert sorted(r["doc_id"] for r in out.collect()) == sorted({d for d, _ in rows} - gone)
