@@ -55,11 +55,15 @@ class Rules:
     max_repeat_pct: int = 50
     #: shortest repeat (words) that counts as covered
     min_repeat: int = 8
-    #: largest share (percent) of the words inside repeats
-    max_covered_pct: int = 50
+    #: largest share (percent) of the words inside repeats; such words count in the base rule too, so it has to be lower than there
+    max_covered_pct: int = 30
+    #: that many covered words are no reason alone: a line of 20 words at the head and the foot of a short text
+    min_covered: int = 40
     #: longest repeat allowed, in words, and as a share of the document
     max_longest: int = 100
     max_longest_pct: int = 10
+    #: longest repeat allowed in words, however long the document
+    max_longest_words: int = 200
 
 
 def suffix_order(word_ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
@@ -219,9 +223,9 @@ def base_failed(q: str, rules: Rules) -> Column:
 
 def repetition_failed(q: str, rules: Rules) -> Column:
     n, top = F.col(f"{q}.n_words"), F.col(f"{q}.longest_repeat")
-    return (100 * F.col(f"{q}.covered_words") > rules.max_covered_pct * n) | (
-        (top > rules.max_longest) & (100 * top > rules.max_longest_pct * n)
-    )
+    too_long = (top > rules.max_longest_words) | ((top > rules.max_longest) & (100 * top > rules.max_longest_pct * n))
+    covered = F.col(f"{q}.covered_words")
+    return ((covered > rules.min_covered) & (100 * covered > rules.max_covered_pct * n)) | too_long
 
 
 def judge(docs: DataFrame, text_col: str = "text", rules: Rules = Rules(), into: str = "_quality") -> DataFrame:

@@ -74,6 +74,36 @@ def test_verdict(spark):
     assert quality.keep_good(docs).columns == docs.columns
 
 
+def test_each_limit_rejects_alone(spark):
+    fresh = iter(range(10**6))
+    new = lambda n: " ".join(f"v{next(fresh)}" for _ in range(n))
+
+    def twice(repeats, n):
+        """A text of n words in which passages of these lengths stand twice."""
+        parts = [new(k) for k in repeats]
+        rest = n - 2 * sum(repeats)
+        return " ".join(x for p in parts for x in (p, new(rest // (2 * len(parts))), p, new(rest // (2 * len(parts)))))
+
+    texts = {
+        "share": twice([60, 60, 60], 960),  # 37.5 % covered, longest 60
+        "passage": twice([150], 1400),  # 21 % covered, longest 150 words and 10.7 %
+        "words": twice([250], 6000),  # 8 % covered, longest 250 words and 4 %
+        "below share": twice([60, 60], 960),  # 25 %
+        "line at both ends": twice([13], 60),  # 43 % of a short text, 26 words
+        "below words": twice([190], 6000),
+    }
+    rows = {r["doc_id"]: r["_quality"] for r in quality.judge(documents(spark, list(enumerate(texts.values())))).collect()}
+    got = {name: rows[i] for i, name in enumerate(texts)}
+    assert not any(q["base_failed"] for q in got.values())
+    limits = lambda q: (
+        40 < q["covered_words"] > 0.3 * q["n_words"], 100 < q["longest_repeat"] > 0.1 * q["n_words"], q["longest_repeat"] > 200
+    )
+    assert [limits(q) for q in got.values()] == [
+        (True, False, False), (False, True, False), (False, False, True), *[(False, False, False)] * 3
+    ]
+    assert [q["kept"] for q in got.values()] == [False, False, False, True, True, True]
+
+
 def test_empty_table_and_pieces(spark):
     assert quality.judge(no_documents(spark)).count() == 0
     import random
