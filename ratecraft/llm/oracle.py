@@ -65,8 +65,59 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.c AS component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(r) AS c FROM reach GROUP BY doc_id) m USING (doc_id)
 """
 
+
+
+def _mix(passes: int = 3) -> str:
+    """Rows ranked and filled in as many passes as the operator's."""
+    rounds, state = [], "r"
+    for n in range(passes):
+        end = "cum - size / 2" if n == passes - 1 else "cum"
+        rounds.append(f"""
+g{n} AS (SELECT source, max(rest) - sum(size * more) AS gap FROM {state} GROUP BY source),
+f{n} AS MATERIALIZED (
+  SELECT x.*, gap, v IS NOT NULL AND more = 0 AND size <= gap AS fits FROM {state} x JOIN g{n} g ON x.source IS NOT DISTINCT FROM g.source),
+c{n} AS (SELECT *, sum(size) OVER (PARTITION BY source, fits ORDER BY v, key, rid ROWS UNBOUNDED PRECEDING) AS cum FROM f{n}),
+s{n} AS MATERIALIZED (SELECT * EXCLUDE (more, gap, fits, cum), CASE WHEN fits AND {end} <= gap THEN 1 ELSE more END AS more FROM c{n})""")
+        state = f"s{n}"
+    return f"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
+  FROM documents),
+w AS (
+  SELECT source, sum(size)::BIGINT AS source_size, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight
+  FROM d GROUP BY source),
+l AS (
+  SELECT *, (sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER (
+               ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM w),
+aim AS MATERIALIZED (SELECT source, source_size, least((3 * source_size)::DOUBLE, max(level) OVER () * weight) AS target FROM l),
+k AS (SELECT source, length(bin(size)) AS liked, sum(size)::BIGINT AS words FROM d WHERE size > 0 GROUP BY ALL),
+kl AS (
+  SELECT k.*, target, (target - 3 * coalesce(sum(words) OVER (
+               PARTITION BY k.source ORDER BY liked DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(words * liked) OVER (PARTITION BY k.source ORDER BY liked DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM k JOIN aim ON k.source IS NOT DISTINCT FROM aim.source),
+kc AS (SELECT *, least(3.0::DOUBLE, max(level) OVER (PARTITION BY source) * liked) AS copies FROM kl),
+kp AS (SELECT *, floor(copies + 1e-9::DOUBLE)::BIGINT AS sure FROM kc),
+p AS MATERIALIZED (
+  SELECT source, liked, sure, CASE WHEN copies - sure > 1e-9::DOUBLE THEN copies - sure ELSE 0 END AS p,
+         target - sum(sure * words) OVER (PARTITION BY source) AS rest FROM kp),
+u AS (
+  SELECT d.*, coalesce(sure, 0) AS sure, p, rest, md5(concat_ws('|', doc_id::VARCHAR, size::VARCHAR)) AS key,
+         (('0x' || substr(md5(concat_ws('|', doc_id::VARCHAR, size::VARCHAR)), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
+  FROM d LEFT JOIN p ON d.source IS NOT DISTINCT FROM p.source AND size > 0 AND length(bin(size)) = liked),
+o AS (SELECT *, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS odds FROM u),
+r AS MATERIALIZED (SELECT rid, doc_id, source, size, sure, rest, key, odds / (1 + odds) AS v, 0 AS more FROM o),
+{",".join(rounds)}
+SELECT doc_id, x.source, size, source_size, target, (sure + more)::BIGINT AS copies, (size * (sure + more))::BIGINT AS taken
+FROM {state} x JOIN aim ON x.source IS NOT DISTINCT FROM aim.source
+"""
+
+
 ORACLE: dict[str, str] = {
     "op2_warc_revisits": _WARC,
     "op3_positional_index": _INDEX,
     "op6_ngram_join": _JACCARD,
+    "op11_pareto_mix": _mix(),
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, linededup, matrices, packing, postings, quality, separators, sharding, trie_lm, warc
+from . import jaccard, linededup, matrices, mixing, packing, postings, quality, separators, sharding, trie_lm, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +77,11 @@ def op10_id_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matrices.segments(matrices.write_matrices(table(spark, sf_dir, "documents")))
 
 
+def op11_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: its source's size and target, and the words that the mix takes of it."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_warc_revisits": op2_warc_revisits,
@@ -88,4 +93,5 @@ QUERIES = {
     "op8_nnls_packing": op8_nnls_packing,
     "op9_line_runs": op9_line_runs,
     "op10_id_matrices": op10_id_matrices,
+    "op11_pareto_mix": op11_pareto_mix,
 }
