@@ -67,6 +67,45 @@ FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(r) AS c FROM reach GR
 
 
 
+#: crc32 of the decimal id: each byte is XORed in, then eight shifts; places are words from 0.
+#: Equal stretches of 16 words q apart find every run, as three periods and 24 words hold such a pair.
+_RUNS = """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w0,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+                 lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+             lambda c, e: CASE WHEN e >= 0 THEN xor(c, e) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295::BIGINT) AS h
+  FROM documents),
+t AS (SELECT *, len(w0)::BIGINT AS n, h // 10 AS g FROM d),
+m AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM t),
+mp AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM m),
+x AS MATERIALIZED (
+  SELECT rid, doc_id, n, CASE WHEN a IS NULL THEN w0 ELSE
+           list_transform(range(n), lambda i: w0[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS w
+  FROM mp),
+gram AS MATERIALIZED (
+  SELECT rid, i, md5(array_to_string(w[i + 1:i + 16], ' ')) AS s FROM (SELECT rid, w, unnest(range(n - 15)) AS i FROM x WHERE n >= 24)),
+pairs AS (SELECT y.rid, y.i, z.i - y.i AS q FROM gram y JOIN gram z ON y.rid = z.rid AND y.s = z.s AND y.i < z.i),
+numbered AS (SELECT *, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS part FROM pairs),
+same AS (SELECT rid, q, min(i) AS a, max(i) + 16 + q AS e FROM numbered GROUP BY rid, q, part),
+runs AS MATERIALIZED (
+  SELECT rid, a AS start, e - a AS length, min(q) AS period FROM same WHERE e - a >= greatest(24, 3 * q) GROUP BY rid, a, e),
+gone AS (SELECT DISTINCT rid, unnest(range(start + period, start + length)) AS i FROM runs),
+listed AS (
+  SELECT rid, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS s
+  FROM runs GROUP BY rid),
+best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY length / period DESC, start, period) AS k FROM runs) WHERE k = 1),
+left_ AS (
+  SELECT k.rid, string_agg(word, ' ' ORDER BY k.i) AS s
+  FROM (SELECT rid, unnest(w) AS word, unnest(range(n)) AS i FROM x) k ANTI JOIN gone ON gone.rid = k.rid AND gone.i = k.i GROUP BY k.rid)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period,
+       (1000 * length // period)::BIGINT AS exponent_milli, sha256(coalesce(listed.s, '')) AS runs_sha256,
+       sha256(coalesce(left_.s, '')) AS collapsed_sha256, n AS n_words
+FROM x LEFT JOIN listed USING (rid) LEFT JOIN best USING (rid) LEFT JOIN left_ USING (rid)
+"""
+
+
 def _mix(passes: int = 3) -> str:
     """Rows ranked and filled in as many passes as the operator's."""
     rounds, state = [], "r"
@@ -120,4 +159,5 @@ ORACLE: dict[str, str] = {
     "op3_positional_index": _INDEX,
     "op6_ngram_join": _JACCARD,
     "op11_pareto_mix": _mix(),
+    "op12_periodic_runs": _RUNS,
 }

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, linededup, matrices, mixing, packing, postings, quality, separators, sharding, trie_lm, warc
+from . import jaccard, linededup, matrices, mixing, packing, periodic, postings, quality, separators, sharding, trie_lm, warc
+from .storage import ship
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +83,23 @@ def op11_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document, some made periodic: the number of runs, the best one, and digests of all runs and of the collapsed text."""
+    ship(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", periodic.planted(F.col("doc_id"), F.col("text")).alias("text"))
+    found = docs.select("doc_id", periodic.find_runs(F.col("text")).alias("found"))
+    best, runs = F.col("best"), F.col("found.runs")
+    lines = F.transform(runs, lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.when(F.size(runs) > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    return found.withColumn("best", periodic.best_run(runs)).select(
+        "doc_id", F.size(runs).cast("long").alias("n_runs"), *[best[c].alias(c) for c in ("start", "length", "period")],
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("found.collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+        F.col("found.n_words").alias("n_words"),
+    )
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_warc_revisits": op2_warc_revisits,
@@ -94,4 +112,5 @@ QUERIES = {
     "op9_line_runs": op9_line_runs,
     "op10_id_matrices": op10_id_matrices,
     "op11_pareto_mix": op11_pareto_mix,
+    "op12_periodic_runs": op12_periodic_runs,
 }
