@@ -106,6 +106,26 @@ FROM x LEFT JOIN listed USING (rid) LEFT JOIN best USING (rid) LEFT JOIN left_ U
 """
 
 
+_NEGATIVES = """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS uid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (
+  SELECT a.uid, a.vec_id AS anchor_id, a.label = v.label AS same, v.vec_id, list_inner_product(a.e, v.e)::BIGINT AS score
+  FROM v a JOIN v ON a.vec_id % 50 = 0 AND a.uid <> v.uid),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY uid ORDER BY score DESC, vec_id) AS nth FROM s WHERE same QUALIFY nth <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       row_number() OVER (PARTITION BY p.uid, p.nth ORDER BY s.score DESC, s.vec_id)::INT AS rank,
+       s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.uid = p.uid AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
+
 def _mix(passes: int = 3) -> str:
     """Rows ranked and filled in as many passes as the operator's."""
     rounds, state = [], "r"
@@ -160,4 +180,5 @@ ORACLE: dict[str, str] = {
     "op6_ngram_join": _JACCARD,
     "op11_pareto_mix": _mix(),
     "op12_periodic_runs": _RUNS,
+    "op13_hard_negatives": _NEGATIVES,
 }

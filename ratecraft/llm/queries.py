@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, linededup, matrices, mixing, packing, periodic, postings, quality, separators, sharding, trie_lm, warc
+from . import hardneg, jaccard, linededup, matrices, mixing, packing, periodic, postings, quality, separators, sharding, trie_lm, warc
 from .storage import ship
 
 
@@ -100,6 +100,13 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per anchor, positive and rank: a hard negative; every seventh row is relabelled first."""
+    relabelled = F.when(F.pmod("vec_id", F.lit(7)) == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", relabelled)
+    return hardneg.mine(vectors, F.pmod("vec_id", F.lit(50)) == 0)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_warc_revisits": op2_warc_revisits,
@@ -113,4 +120,5 @@ QUERIES = {
     "op10_id_matrices": op10_id_matrices,
     "op11_pareto_mix": op11_pareto_mix,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_hard_negatives": op13_hard_negatives,
 }
