@@ -8,24 +8,30 @@ is at least the threshold.  The join is exact.
    hashes: as many that two sets which link must share one of them.
    Documents with equal sets form a class; only one sketch of a class goes on.
 2. Sketches meet in tiles: classes that share one of those hashes and, where
-   a hash is frequent, lie in the same or neighbouring size bands and in a
-   pair of blocks of bounded size.  Inside a tile, the number of bits in which
-   two bitmaps differ is at most the size of the symmetric difference, which
+   a hash is frequent, lie in the same or neighbouring size bands.  A band that
+   exceeds a block is dealt to blocks of bounded size, and each block meets
+   itself first; pairs of blocks are opened once these are settled, and only
+   between classes of different components.  Inside a tile, the number of bits in
+   which two bitmaps differ is at most the size of the symmetric difference, which
    bounds the overlap from above; pairs over the bound are dropped.
 3. The rest is checked exactly: the sorted hash arrays of both sets are
    intersected.
 4. Components come from contraction over the links (``components``).
 
-A class in a tile first proposes its nearest few candidates only, and a tile
-with more names the classes that its candidates connect.  Once the proposals
-are checked and joined, tiles in which such classes are still apart are visited
-again, with sixteen times as many candidates, until there is none.  So a large group of near copies needs few pairs a class in place of
-all pairs, and no link between components is missed.
+A class in a tile first proposes its nearest few candidates only, besides a
+spanning forest of the nearest candidates, and a tile with more names the classes
+that its candidates connect.  Once the proposals
+are checked and joined, groups of such classes that are still apart are visited
+again, with sixteen times as many candidates, until there is none.  So a large
+group of near copies needs few pairs a class in place of all pairs, and no link
+between components is missed.
 
 Defined cases: a document of fewer words than n has its whole sequence as one
 n-gram; without words (or null) its set is empty and it links with nothing; a
 null id takes part, but isn't anybody's smallest id; documents of one id and
-other texts are told apart by their sets.
+other texts are told apart by their sets; equal rows are in one component, and
+``keep_one`` keeps one of them; an empty table gives no rows; texts are read
+whole, of any length; other columns, whatever their names, pass through.
 """
 
 from __future__ import annotations
@@ -41,7 +47,7 @@ from pyspark.sql import functions as F
 
 from . import text as tx
 from .components import stars, unite
-from .storage import ship, stored
+from .storage import free_name, ship, stored
 
 
 @dataclass(frozen=True)
@@ -151,12 +157,14 @@ def band_edges(percent: int, top: int = 1 << 40) -> np.ndarray:
     return np.array(edges, dtype=np.int64)
 
 
-def tiles(cls: DataFrame, cfg: Join = Join()) -> DataFrame:
-    """Rows of the tiles: tile columns (hash, band, bi, bj), cid, n_shingles, home, left, bits.
+def tiles(cls: DataFrame, cfg: Join = Join()) -> tuple[DataFrame, DataFrame]:
+    """(rows of the first tiles, the classes of bands that exceed a block).
 
-    A hash that fits one block is one tile of all sizes (band -1).  For others
-    a class goes to its own size band and, as a visitor, to the next one; a
-    band that exceeds a block is dealt to blocks, and a tile is a pair of them.
+    A tile's rows have the tile columns (hash, band, bi, bj), cid, n_shingles,
+    home, left, bits.  A hash that fits one block is one tile of all sizes (band
+    -1).  For others a class goes to its own size band and, as a visitor, to the
+    next one; a band that exceeds a block is dealt to blocks, each a tile of its
+    own.  Such bands' rows (hash, band, cid, home) are returned for ``block_pairs``.
     """
     ship(cls.sparkSession)
 
@@ -195,15 +203,57 @@ def tiles(cls: DataFrame, cfg: Join = Join()) -> DataFrame:
         "hash", "cid", F.explode(F.array(F.struct(F.col("own").alias("band"), F.lit(True).alias("home")), F.struct((F.col("own") + 1).alias("band"), F.lit(False).alias("home")))).alias("b")
     ).select("hash", "cid", "b.band", "b.home")
     sizes = many.groupBy("hash", "band").agg(F.ceil(F.count(F.lit(1)) / F.lit(cfg.block)).cast("int").alias("k"), F.max("home").alias("any_home"))
-    dealt = (
-        many.join(sizes.filter("any_home"), ["hash", "band"])
-        .withColumn("x", F.pmod(F.xxhash64("cid"), F.col("k")).cast("int"))
-        .withColumn("y", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-        .select(
-            "hash", "band", F.least("x", "y").alias("bi"), F.greatest("x", "y").alias("bj"), "cid", "home", (F.col("x") <= F.col("y")).alias("left"),
-        )
+    dealt = many.join(sizes.filter("any_home"), ["hash", "band"])
+    block = F.pmod(F.xxhash64("cid"), F.col("k")).cast("int")
+    own = dealt.select("hash", "band", block.alias("bi"), block.alias("bj"), "cid", "home", F.lit(True).alias("left"))
+    large = stored(dealt.filter("k > 1").select("hash", "band", "cid", "home"), "large-bands")
+    return _with_bits(few.unionByName(own), cls), large
+
+
+def _with_bits(placed: DataFrame, cls: DataFrame) -> DataFrame:
+    return placed.join(cls.select("cid", "n_shingles", "bits"), "cid")
+
+
+def block_pairs(large: DataFrame, cls: DataFrame, roots: DataFrame, cfg: Join) -> DataFrame:
+    """Tiles in which the classes of a large band meet those of other components (``roots``: u, root).
+
+    Components of more than half a block are split into blocks of their own, the
+    other classes share blocks.  A tile is a pair of blocks, or a shared block
+    by itself; two blocks of one component don't meet.  So a band that is one
+    component has no tile, and one of a large component and a few other classes
+    has about as many rows as classes.  In a band without such a component the
+    blocks are those that have met themselves already.
+    """
+    known = roots.select(F.col("u").alias("cid"), "root")
+    placed = large.join(known, "cid", "left").withColumn("of", F.coalesce("root", "cid")).drop("root")
+    parts = placed.groupBy("hash", "band", "of").agg(F.count(F.lit(1)).alias("n")).withColumn("alone", 2 * F.col("n") > cfg.block)
+    several = parts.groupBy("hash", "band").agg(
+        F.count(F.lit(1)).alias("components"), F.max("alone").alias("mixed"),
+        F.ceil(F.sum(F.when(~F.col("alone"), F.col("n")).otherwise(0)) / F.lit(cfg.block)).alias("shared"),
+    ).filter("components > 1")
+    parts = stored(parts.filter("alone").select("hash", "band", "of", F.ceil(F.col("n") / F.lit(cfg.block)).alias("split")), "large-components")
+    several = stored(several, "open-bands")
+    # a block is (-1, number) if shared, else (its component, number); -1 is no number of a class
+    count = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)).alias("nth")
+    shared = several.filter("shared > 0").select("hash", "band", "mixed", F.lit(-1).cast("long").alias("owner"), count("shared"))
+    own = parts.join(several, ["hash", "band"]).select("hash", "band", "mixed", F.col("of").alias("owner"), count("split"))
+    number = F.row_number().over(Window.partitionBy("hash", "band").orderBy("owner", "nth"))
+    blocks = stored(shared.unionByName(own).withColumn("block", number), "blocks")
+    dealt = placed.join(several.select("hash", "band", "shared"), ["hash", "band"]).join(parts, ["hash", "band", "of"], "left")
+    dealt = dealt.select(
+        "hash", "band", "cid", "home", F.when(F.col("split").isNull(), -1).otherwise(F.col("of")).alias("owner"),
+        F.pmod(F.xxhash64("cid"), F.coalesce("split", "shared")).alias("nth"),
+    ).join(blocks, ["hash", "band", "owner", "nth"])
+    other = blocks.select("hash", "band", F.col("owner").alias("whose"), F.col("block").alias("met"))
+    apart = (F.col("owner") != F.col("whose")) | ((F.col("owner") == -1) & (F.col("mixed") | (F.col("block") != F.col("met"))))
+    tiled = dealt.join(other, ["hash", "band"]).filter(apart)
+    return _with_bits(
+        tiled.select(
+            "hash", "band", F.least("block", "met").alias("bi"), F.greatest("block", "met").alias("bj"), "cid", "home",
+            (F.col("block") <= F.col("met")).alias("left"),
+        ),
+        cls,
     )
-    return few.unionByName(dealt).join(cls.select("cid", "n_shingles", "bits"), "cid")
 
 
 def _bit_rows(bits: list[bytes]) -> np.ndarray:
@@ -256,10 +306,34 @@ def candidates(size: np.ndarray, bits: list[bytes], home: np.ndarray, left: np.n
 TILE = ["hash", "band", "bi", "bj"]
 
 
+def forest(a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Places of the edges of a least spanning forest: each component takes its least edge until none is left."""
+    if not len(a):
+        return np.empty(0, np.int64)
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = at[: len(a)], at[len(a) :]
+    by = np.argsort(weight, kind="stable")
+    a, b = a[by], b[by]
+    part = np.arange(len(ids))
+    left, taken = np.arange(len(a)), []
+    while len(left):
+        x, y = part[a[left]], part[b[left]]
+        least = np.full(len(ids), len(by))
+        np.minimum.at(least, x, left)
+        np.minimum.at(least, y, left)
+        least = np.unique(least[least < len(by)])
+        taken.append(least)
+        vertices, head = unite(part[a[least]], part[b[least]])
+        part = np.where(np.isin(part, vertices), head[np.minimum(np.searchsorted(vertices, part), len(vertices) - 1)], part)
+        left = left[part[a[left]] != part[b[left]]]
+    return by[np.concatenate(taken)]
+
+
 def propose(tiled: DataFrame, first: int, last: int, cfg: Join) -> DataFrame:
-    """Candidates ranked ``first`` to ``last`` (exclusive) by nearness for one of their classes, unless both are in one
-    component already (column root): rows (u, v) with u > v.  Where a tile has more, a row (cid, marks, hash, band, bi,
-    bj) for each group that its candidates connect: one class of it, and the exclusive or of its classes' marks."""
+    """Candidates ranked ``first`` to ``last`` (exclusive) by nearness for one of their classes, and of those ranked further
+    a least spanning forest, unless both classes are in one component already (column root): rows (u, v) with u > v.
+    Where a tile has more, rows (cid, head, hash, band, bi, bj) for the groups that its candidates connect: the classes
+    of each group, and one of them that names it."""
     percent = cfg.percent
 
     def pairs_of(t: dict[str, np.ndarray], bits: list[bytes]):
@@ -268,30 +342,30 @@ def propose(tiled: DataFrame, first: int, last: int, cfg: Join) -> DataFrame:
         if not len(i):
             return np.empty((0, 2), np.int64), np.empty((0, 2), np.int64)
         cid, root = t["cid"], t["root"]
-        # rank of each candidate among those of either class, nearest first
+        # rank of each candidate among those of either class, nearest first; the better one of its two ranks counts
         who, other, near = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([d, d])
         order = np.lexsort((cid[other], near, who))
         w = who[order]
-        rank = np.arange(len(w)) - np.searchsorted(w, w)
-        apart = root[w] != root[other[order]]
-        rest = order[apart & (rank >= last)]
+        rank = np.empty(len(w), dtype=np.int64)
+        rank[order] = np.arange(len(w)) - np.searchsorted(w, w)
+        rank = np.minimum(rank[: len(i)], rank[len(i) :])
+        open_ = (root[i] != root[j]) & (rank >= first)
+        take = open_ & (rank < last)
+        at = np.flatnonzero(open_)
+        take[at[forest(root[i[at]], root[j[at]], d[at])]] = True
+        rest = open_ & ~take
         more = np.empty((0, 2), np.int64)
-        if len(rest):
+        if rest.any():
             # the classes connected to a candidate left over, by the tile's whole candidate graph
             ids, group = unite(i, j)
-            open_ = np.isin(group, group[np.searchsorted(ids, who[rest])])
-            first_of = group[open_]
-            heads, at = np.unique(first_of, return_inverse=True)
-            marks = np.zeros(len(heads), dtype=np.int64)
-            np.bitwise_xor.at(marks, at, t["mark"][ids[open_]])
-            more = np.stack([cid[heads], marks], axis=1)
-        take = order[apart & (rank >= first) & (rank < last)]
-        a, b = cid[who[take]], cid[other[take]]
+            open_ = np.isin(group, group[np.searchsorted(ids, i[rest])])
+            more = np.stack([cid[ids[open_]], cid[group[open_]]], axis=1)
+        a, b = cid[i[take]], cid[j[take]]
         pair = np.stack([np.maximum(a, b), np.minimum(a, b)], axis=1)
         return pair[pair[:, 0] != pair[:, 1]], more
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([(c, pa.int64()) for c in ("u", "v", "cid", "marks", "hash")] + [(c, pa.int32()) for c in ("band", "bi", "bj")])
+        schema = pa.schema([(c, pa.int64()) for c in ("u", "v", "cid", "head", "hash")] + [(c, pa.int32()) for c in ("band", "bi", "bj")])
         found: list[np.ndarray] = []
         open_: list[np.ndarray] = []
 
@@ -322,7 +396,7 @@ def propose(tiled: DataFrame, first: int, last: int, cfg: Join) -> DataFrame:
         yield flush()
         tx.release()
 
-    return tiled.mapInArrow(visit, "u long, v long, cid long, marks long, hash long, band int, bi int, bj int")
+    return tiled.mapInArrow(visit, "u long, v long, cid long, head long, hash long, band int, bi int, bj int")
 
 
 def _starts(t: pa.Table) -> list[int]:
@@ -360,7 +434,7 @@ def _pairs_alone(cols: dict[str, np.ndarray], bits: list[bytes], first: np.ndarr
 def _visit_tiles(t: pa.Table, edges: list[int], pairs_of, first: int, percent: int, found: list, open_: list) -> None:
     if not edges or not t.num_rows:
         return
-    cols = {c: t.column(c).to_numpy() for c in (*TILE, "cid", "n_shingles", "home", "left", "root", "mark")}
+    cols = {c: t.column(c).to_numpy() for c in (*TILE, "cid", "n_shingles", "home", "left", "root")}
     bits = t.column("bits").to_pylist()
     start = np.array(edges)
     two = start[np.diff(np.append(start, t.num_rows)) == 2]
@@ -435,9 +509,21 @@ def link_roots(docs: DataFrame, cls: DataFrame, cfg: Join = Join(), id_col: str
     The links found connect every component; links inside a component may be left unchecked.
     """
     spark = docs.sparkSession
-    tiled = stored(tiles(cls, cfg).withColumns({"root": F.col("cid"), "mark": F.xxhash64("cid")}), "tiles")
     links = spark.createDataFrame([], "u long, v long")
     roots = spark.createDataFrame([], "u long, root long")
+    tiled, large = tiles(cls, cfg)
+    links, roots = _settled(docs, cls, tiled, links, roots, cfg, id_col, text_col)
+    if large.first() is not None:
+        links, roots = _settled(docs, cls, block_pairs(large, cls, roots, cfg), links, roots, cfg, id_col, text_col)
+    return links, roots
+
+
+def _settled(
+    docs: DataFrame, cls: DataFrame, tiled: DataFrame, links: DataFrame, roots: DataFrame, cfg: Join, id_col: str, text_col: str
+) -> tuple[DataFrame, DataFrame]:
+    """Links and roots once no tile has an unchecked candidate between two components."""
+    known = roots.select(F.col("u").alias("cid"), F.col("root").alias("now"))
+    tiled = stored(tiled.join(known, "cid", "left").withColumn("root", F.coalesce("now", "cid")).drop("now"), "tiles")
     first, last = 0, cfg.nearest
     while True:
         seen = tiled.repartition(*TILE).sortWithinPartitions(*TILE)
@@ -452,21 +538,14 @@ def link_roots(docs: DataFrame, cls: DataFrame, cfg: Join = Join(), id_col: str
                 # what is known already is a star, so only the new links have work to do
                 roots = stars(roots.select("u", F.col("root").alias("v")).unionByName(more))
         known = roots.select(F.col("u").alias("cid"), F.col("root").alias("now"))
-        # a group is settled if all its classes lie in one component: their marks tell, without listing them
-        groups = proposed.filter("hash is not null").select("cid", "marks", *TILE).join(known, "cid", "left")
-        groups = stored(groups.select(*TILE, "marks", F.coalesce("now", "cid").alias("in")), "groups")
-        inside = (
-            tiled.select(*TILE, "cid", "mark").join(groups.select(*TILE).distinct(), TILE, "left_semi").join(known, "cid", "left")
-            .groupBy(*TILE, F.coalesce("now", "cid").alias("in")).agg(F.bit_xor("mark").alias("marks"))
-        )
-        left = stored(groups.join(inside, [*TILE, "in", "marks"], "left_anti").select(*TILE).distinct(), "tiles-open")
+        # a group is settled if all its classes lie in one component; the others' classes are visited again
+        groups = proposed.filter("hash is not null").select(*TILE, "head", "cid").join(known, "cid", "left")
+        groups = stored(groups.select(*TILE, "head", "cid", F.coalesce("now", "cid").alias("root")), "groups")
+        apart = groups.groupBy(*TILE, "head").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select(*TILE, "head")
+        left = stored(groups.join(apart, [*TILE, "head"], "left_semi").select(*TILE, "cid", "root"), "groups-open")
         if left.first() is None:
             return links, roots
-        tiled = stored(
-            tiled.drop("root").join(left, TILE, "left_semi").join(known, "cid", "left")
-            .withColumn("root", F.coalesce("now", "cid")).drop("now"),
-            "tiles-left",
-        )
+        tiled = stored(tiled.drop("root").join(left, [*TILE, "cid"]), "tiles-left")
         first, last = last, 16 * last + 2
 
 
@@ -501,22 +580,23 @@ def keep_one(docs: DataFrame, cfg: Join = Join(), id_col: str = "doc_id", text_c
     # several rows can have the leading id and set: other texts of that id go, and one of equal rows stays
     several = kept.groupBy("set_id").agg(F.min("text_key").alias("lead_key"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     others = kept.join(several, "set_id").filter("text_key <> lead_key")
+    name = free_name(docs, "_drop")
     drop = stored(
         judged.filter("not first_of_component").select("doc_id", "text_key").union(others.select("doc_id", "text_key"))
-        .select(F.col("doc_id").alias("_drop_id"), F.col("text_key").alias("_drop_key")).distinct(),
+        .select(F.col("doc_id").alias(f"{name}_id"), F.col("text_key").alias(f"{name}_key")).distinct(),
         "dropped",
     )
     side = F.broadcast(drop) if drop.count() <= SMALL_ROWS else drop
     key = F.xxhash64(F.coalesce(text_col, F.lit("")))
-    out = docs.join(side, F.col(id_col).eqNullSafe(F.col("_drop_id")) & (key == F.col("_drop_key")), "left_anti")
+    out = docs.join(side, F.col(id_col).eqNullSafe(F.col(f"{name}_id")) & (key == F.col(f"{name}_key")), "left_anti")
     equal = stored(
         kept.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        .select(F.col("doc_id").alias("_equal_id"), F.col("text_key").alias("_equal_key")),
+        .select(F.col("doc_id").alias(f"{name}_id"), F.col("text_key").alias(f"{name}_key")),
         "equal-rows",
     )
     if equal.first() is None:
         return out
-    is_equal = F.col(id_col).eqNullSafe(F.col("_equal_id")) & (key == F.col("_equal_key"))
+    is_equal = F.col(id_col).eqNullSafe(F.col(f"{name}_id")) & (key == F.col(f"{name}_key"))
     return out.join(equal, is_equal, "left_anti").unionByName(
         out.join(equal, is_equal, "left_semi").dropDuplicates([id_col, text_col])
     )

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .storage import ship, stored
+from .storage import free_name, ship, stored
 
 WINDOW = 13
 #: Test items that are searched at a time.
@@ -345,6 +345,7 @@ SMALL_ROWS = 1 << 20
 def keep_clean(docs: DataFrame, items: DataFrame, text_col: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
     """The documents that aren't contaminated, with their own columns (the verdict depends on the text alone)."""
     judged = decontaminate(docs, items, id_col, text_col, slop=None, **options)
-    bad = stored(judged.filter("contaminated").select(F.col("text_key").alias("_bad_text")).distinct(), "contaminated")
+    name = free_name(docs, "_bad_text")
+    bad = stored(judged.filter("contaminated").select(F.col("text_key").alias(name)).distinct(), "contaminated")
     side = F.broadcast(bad) if bad.count() <= SMALL_ROWS else bad
-    return docs.join(side, F.xxhash64(F.coalesce(text_col, F.lit(""))) == F.col("_bad_text"), "left_anti")
+    return docs.join(side, F.xxhash64(F.coalesce(text_col, F.lit(""))) == F.col(name), "left_anti")

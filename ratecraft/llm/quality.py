@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import text as tx
-from .storage import ship
+from .storage import free_name, ship
 
 SYMBOLS = tx.byte_set(*[(ord(c), ord(c)) for c in "#*$%&|<>"])
 
@@ -242,4 +242,5 @@ def judge(docs: DataFrame, text_col: str = "text", rules: Rules = Rules(), into:
 
 def keep_good(docs: DataFrame, text_col: str = "text", rules: Rules = Rules()) -> DataFrame:
     """The documents that pass all rules, with their own columns."""
-    return judge(docs, text_col, rules).filter(F.col("_quality.kept")).drop("_quality")
+    into = free_name(docs, "_quality")
+    return judge(docs, text_col, rules, into).filter(F.col(f"{into}.kept")).drop(into)

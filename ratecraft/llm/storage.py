@@ -63,6 +63,13 @@ def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column begins so, in upper or lower case."""
+    while any(c.lower().startswith(name.lower()) for c in df.columns):
+        name = "_" + name
+    return name
+
+
 def resolve(uri: str) -> tuple[pafs.FileSystem, str]:
     if uri.startswith("file:/") and not uri.startswith("file://"):
         uri = "file://" + uri[5:]  # Spark's spelling of local paths

@@ -10,7 +10,6 @@ import corpus_pipeline
 from ratecraft.llm import linededup, quality
 from tests.llm import test_linededup, test_postings, test_quality
 from tests.llm.fixtures import documents
-from tests.llm.test_jaccard import brute as components_of
 from tests.llm.test_jaccard import grams
 from tests.llm.test_tokens import check_pieces
 
@@ -40,13 +39,34 @@ def corpus():
     return [(i, rows[k]) for i, k in enumerate(order)], bench
 
 
+def near_components(rows):
+    """(id, smallest id of its component) by five words and 80 %; documents without words are alone."""
+    sets = [grams(t, 5) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        least[find(i)] = min(d, least.get(find(i), d))
+    return [(d, least[find(i)]) for i, (d, _) in enumerate(rows)]
+
+
 def brute(spark, rows, bench):
     rules = quality.Rules()
     good = []
     for d, t in rows:
         q = test_quality.brute(t)
         n, top = q["n_words"], q["longest_repeat"]
-        bad = 100 * q["covered_words"] > rules.max_covered_pct * n or (top > rules.max_longest and 100 * top > rules.max_longest_pct * n)
+        covered = q["covered_words"] > rules.min_covered and 100 * q["covered_words"] > rules.max_covered_pct * n
+        bad = covered or top > rules.max_longest_words or (top > rules.max_longest and 100 * top > rules.max_longest_pct * n)
         if not q["base_failed"] and not bad:
             good.append((d, t))
     keyed = documents(spark, good).select("doc_id", linededup.text_key(F.col("text")).alias("k"))
@@ -54,7 +74,7 @@ def brute(spark, rows, bench):
     left = test_linededup.brute([(d, t, keys[d]) for d, t in good], linededup.MIN_WORDS)
     deduped = [(d, left[(d, t)]) for d, t in good]
     deduped = [(d, t) for (d, t), (_, before) in zip(deduped, good, strict=True) if t == before or WORDY.search(t)]
-    leads = {(c, d) for d, _, c in components_of(deduped)[0]}
+    leads = {(c, d) for d, c in near_components(deduped)}
     unique = [(d, t) for d, t in deduped if (d, d) in leads]
     hits = {r[0]: r[-1] for r in test_postings.brute(unique, bench)}
     return good, deduped, unique, [(d, t) for d, t in unique if not hits[d]]
@@ -92,10 +112,11 @@ def test_odd_tables(spark, tmp_path):
     odd = [*rows[:30], rows[0], rows[1], (None, rows[2][1]), (None, None), (rows[4][0], "another text " + rows[5][1])]
     sf = write(spark, tmp_path, rows, bench)
     for table in (odd, []):
-        docs = documents(spark, table)
+        docs = documents(spark, table).withColumns({c: F.lit(c) for c in ("_quality", "_lines", "_lines_id", "_drop_id", "_drop_key", "_bad_text")})
         for name, stage in corpus_pipeline.STAGES[:-1]:
             out = stage(spark, docs, sf)
             assert out.columns == docs.columns, name
+            assert out.filter("_quality <> '_quality' or _lines <> '_lines' or _bad_text <> '_bad_text'").count() == 0
             path = str(tmp_path / f"{name}-{len(table)}")
             out.write.parquet(path)
             docs = spark.read.parquet(path)
@@ -108,7 +129,7 @@ def test_registered():
 
     names = e.queries()
     assert names["pipeline"] is corpus_pipeline.run
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14))
     assert set(e.oracle_sql()) <= set(names)
 
 

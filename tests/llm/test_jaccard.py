@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from ratecraft.llm import components, jaccard
 from tests.llm.fixtures import documents, no_documents, sentence
@@ -118,6 +119,67 @@ def test_empty_table(spark):
     assert jaccard.join(no_documents(spark)).count() == 0 and jaccard.keep_one(no_documents(spark)).count() == 0
 
 
+def classes_on_one_hash(spark, n):
+    """Classes of one size that share a hash and nothing else."""
+    rows = [(k, 100, np.array([7, 1000 + k], np.int64).tobytes(), np.random.default_rng(k).bytes(16)) for k in range(n)]
+    return spark.createDataFrame([(c, s, bytearray(p), bytearray(b)) for c, s, p, b in rows], "cid long, n_shingles long, prefix binary, bits binary").repartition(4)
+
+
+def test_frequent_hash_is_visited_in_rows_of_its_size(spark):
+    cls, cfg = classes_on_one_hash(spark, 2000), jaccard.Join(block=64)
+    first, large = jaccard.tiles(cls, cfg)
+    assert first.count() == 2000 and large.filter("home").count() == 2000
+    assert first.groupBy(*jaccard.TILE).count().agg({"count": "max"}).first()[0] < 2 * 64
+    # one component: no pair of blocks is opened
+    one = spark.range(1, 2000).selectExpr("id AS u", "0L AS root")
+    assert jaccard.block_pairs(large, cls, one, cfg).count() == 0
+    # a large component and 40 other classes: each of the others' block meets all
+    most = spark.range(1, 1960).selectExpr("id AS u", "0L AS root")
+    opened = jaccard.block_pairs(large, cls, most, cfg).collect()
+    met = {(r["bi"], r["bj"]) for r in opened}
+    assert 2000 <= len(opened) < 2 * 2000 + 40 * 40 and len({r["cid"] for r in opened}) == 2000
+    sides = {t: [{r["cid"] for r in opened if (r["bi"], r["bj"]) == t and r["left"] == s} for s in (True, False)] for t in met}
+    others = set(range(1960, 2000))
+    for o in others:
+        seen = set().union(*[(r or l) if o in l else l for l, r in sides.values() if o in l or o in r])
+        assert len(seen | {o}) == 2000
+    # all apart: every pair of blocks once
+    none = spark.createDataFrame([], "u long, root long")
+    k = -(-2000 // 64)
+    assert jaccard.block_pairs(large, cls, none, cfg).select(*jaccard.TILE).distinct().count() == k * (k - 1) // 2
+
+
+def test_forest():
+    rng = np.random.default_rng(2)
+    a, b = rng.integers(0, 80, 300), rng.integers(0, 80, 300)
+    a, b = a[a != b], b[a != b]
+    w = rng.integers(0, 9, len(a))
+    got = jaccard.forest(a, b, w)
+    root = list(range(80))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    want = 0
+    for e in np.argsort(w, kind="stable").tolist():
+        x, y = find(a[e]), find(b[e])
+        if x != y:
+            root[x] = y
+            want += w[e]
+    assert w[got].sum() == want and len(got) == len(set(got.tolist())) == 80 - len({find(x) for x in range(80)})
+    assert len(jaccard.forest(a[:0], b[:0], w[:0])) == 0
+
+
+def test_keep_one_with_clashing_names(spark):
+    rows = near_copies(seed=4, groups=2)
+    df = documents(spark, rows).withColumns({"_drop_id": F.lit("x"), "_DROP_key": F.lit(3), "__drop": F.lit(None).cast("string")})
+    kept = jaccard.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r["doc_id"] for r in jaccard.keep_one(documents(spark, rows)).collect())
+
+
 def test_components(spark):
     rng = random.Random(8)
     edges = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(170)] + [(k, k + 1) for k in range(1000, 1040)] + [(2000 + k, 2000) for k in range(1, 60)]
