@@ -24,9 +24,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated line runs are deleted; documents of which nothing is left go."""
-    done = linededup.deduplicate(docs)
-    text = F.col("_lines.text")
-    left = done.filter((F.col("_lines.n_deleted") == 0) | text.rlike(r"[^\x20\x09-\x0D]"))
+    into = storage.free_name(docs, "_lines")
+    done = linededup.deduplicate(docs, into=into)
+    text = F.col(f"{into}.text")
+    left = done.filter((F.col(f"{into}.n_deleted") == 0) | text.rlike(r"[^\x20\x09-\x0D]"))
     return left.select(
         *[text.alias(c) if c == "text" else F.length(text).cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
     )
