@@ -203,11 +203,10 @@ def tiles(cls: DataFrame, cfg: Join = Join()) -> tuple[DataFrame, DataFrame]:
         "hash", "cid", F.explode(F.array(F.struct(F.col("own").alias("band"), F.lit(True).alias("home")), F.struct((F.col("own") + 1).alias("band"), F.lit(False).alias("home")))).alias("b")
     ).select("hash", "cid", "b.band", "b.home")
     sizes = many.groupBy("hash", "band").agg(F.ceil(F.count(F.lit(1)) / F.lit(cfg.block)).cast("int").alias("k"), F.max("home").alias("any_home"))
-    dealt = many.join(sizes.filter("any_home"), ["hash", "band"])
+    dealt = stored(many.join(sizes.filter("any_home"), ["hash", "band"]).select("hash", "band", "cid", "home", "k"), "large-bands")
     block = F.pmod(F.xxhash64("cid"), F.col("k")).cast("int")
     own = dealt.select("hash", "band", block.alias("bi"), block.alias("bj"), "cid", "home", F.lit(True).alias("left"))
-    large = stored(dealt.filter("k > 1").select("hash", "band", "cid", "home"), "large-bands")
-    return _with_bits(few.unionByName(own), cls), large
+    return _with_bits(few.unionByName(own), cls), dealt.filter("k > 1").drop("k")
 
 
 def _with_bits(placed: DataFrame, cls: DataFrame) -> DataFrame:
