@@ -38,6 +38,19 @@ def _profile(keys: str, col: str, name: str) -> str:
     return q(f"SELECT {keys}, round(avg({col}), 6) AS {name} FROM published GROUP BY {keys}")
 
 
+def _profiles() -> str:
+    stats = ", ".join(
+        f"round(avg({c}), 6) AS avg_{t}, round(min({c}), 6) AS min_{t}, round(max({c}), 6) AS max_{t}, "
+        f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS na_{t}"
+        for c, t in (("total_energy_rate", "energy"), ("total_demand_rate", "demand"), ("fixedChargeFirstMeter", "fixed"))
+    )
+    return q(
+        "SELECT CASE WHEN grouping(hour) = 1 THEN 'all' WHEN grouping(month) = 1 THEN 'hour' ELSE 'month_hour' END AS level, "
+        f"month, hour, week_part, CAST(count(*) AS BIGINT) AS total_rows, {stats} FROM published "
+        "GROUP BY GROUPING SETS ((), (hour, week_part), (month, hour, week_part))"
+    )
+
+
 FUNNEL = q(
     """, s1 AS (SELECT * FROM rates WHERE fixedChargeFirstMeter < 10000)
 , s2 AS (SELECT * FROM s1 r WHERE NOT EXISTS (SELECT 1 FROM s1 b WHERE b.total_energy_rate > 100
@@ -134,6 +147,16 @@ FROM rec r JOIN orders o ON o.o_orderkey = r.okey {DIGEST_JOIN}
         "CAST(month(effectiveDate) AS INTEGER) AS effectiveDate_month, "
         "CAST(year(endDate) AS INTEGER) AS endDate_year, CAST(month(endDate) AS INTEGER) AS endDate_month FROM k1"
     ),
+    "plans_as_of": q(
+        """
+SELECT eiaId, rateName, utilityName, label, CAST(CAST(effectiveDate AS DATE) AS VARCHAR) AS effectiveDate,
+  CAST(CAST(endDate AS DATE) AS VARCHAR) AS endDate
+FROM p1
+WHERE (effectiveDate IS NULL OR CAST(effectiveDate AS DATE) <= DATE '1996-06-30')
+  AND (endDate IS NULL OR CAST(endDate AS DATE) > DATE '1996-06-30')
+QUALIFY row_number() OVER (PARTITION BY utilityName, rateName ORDER BY endDate IS NULL DESC, effectiveDate DESC NULLS LAST, label) = 1
+"""
+    ),
     "plans_in_effect": q("SELECT eiaId, rateName, utilityName, revision_year, endDate FROM plans"),
     "fill_bounds": q(
         "SELECT eiaId, rateName, utilityName, round(demandMin, 6) AS demandMin, round(demandMax, 6) AS demandMax, "
@@ -310,6 +333,7 @@ SELECT CAST(count(*) AS BIGINT) AS total_rows,
 FROM published
 """
     ),
+    "rates_profiles": _profiles(),
     "hourly_energy": _profile("hour, week_part", "total_energy_rate", "avg_energy_rate"),
     "monthly_hourly_energy": _profile("month, hour, week_part", "total_energy_rate", "avg_energy_rate"),
     "hourly_demand": _profile("hour, week_part", "total_demand_rate", "avg_demand_rate"),
@@ -318,3 +342,6 @@ FROM published
     "nested_rates": _densified("published", 6),
     "rate_matrix": _densified("published", 6),
 }
+
+#: The same records by way of array documents.
+ORACLE["ingest_arrays"] = ORACLE["scan_plans"]

@@ -162,6 +162,23 @@ def newest_years(df: DataFrame, keys: Sequence[str] = ("eiaId", "utilityName"))
     return df.groupBy(*keys).agg(F.max("revision_year").alias("_newest"))
 
 
+def plans_as_of(df: DataFrame, day: str, keys: Sequence[str] = ("utilityName", "rateName")) -> DataFrame:
+    """Per plan the version in effect on a day (``yyyy-mm-dd``), from versions with parsed dates.
+
+    A version is in effect from its effective date on (NULL: ever since) until
+    before its end date (NULL: open).  Of several, one with an open end comes first, then the
+    latest effective date, then the smallest label.  The day is a parameter, so a
+    rerun gives the same rows.  ``row_number() = 1`` is limited within each input
+    partition before the shuffle, so a hot plan costs one row per partition.
+    """
+    require_columns(df, ["effectiveDate", "endDate", "label", *keys])
+    on = F.lit(day).cast("date")
+    began = F.col("effectiveDate").isNull() | (F.to_date("effectiveDate") <= on)
+    lasts = F.col("endDate").isNull() | (F.to_date("endDate") > on)
+    first = Window.partitionBy(*keys).orderBy(F.col("endDate").isNull().desc(), F.col("effectiveDate").desc_nulls_last(), "label")
+    return df.where(began & lasts).withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
+
+
 def plans_in_effect(
     df: DataFrame,
     keys: Sequence[str] = ("eiaId", "utilityName"),

@@ -17,7 +17,7 @@ from ..constants import MONTHLY_USAGE_KWH, PEAK_DEMAND_KW
 from ..functions.columns import NAME_KEY
 from ..operators import clean, combine, profile, quality, reshape, validate, waterfall
 from ..session import cut_lineage, ensure_utc, scratch_path
-from ..sources import publish, tpch
+from ..sources import ingest, publish, tpch
 from . import end_to_end, nested, relational
 
 KEYS = ["eiaId", "rateName", "utilityName"]
@@ -116,12 +116,29 @@ def digests() -> list:
 def q_scan_plans(spark, sf):
     path = scratch_path(spark, "plans-json")
     records(spark, sf).write.json(path)
-    back = publish.read_plans(spark, path)
+    return scanned(publish.read_plans(spark, path))
+
+
+def scanned(back: DataFrame) -> DataFrame:
+    """All fields of scanned records, the nested ones as digests."""
     flat = [f.name for f in back.schema.fields if f.dataType.typeName() != "array"]
     dates = F.expr("concat_ws(',', transform(revisions, r -> coalesce(r.date, '-')))").alias("revisions")
     return rounded(back.select(*flat, dates, *digests()))
 
 
+def q_ingest_arrays(spark, sf):
+    """The records as array documents of some hundred records each, split into blocks, landed by one pass."""
+    path, landed = scratch_path(spark, "plan-documents"), scratch_path(spark, "plans-landed")
+    rows = records(spark, sf)
+    document = F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct(*rows.columns))), ", "), F.lit("]"))
+    # a hash of the label deals records to documents, whose number grows with the records
+    parts = max(1, rows.count() // 500)
+    bucket = F.pmod(F.xxhash64("label"), F.lit(parts)).alias("bucket")
+    rows.groupBy(bucket).agg(document.alias("value")).select("value").write.option("maxRecordsPerFile", 1).text(path)
+    back, _ = ingest.ingest(spark, path, landed, array_document=True)
+    return scanned(back)
+
+
 def q_publish_parquet(spark, sf):
     path = scratch_path(spark, "rates-parquet")
     publish.write_rates_parquet(published(spark, sf), path)
@@ -168,6 +185,12 @@ def q_plans_in_effect(spark, sf):
     return in_effect(spark, sf).select(*KEYS, "revision_year", "endDate")
 
 
+def q_plans_as_of(spark, sf):
+    versions = records(spark, sf).transform(clean.sector_filter).transform(clean.parse_dates)
+    days = [F.to_date(c).cast("string").alias(c) for c in ("effectiveDate", "endDate")]
+    return clean.plans_as_of(versions, "1996-06-30").select(*KEYS, "label", *days)
+
+
 def q_fill_bounds(spark, sf):
     return rounded(in_effect(spark, sf).transform(clean.fill_bounds).select(*KEYS, *clean.BOUND_COLUMNS))
 
@@ -426,6 +449,10 @@ def q_rates_profile(spark, sf):
     return rounded(profile.rates_profile(published(spark, sf)))
 
 
+def q_rates_profiles(spark, sf):
+    return rounded(profile.profiles(published(spark, sf)))
+
+
 def q_hourly_energy(spark, sf):
     return rounded(profile.hourly_energy(published(spark, sf)))
 

@@ -1,6 +1,6 @@
 """Physical-plan properties that matter at scale."""
 
-from ratecraft.operators import clean, quality, validate
+from ratecraft.operators import clean, profile, quality, validate
 from ratecraft.plans import end_to_end, nested
 from ratecraft.sources import tpch
 
@@ -96,3 +96,29 @@ def test_group_filters_judge_names_before_hours(spark):
     kept = nested.explode_cells(nested.drop_failing_names(cells, "c.total_energy_rate > 0.1"))
     text = kept._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("Generate ") == 1 and text.index("Generate ") < text.index("Join LeftAnti")
+
+
+def test_profiles_are_one_pass(spark):
+    """A6-A10 from one scan and one shuffle, each level equal to its own aggregate."""
+    rows = [
+        (1 + k % 3, 1 + k % 4, ("Weekday", "Weekend")[k % 2], None if k % 7 == 0 else k / 10, k / 5 if k % 5 else None, float(k % 9))
+        for k in range(400)
+    ]
+    cols = ["month", "hour", "week_part", "total_energy_rate", "total_demand_rate", "fixedChargeFirstMeter"]
+    df = spark.createDataFrame(rows, cols)
+    found = profile.profiles(df)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and plan.count("Scan ") == 1
+    found = spark.createDataFrame(found.collect(), found.schema)
+
+    def same(got, want):
+        near = lambda r: tuple(round(x, 9) if isinstance(x, float) else x for x in r)
+        assert sorted(map(str, map(near, got.collect()))) == sorted(map(str, map(near, want.select(got.columns).collect())))
+
+    stats = [c for c in found.columns if c not in ("level", "month", "hour", "week_part")]
+    same(profile.level_of(found, "all", [], {c: c for c in stats}), profile.rates_profile(df))
+    energy, demand = {"avg_energy": "avg_energy_rate"}, {"avg_demand": "avg_demand_rate"}
+    same(profile.level_of(found, "hour", ["hour", "week_part"], energy), profile.hourly_energy(df))
+    same(profile.level_of(found, "hour", ["hour", "week_part"], demand), profile.hourly_demand(df))
+    same(profile.level_of(found, "month_hour", ["month", "hour", "week_part"], energy), profile.monthly_hourly_energy(df))
+    same(profile.level_of(found, "month_hour", ["month", "hour", "week_part"], demand), profile.monthly_hourly_demand(df))
