@@ -9,9 +9,9 @@ is at least the threshold.  The join is exact.
    Documents with equal sets form a class; only one sketch of a class goes on.
 2. Sketches meet in tiles: classes that share one of those hashes and, where
    a hash is frequent, lie in the same or neighbouring size bands.  A band that
-   exceeds a block is dealt to blocks of bounded size, and each block meets
-   itself first; pairs of blocks are opened once these are settled, and only
-   between classes of different components.  Inside a tile, the number of bits in
+   exceeds a block is dealt to blocks of bounded size, which meet in pairs.  With
+   ``pairs_later`` each block meets itself first, and pairs of blocks are opened
+   once these are settled, only between classes of different components.  Inside a tile, the number of bits in
    which two bitmaps differ is at most the size of the symmetric difference, which
    bounds the overlap from above; pairs over the bound are dropped.
 3. The rest is checked exactly: the sorted hash arrays of both sets are
@@ -63,6 +63,8 @@ class Join:
     most_bits: int = 8192
     #: n-grams for each bit of a bitmap, up to most_bits; a lower percent needs fewer, or unrelated sets pass its bound
     load: int = 2
+    #: open the pairs of a large band's blocks only once its blocks are settled: fewer rows, and more rounds
+    pairs_later: bool = False
 
 
 #: Lists of ids up to this many rows are sent to all executors; larger ones are joined by a shuffle.
@@ -163,8 +165,9 @@ def tiles(cls: DataFrame, cfg: Join = Join()) -> tuple[DataFrame, DataFrame]:
     A tile's rows have the tile columns (hash, band, bi, bj), cid, n_shingles,
     home, left, bits.  A hash that fits one block is one tile of all sizes (band
     -1).  For others a class goes to its own size band and, as a visitor, to the
-    next one; a band that exceeds a block is dealt to blocks, each a tile of its
-    own.  Such bands' rows (hash, band, cid, home) are returned for ``block_pairs``.
+    next one; a band that exceeds a block is dealt to blocks, and a tile is a pair
+    of them.  With ``pairs_later`` each block is a tile of its own, and such bands'
+    rows (hash, band, cid, home) are returned for ``block_pairs``.
     """
     ship(cls.sparkSession)
 
@@ -205,6 +208,12 @@ def tiles(cls: DataFrame, cfg: Join = Join()) -> tuple[DataFrame, DataFrame]:
     sizes = many.groupBy("hash", "band").agg(F.ceil(F.count(F.lit(1)) / F.lit(cfg.block)).cast("int").alias("k"), F.max("home").alias("any_home"))
     dealt = stored(many.join(sizes.filter("any_home"), ["hash", "band"]).select("hash", "band", "cid", "home", "k"), "large-bands")
     block = F.pmod(F.xxhash64("cid"), F.col("k")).cast("int")
+    if not cfg.pairs_later:
+        met_by = dealt.withColumn("x", block).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+        every = met_by.select(
+            "hash", "band", F.least("x", "y").alias("bi"), F.greatest("x", "y").alias("bj"), "cid", "home", (F.col("x") <= F.col("y")).alias("left")
+        )
+        return _with_bits(few.unionByName(every), cls), dealt.filter("false").drop("k")
     own = dealt.select("hash", "band", block.alias("bi"), block.alias("bj"), "cid", "home", F.lit(True).alias("left"))
     return _with_bits(few.unionByName(own), cls), dealt.filter("k > 1").drop("k")
 
@@ -511,9 +520,11 @@ def link_roots(docs: DataFrame, cls: DataFrame, cfg: Join = Join(), id_col: str
     links = spark.createDataFrame([], "u long, v long")
     roots = spark.createDataFrame([], "u long, root long")
     tiled, large = tiles(cls, cfg)
-    links, roots = _settled(docs, cls, tiled, links, roots, cfg, id_col, text_col)
-    if large.first() is not None:
-        links, roots = _settled(docs, cls, block_pairs(large, cls, roots, cfg), links, roots, cfg, id_col, text_col)
+    links, roots = _settled(docs, cls, tiled.withColumn("root", F.col("cid")), links, roots, cfg, id_col, text_col)
+    if cfg.pairs_later and large.first() is not None:
+        known = roots.select(F.col("u").alias("cid"), F.col("root").alias("now"))
+        more = block_pairs(large, cls, roots, cfg).join(known, "cid", "left").withColumn("root", F.coalesce("now", "cid")).drop("now")
+        links, roots = _settled(docs, cls, more, links, roots, cfg, id_col, text_col)
     return links, roots
 
 
@@ -521,8 +532,7 @@ def _settled(
     docs: DataFrame, cls: DataFrame, tiled: DataFrame, links: DataFrame, roots: DataFrame, cfg: Join, id_col: str, text_col: str
 ) -> tuple[DataFrame, DataFrame]:
     """Links and roots once no tile has an unchecked candidate between two components."""
-    known = roots.select(F.col("u").alias("cid"), F.col("root").alias("now"))
-    tiled = stored(tiled.join(known, "cid", "left").withColumn("root", F.coalesce("now", "cid")).drop("now"), "tiles")
+    tiled = stored(tiled, "tiles")
     first, last = 0, cfg.nearest
     while True:
         seen = tiled.repartition(*TILE).sortWithinPartitions(*TILE)

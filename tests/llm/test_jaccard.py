@@ -76,7 +76,7 @@ def test_near_copies_at_every_block_size(spark):
     want, n = brute(rows)
     assert n < len(rows) - 20
     df = documents(spark, rows)
-    for cfg in (jaccard.Join(), jaccard.Join(block=4, nearest=1)):
+    for cfg in (jaccard.Join(block=4, nearest=1), jaccard.Join(block=4, nearest=1, pairs_later=True)):
         assert collected(jaccard.join(df, cfg)) == want
 
 
@@ -126,7 +126,7 @@ def classes_on_one_hash(spark, n):
 
 
 def test_frequent_hash_is_visited_in_rows_of_its_size(spark):
-    cls, cfg = classes_on_one_hash(spark, 2000), jaccard.Join(block=64)
+    cls, cfg = classes_on_one_hash(spark, 2000), jaccard.Join(block=64, pairs_later=True)
     first, large = jaccard.tiles(cls, cfg)
     assert first.count() == 2000 and large.filter("home").count() == 2000
     assert first.groupBy(*jaccard.TILE).count().agg({"count": "max"}).first()[0] < 2 * 64
