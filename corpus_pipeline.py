@@ -14,7 +14,7 @@ from ratecraft.llm import jaccard, linededup, packing, postings, quality, storag
 
 #: The stage's own rule, five words and 80 %; the 3 words and 90 % of ``Join`` are op6's.
 #: At 80 %, bitmaps of half as many bits as n-grams let unrelated sets pass.
-NEAR = jaccard.Join(n=5, percent=80, load=1, most_bits=32768)
+NEAR = jaccard.Join(n=5, percent=80, load=1, most_bits=32768, pairs_later=True)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
