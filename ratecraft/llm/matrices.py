@@ -13,7 +13,8 @@ another attempt and never twice.
 
 Defined cases: a null or empty text is a piece that holds only the end id; a
 text of any length is split; repeated rows are packed as often as they come;
-a null id is kept; an empty table gives no rows.
+a null id is kept, and ids keep their type; an empty table gives no rows; a
+vocabulary whose ids don't fit ``dtype`` raises before anything is packed.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from . import tokens
 from .storage import ship, stored
@@ -99,10 +101,11 @@ def pack_rows(
     tokenizer: str | None = None, end_id: int = tokens.END_OF_TEXT, dtype: str = DTYPE, block_tokens: int = BLOCK_TOKENS,
 ) -> DataFrame:
     """Packed rows (``MATRIX_SCHEMA``): ids padded with ``end_id`` to the window; cu_seqlens holds 0 and each segment's end."""
+    tokens.require_width(dtype, end_id, tokenizer)
     ship(docs.sparkSession)
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
-    arrow_kind = pa.int64() if kind == "bigint" else pa.string() if kind == "string" else pa.int32()
+    arrow_kind = to_arrow_type(src.schema["doc_id"].dataType)
 
     def block_rows(first: int, ids: np.ndarray, off: np.ndarray, doc_ids: pa.Array) -> pa.RecordBatch:
         size = np.diff(off)
@@ -171,7 +174,7 @@ def write_matrices(docs: DataFrame, path: str | None = None, **options) -> DataF
 def segments(matrices: DataFrame, dtype: str = DTYPE) -> DataFrame:
     """One row per segment, from the written rows: doc_id, start, length, doc_tokens, row_id, offset, ids_crc32."""
     kind = matrices.schema["doc_ids"].dataType.elementType.simpleString()
-    arrow_kind = pa.int64() if kind == "bigint" else pa.string() if kind == "string" else pa.int32()
+    arrow_kind = to_arrow_type(matrices.schema["doc_ids"].dataType.elementType)
     ship(matrices.sparkSession)
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -16,7 +16,9 @@
 
 Defined cases: a null or empty text is one piece that holds only the end id;
 texts of any length are cut without loss; repeated rows are packed as often
-as they come; a null id is kept; an empty table gives no rows.
+as they come; a null id is kept; an empty table gives no rows.  A text that
+spells a special token of the vocabulary has that token's id there, as the
+tokenizer's own ``encode`` gives it.
 """
 
 from __future__ import annotations
@@ -70,7 +72,7 @@ def cut(
         seen = np.zeros(bins + 1, dtype=np.int64)
         for b in batches:
             doc_ids = b.column("doc_id")
-            for lo, hi, ids, off in tokens.encoded(b.column("text"), end_id, tokenizer):
+            for lo, hi, ids, off in tokens.encoded(b.column("text"), end_id, tokenizer, special=True):
                 size = np.diff(off)
                 n = -(-size // window)
                 doc = np.repeat(np.arange(hi - lo), n)

@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from . import text as tx
 from .storage import free_name, ship, stored
@@ -222,6 +223,7 @@ def search(
     spark = index.sparkSession
     kind = items.schema[id_col].dataType.simpleString()
     slim = index.select("segment", "n_words", "terms", "term_first", "deltas")
+    item_type = to_arrow_type(items.schema[id_col].dataType)
     out = None
     for block in blocks(items, window, id_col, text_col, block_items):
         sent = spark.sparkContext.broadcast(block)  # bounded by block_items
@@ -231,7 +233,7 @@ def search(
             for b in batches:
                 for i in range(b.num_rows):
                     yield pa.RecordBatch.from_pylist(
-                        list(_matches(block, b.slice(i, 1), slop)), schema=_match_schema(kind)
+                        list(_matches(block, b.slice(i, 1), slop)), schema=_match_schema(item_type)
                     )
 
         found = slim.mapInArrow(look, MATCHES.format(kind=kind))
@@ -239,8 +241,7 @@ def search(
     return spark.createDataFrame([], MATCHES.format(kind=kind)) if out is None else out
 
 
-def _match_schema(kind: str) -> pa.Schema:
-    item = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+def _match_schema(item: pa.DataType) -> pa.Schema:
     ints = pa.list_(pa.int32())
     return pa.schema(
         [("segment", pa.int64()), ("ord", pa.int32()), ("item_id", item), ("starts", ints), ("ends", ints), ("near", pa.bool_())]

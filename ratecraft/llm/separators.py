@@ -13,7 +13,8 @@ the document open at a block's beginning starts.
 Defined cases: a null or empty text is a document that holds only its
 separator; a text that spells the separator's name is ordinary text; ids
 after the last separator of a file are an open document (``closed`` false);
-empty files and tables give no rows.
+empty files and tables give no rows.  A vocabulary whose ids don't fit ``dtype``
+raises before anything is written.
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ def write_flat(
     tokenizer: str | None = None, end_id: int = tokens.END_OF_TEXT, dtype: str = DTYPE,
 ) -> DataFrame:
     """Write one flat file of ids per task; returns which document is the nth of which file (part, nth, doc_id)."""
+    tokens.require_width(dtype, end_id, tokenizer)
     ship(docs.sparkSession)
     make_folder(folder)
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))

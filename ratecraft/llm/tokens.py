@@ -39,12 +39,13 @@ def tokenizer_path(path: str | None = None) -> str:
 class Units:
     """Ids of units, kept across batches: sorted hashes and their places in one flat id array."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # False here is the library's own reading: names such as <|endoftext|> in a text give their single id
+        self.tokenizer.encode_special_tokens = not special
         self.clear()
 
     def clear(self) -> None:
@@ -117,20 +118,34 @@ class Units:
         return ids, np.concatenate([[0], ends])[u_off]
 
 
-_UNITS: dict[str, Units] = {}
+_UNITS: dict[tuple[str, bool], Units] = {}
 
 
-def units(path: str | None = None) -> Units:
+def units(path: str | None = None, special: bool = False) -> Units:
     """The worker's tokenizer for a vocabulary file."""
-    path = tokenizer_path(path)
-    if path not in _UNITS:
-        _UNITS[path] = Units(path)
-    return _UNITS[path]
+    key = (tokenizer_path(path), special)
+    if key not in _UNITS:
+        _UNITS[key] = Units(*key)
+    return _UNITS[key]
 
 
-def encoded(texts: pa.Array, end_id: int, path: str | None = None):
-    """(first row, end row, ids, offsets) over pieces of a batch; each text is followed by ``end_id``."""
-    u = units(path)
+def require_width(dtype: str, end_id: int, path: str | None = None) -> None:
+    """Raise unless every id of the vocabulary, and the end id, fits ``dtype``."""
+    from tokenizers import Tokenizer
+
+    known = Tokenizer.from_file(tokenizer_path(path)).get_vocab(with_added_tokens=True).values()
+    largest, room = max([end_id, *known]), np.iinfo(np.dtype(dtype)).max
+    if largest > room or end_id < 0:
+        raise ValueError(f"ids up to {largest} don't fit {dtype} (0 to {room}): pass a wider dtype")
+
+
+def encoded(texts: pa.Array, end_id: int, path: str | None = None, special: bool = False):
+    """(first row, end row, ids, offsets) over pieces of a batch; each text is followed by ``end_id``.
+
+    ``special`` reads names of special tokens in a text as these tokens, as the
+    library's ``encode`` does by default; otherwise they are ordinary text.
+    """
+    u = units(path, special)
     for lo, hi, data, offsets in tx.pieces(texts):
         ids, off = u.encode(data, offsets)
         yield lo, hi, np.insert(ids, off[1:], np.uint32(end_id)), off + np.arange(len(off))

@@ -1,6 +1,7 @@
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -12,13 +13,16 @@ PLAIN = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 PLAIN.encode_special_tokens = True
 
 
-def ids_of(text, end):
-    return [*PLAIN.encode(text or "", add_special_tokens=False).ids, end]
+OWN = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))  # the library's own reading of special tokens
 
 
-def vector(ts, end=0):
+def ids_of(text, end, reader=PLAIN):
+    return [*reader.encode(text or "", add_special_tokens=False).ids, end]
+
+
+def vector(ts, end=0, special=False):
     out = []
-    for _, _, ids, off in tokens.encoded(pa.array(ts, pa.string()), end):
+    for _, _, ids, off in tokens.encoded(pa.array(ts, pa.string()), end, special=special):
         out += [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:], strict=True)]
     return out
 
@@ -41,10 +45,52 @@ def test_ids_of_any_white_space(ts):
     assert vector(ts) == [ids_of(t, 0) for t in ts]
 
 
-def check_pieces(rows, docs, end, window, seq):
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", " ", "  ", "\n", "a", "bé", "<", "|>"]), max_size=9), max_size=5))
+def test_special_tokens_as_the_library_reads_them(parts):
+    ts = ["".join(p) for p in parts]
+    assert vector(ts, special=True) == [ids_of(t, 0, OWN) for t in ts]
+    assert vector(ts) == [ids_of(t, 0) for t in ts]
+
+
+def test_special_tokens_of_the_fixture():
+    ts = ["a b <|endoftext|> c", *texts()]
+    assert vector(ts, special=True) == [ids_of(t, 0, OWN) for t in ts]
+    assert vector(ts[:1], special=True) == [[64, 275, 220, 50256, 269, 0]]
+
+
+def test_a_vocabulary_beyond_two_bytes_raises(spark, tmp_path):
+    from tokenizers import Tokenizer as T
+    from tokenizers.models import WordLevel
+
+    wide = str(tmp_path / "wide.json")
+    T(WordLevel({"a": 0, "b": 65536}, unk_token="a")).save(wide)
+    tokens.require_width("<u4", 0, wide)
+    docs = documents(spark)
+    for write in (
+        lambda: separators.write_flat(docs, str(tmp_path / "flat"), tokenizer=wide, end_id=0),
+        lambda: matrices.pack_rows(docs, tokenizer=wide, end_id=0),
+        lambda: matrices.pack_rows(docs, end_id=1 << 16),
+        lambda: matrices.pack_rows(docs, end_id=-1),
+    ):
+        with pytest.raises(ValueError):
+            write()
+    assert not (tmp_path / "flat").exists()
+
+
+def test_matrices_keep_the_type_of_ids(spark):
+    for kind in ("smallint", "date", "string"):
+        docs = spark.sql(f"SELECT CAST('2' AS {kind}) AS doc_id, 'a b' AS text" if kind != "date" else "SELECT DATE'2024-01-02' AS doc_id, 'a b' AS text")
+        m = matrices.write_matrices(docs)
+        got = matrices.segments(m)
+        assert got.schema["doc_id"].dataType == docs.schema["doc_id"].dataType
+        assert [r["doc_id"] for r in got.collect()] == [r["doc_id"] for r in docs.collect()]
+
+
+def check_pieces(rows, docs, end, window, seq, reader=PLAIN):
     want = {}
     for d in docs.collect():
-        want.setdefault(d["doc_id"], []).append(ids_of(d["text"], end))
+        want.setdefault(d["doc_id"], []).append(ids_of(d["text"], end, reader))
     filled, covered = {}, {}
     for r in rows:
         filled.setdefault(r[seq], []).append((r["offset"], r["length"]))
@@ -70,7 +116,7 @@ def test_nnls_packing(spark):
     docs = documents(spark)
     cfg = packing.Packing(window=256, bin_tokens=4, group=16)
     rows = packing.pack(docs, cfg).collect()
-    check_pieces(rows, docs, 0, 256, "sequence_id")
+    check_pieces(rows, docs, 0, 256, "sequence_id", OWN)
     assert packing.pack(no_documents(spark), cfg).count() == 0
     with_ids = packing.pack(docs, cfg, with_ids=True).collect()
     assert all(len(r["ids"]) == 4 * r["length"] for r in with_ids)
