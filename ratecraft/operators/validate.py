@@ -4,19 +4,22 @@
 counts the row checks (V1, V2, V4-V6) and the copies (V3) together, and a
 second, global pass sums them; V7 compares two distinct plan counts.
 ``validation_report_cells`` computes the same from plan rows without
-shuffling the hourly table.  The result is a small table ``(step,
+shuffling the hourly table, and ``validation_report_slots`` from the long
+table with a shuffle of one row a plan and task.  The result is a small table ``(step,
 check_name, severity, n, n_failed, passed)``; V8 (``enforce``) raises after
 the table has been computed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import ENERGY_RATE_CHECK, EXCLUDED_NAMES, FIXED_CHARGE_CHECK
+from ..constants import ENERGY_RATE_CHECK, EXCLUDED_NAMES, FIXED_CHARGE_CHECK, WEEKDAY, WEEKEND
 from ..functions.columns import count_if, not_true
 from ..schema import COUNT_KEYS
+from ..session import scratch_path
+
 UNIQUE_KEYS = ["eiaId", "utilityName", "rateName", "month", "week_part", "hour"]
 CRITICAL_STEPS = 4
 
@@ -148,3 +151,94 @@ def validation_report_cells(
     )
     n_in = input_plans.select(*COUNT_KEYS).distinct().agg(F.count(F.lit(1)).alias("n_in"))
     return _steps(_one_row(totals, dup, n_in))
+
+
+#: 576 slots (week part, month, hour) in words of 64 bits.
+SLOT_BITS = 64
+SLOT_WORDS = 576 // SLOT_BITS
+
+
+def _slot() -> Column:
+    """Number 0..575 of a row's (week part, month, hour); NULL off the grid."""
+    part = F.when(F.col("week_part") == WEEKDAY, 0).when(F.col("week_part") == WEEKEND, 288)
+    on_grid = F.col("month").between(1, 12) & F.col("hour").between(1, 24)
+    return F.when(on_grid, part + (F.col("month") - 1) * 24 + F.col("hour") - 1).cast("int")
+
+
+def plan_slots(
+    output: DataFrame,
+    fixed_limit: float = FIXED_CHARGE_CHECK,
+    energy_limit: float = ENERGY_RATE_CHECK,
+    pattern: str = EXCLUDED_NAMES,
+) -> DataFrame:
+    """Per plan of the long table: rows, failures of each check, slots that occur, rows off the grid.
+
+    A plan's slots are a bitmap of nine words under ``bit_or``, a fixed-width
+    buffer that the scan's tasks combine before the shuffle: one row a plan and
+    task, not one an hour.
+    """
+    slotted = output.select(
+        *COUNT_KEYS, "fixedChargeFirstMeter", "total_energy_rate", "total_demand_rate", _slot().alias("_slot")
+    )
+
+    def word(k: int) -> Column:
+        bit = F.expr(f"IF(_slot DIV {SLOT_BITS} = {k}, shiftleft(1L, _slot % {SLOT_BITS}), 0L)")
+        return F.coalesce(F.bit_or(bit), F.lit(0).cast("long"))
+
+    return (
+        slotted.groupBy(*COUNT_KEYS)
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            count_if(not_true(F.col("fixedChargeFirstMeter") <= F.lit(fixed_limit))).alias("f1"),
+            count_if(not_true(F.col("total_energy_rate") <= F.lit(energy_limit))).alias("f2"),
+            count_if(not_true(F.col("total_demand_rate") >= 0)).alias("f5"),
+            count_if(not_true(F.col("total_energy_rate") >= 0)).alias("f6"),
+            count_if(F.col("_slot").isNull()).alias("off_grid"),
+            *[word(k).alias(f"_w{k}") for k in range(SLOT_WORDS)],
+        )
+        .select(
+            *COUNT_KEYS, "n", "f1", "f2",
+            # the name is a key, so this check is one decision a plan
+            F.when(not_true(~F.col("rateName").rlike("(?i)" + pattern)), F.col("n")).otherwise(0).alias("f4"),
+            "f5", "f6", "off_grid",
+            sum((F.bit_count(f"_w{k}") for k in range(1, SLOT_WORDS)), F.bit_count("_w0")).cast("long").alias("slots"),
+        )
+    )
+
+
+def validation_report_slots(
+    input_plans: DataFrame,
+    output: DataFrame,
+    fixed_limit: float = FIXED_CHARGE_CHECK,
+    energy_limit: float = ENERGY_RATE_CHECK,
+    pattern: str = EXCLUDED_NAMES,
+) -> DataFrame:
+    """Same report of the long table, shuffled at plan grain.
+
+    A plan with as many slots as rows has no two rows alike (V3).  Plans with
+    fewer slots, or rows off the grid, are the only ones whose rows are grouped
+    by all six keys.  The plans' counts are written to the shared folder first,
+    so the size of that list is known when the join is planned: a short list
+    (the normal case is none) is sent to the hourly rows, a long one is joined
+    by shuffle.  ``output`` is read twice.
+    """
+    spark = output.sparkSession
+    path = scratch_path(spark, "plan-slots")
+    plan_slots(output, fixed_limit, energy_limit, pattern).write.parquet(f"{path}/counts")
+    per_plan = spark.read.parquet(f"{path}/counts")
+    per_plan.where("slots < n").select(*COUNT_KEYS).write.parquet(f"{path}/suspects")
+    suspects = spark.read.parquet(f"{path}/suspects")
+    totals = per_plan.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n"),
+        *[F.coalesce(F.sum(f), F.lit(0)).cast("long").alias(f) for f in ("f1", "f2", "f4", "f5", "f6")],
+        F.count(F.lit(1)).alias("n_out"),
+    )
+    rows = output.select(*UNIQUE_KEYS)
+    copies = (
+        rows.join(suspects, on=[rows[k].eqNullSafe(suspects[k]) for k in COUNT_KEYS], how="left_semi")
+        .groupBy(*UNIQUE_KEYS)
+        .agg(F.count(F.lit(1)).alias("c"))
+        .agg(F.coalesce(F.sum(F.when(F.col("c") > 1, F.col("c"))), F.lit(0)).cast("long").alias("f3"))
+    )
+    n_in = input_plans.select(*COUNT_KEYS).distinct().agg(F.count(F.lit(1)).alias("n_in"))
+    return _steps(_one_row(totals, copies, n_in))

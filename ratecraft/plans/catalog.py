@@ -151,6 +151,12 @@ def q_rates_json(spark, sf):
     return publish.matrices_to_long(publish.read_rates_json(spark, path))
 
 
+def q_rates_document(spark, sf):
+    path = scratch_path(spark, "rates-document")
+    publish.write_rates_document(end_to_end.rate_json_rows(plans(spark, sf)), path)
+    return publish.matrices_to_long(publish.read_rates_document(spark, path))
+
+
 def q_default_structures(spark, sf):
     return rounded(in_effect(spark, sf).transform(clean.default_structures).select(*KEYS, *digests()))
 
@@ -444,6 +450,19 @@ def q_validation_failures(spark, sf):
     return validate.validation_report(p, twice, fixed_limit=TEST_FIXED_CHECK, energy_limit=TEST_ENERGY_LIMIT)
 
 
+def q_validation_slots(spark, sf):
+    p = plans(spark, sf)
+    return validate.validation_report_slots(p, end_to_end.published_rates(p, drop_negative=True))
+
+
+def q_validation_slots_failures(spark, sf):
+    """The same on unfiltered rates with some rows twice, at limits that some rows exceed."""
+    p = plans(spark, sf)
+    hourly = nested.explode_cells(cut_lineage(nested.rate_cells(p)))
+    twice = hourly.unionByName(hourly.where("month = 1 AND hour = 1"))
+    return validate.validation_report_slots(p, twice, fixed_limit=TEST_FIXED_CHECK, energy_limit=TEST_ENERGY_LIMIT)
+
+
 # --- report -------------------------------------------------------------------------
 def q_rates_profile(spark, sf):
     return rounded(profile.rates_profile(published(spark, sf)))

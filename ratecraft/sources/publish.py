@@ -8,6 +8,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -141,9 +143,70 @@ def write_rates_json(matrices: DataFrame, path: str, mode: str = "overwrite") ->
     return path
 
 
+RATES_JSON = (
+    "eiaid BIGINT, name STRING, utility STRING, fixedchargefirstmeter DOUBLE, "
+    + ", ".join(f"{c} ARRAY<ARRAY<DOUBLE>>" for c in MATRIX_COLUMNS)
+)
+
+
 def read_rates_json(spark: SparkSession, path: str) -> DataFrame:
-    schema = (
-        "eiaid BIGINT, name STRING, utility STRING, fixedchargefirstmeter DOUBLE, "
-        + ", ".join(f"{c} ARRAY<ARRAY<DOUBLE>>" for c in MATRIX_COLUMNS)
-    )
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(RATES_JSON).json(path)
+
+
+# --- S4 as one document -----------------------------------------------------
+DOCUMENT_ORDER = ["utility", "name", "eiaid"]
+#: Sorts after every numbered part.
+CLOSING_PART = "part-end.txt"
+
+
+def write_rates_document(matrices: DataFrame, path: str, order: Sequence[str] = DOCUMENT_ORDER) -> str:
+    """All plans as one JSON array, written in parallel as ordered parts.
+
+    The parts' texts one after the other, in the order of their names, are the
+    document; the plans follow ``order``, ties by their own text.  Every record
+    is a line that begins with its separator: ``[`` for the first record (the
+    first row of the range partition 0, which isn't empty if there are rows),
+    else ``,``.  The commit step adds the closing part, and only then
+    ``_DOCUMENT``, whose absence marks an unfinished document.  The driver
+    writes these few bytes alone.  Existing output is replaced.  NULL fields are
+    omitted, as in the JSON lines; no plans give ``[]``.
+    """
+    spark = matrices.sparkSession
+    texts = round_numbers(matrices).select(*order, F.to_json(F.struct(*matrices.columns)).alias("_text"))
+    ordered = texts.orderBy(*[F.col(c).asc_nulls_first() for c in order], "_text")
+    first = F.monotonically_increasing_id() == 0
+    # one file a partition, so that a part's number is its place
+    ordered.select(F.concat(F.when(first, "[").otherwise(","), "_text").alias("value")).write.mode("overwrite").option(
+        "maxRecordsPerFile", 0
+    ).text(path)
+    _close_document(spark, path)
+    return path
+
+
+def _close_document(spark: SparkSession, path: str) -> None:
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    sizes = {s.getPath().getName(): s.getLen() for s in fs.listStatus(folder)}
+    filled = sorted(n for n, size in sizes.items() if n.startswith("part-") and size > 0)
+    if any(len(n.split("-")[1]) != 5 for n in filled):
+        raise ValueError("more than 100,000 parts: their names no longer sort by number")
+    if filled:
+        head = fs.open(jvm.org.apache.hadoop.fs.Path(folder, filled[0]))
+        begins = chr(head.read())
+        head.close()
+        if begins != "[":
+            raise RuntimeError(f"{path}: the first part doesn't open the array")
+    for name, text in ((CLOSING_PART, "]\n" if filled else "[]\n"), ("_DOCUMENT", "")):
+        out = fs.create(jvm.org.apache.hadoop.fs.Path(folder, name), True)
+        out.write(bytearray(text.encode()))
+        out.close()
+
+
+def read_rates_document(spark: SparkSession, path: str) -> DataFrame:
+    """The plans of a finished document, a record a line; raises if it was not finished."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_DOCUMENT")
+    if not marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker):
+        raise FileNotFoundError(f"{path}: no finished document")
+    record = F.from_json(F.substring("value", 2, 1 << 30), RATES_JSON, {"mode": "FAILFAST"})
+    return spark.read.text(path).where(F.substring("value", 2, 1) == "{").select(record.alias("r")).select("r.*")
