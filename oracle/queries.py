@@ -345,7 +345,8 @@ FROM published
 
 #: The same records by way of array documents.
 ORACLE["ingest_arrays"] = ORACLE["scan_plans"]
-#: The same report and the same documents by other ways.
+#: The same tables by other ways.
+ORACLE["fill_units_ranges"] = ORACLE["fill_units"]
 ORACLE["validation_slots"] = ORACLE["validation_report"]
 ORACLE["validation_slots_failures"] = ORACLE["validation_failures"]
 ORACLE["rates_document"] = ORACLE["rates_json"]

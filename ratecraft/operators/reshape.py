@@ -3,7 +3,8 @@
 Every explode here is a narrow operator: rows of one plan never leave the
 partition that holds the plan.  Matrices are flattened with higher-order
 functions and a single ``inline``, so one generator produces all 576 rows
-of a plan in one pass, with no shuffle.
+of a plan in one pass, with no shuffle.  ``fill_units_ranges`` alone moves
+rows: it is for input where very many plans share a name.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import as_number, carried, col_of
 from ..constants import DEFAULT_ENERGY_UNIT, WEEKDAY, WEEKEND
 from ..schema import PLAN_KEYS_SECTOR
+from ..session import scratch_path
 
 
 def matrix_cells(matrix: str | Column, offset: int = 1, label: str | None = None) -> Column:
@@ -171,6 +173,64 @@ def fill_units(
     )
 
 
+def _in_ranges(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """The table written in ranges of ``keys`` and read back; ``_part`` numbers the ranges in order."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, name)
+    dealt = df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in keys])
+    dealt.withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def fill_units_ranges(
+    df: DataFrame,
+    default: str = DEFAULT_ENERGY_UNIT,
+    group: Sequence[str] = ("rateName", "utilityName"),
+    order: Sequence[str] = ("eiaId", "sector", "period", "tier"),
+) -> DataFrame:
+    """``fill_units`` for input where many plans share a name (K1 skipped).
+
+    A segmented scan in two phases.  The rows are written in ranges of (name,
+    order), so that a name with very many rows lies in many ranges; each range
+    fills its own part of a name.  What a part carries in is the last unit of
+    the name's earlier parts.  Only the name that a range begins with can
+    continue from an earlier one, so at most one row a range is carried, and
+    that list is sent to all rows.  Rows that tie in ``order`` are taken by
+    unit, NULL first.
+    """
+    if "unit" not in df.columns:
+        df = df.withColumn("unit", F.lit(None).cast("string"))
+    rows = _in_ranges(df, [*group, *order, "unit"], "units-by-range")
+    in_part = (
+        Window.partitionBy("_part", *group)
+        .orderBy(*[F.col(c).asc_nulls_first() for c in (*order, "unit")])
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    # one row for each name of a range, combined before the shuffle
+    ends = rows.groupBy("_part", *group).agg(
+        F.max_by("unit", F.when(F.col("unit").isNotNull(), F.struct(*order, "unit"))).alias("_unit")
+    )
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (
+        ends.select(
+            F.col("_part").alias("_to"),
+            *[F.col(c).alias(f"_c{i}") for i, c in enumerate(group)],
+            F.last("_unit", ignorenulls=True).over(before).alias("_carried"),
+        )
+        .where(F.col("_carried").isNotNull())
+    )
+    same = F.col("_part") == F.col("_to")
+    for i, c in enumerate(group):
+        same = same & F.col(c).eqNullSafe(F.col(f"_c{i}"))
+    filled = rows.withColumn("_unit", F.last("unit", ignorenulls=True).over(in_part))
+    return (
+        filled.join(F.broadcast(carry), same, "left")
+        .withColumn("unit", F.coalesce("_unit", "_carried", F.lit(default)))
+        .select(*df.columns)
+    )
+
+
 # --- U10 ------------------------------------------------------------------
 def demand_structure(df: DataFrame, keep_empty: bool = True) -> DataFrame:
     keep = [*PLAN_KEYS_SECTOR, "demandMin", "demandMax", "demandRateUnits"]

@@ -257,6 +257,11 @@ def q_fill_units(spark, sf):
     return reshape.fill_units(raw).select(*KEYS_S, "period", "tier", "unit")
 
 
+def q_fill_units_ranges(spark, sf):
+    raw = reshape.rate_structure(plans(spark, sf), "energyRateStrux", "energyRateTiers", KEYS_S)
+    return reshape.fill_units_ranges(raw).select(*KEYS_S, "period", "tier", "unit")
+
+
 def q_demand_structure(spark, sf):
     return rounded(reshape.demand_structure(plans(spark, sf)))
 
