@@ -8,12 +8,12 @@ sort-merge join with skew splitting runs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import PEAK_DEMAND_KW
 from ..functions.columns import choose_divisor as _divisor
-from ..functions.columns import carried, distinct_count_with_null, null_safe_left_join
+from ..functions.columns import NAME_KEY, carried, distinct_count_with_null, null_safe_left_join
 from ..schema import PLAN_KEYS, PLAN_KEYS_SECTOR
 
 COMBO_KEYS = [*PLAN_KEYS_SECTOR, "period"]
@@ -50,6 +50,16 @@ def multi_unit_flags(combo: DataFrame, keys=tuple(PLAN_KEYS_SECTOR)) -> DataFram
 
 
 def with_multi_unit(combo: DataFrame, keys=tuple(PLAN_KEYS_SECTOR)) -> DataFrame:
+    """The combo with its plan's flag.
+
+    A combo dealt by name takes it from a window in the same buckets, so that
+    the combo is built once; any other from the aggregate, joined back.
+    """
+    if NAME_KEY in combo.columns:
+        plan = Window.partitionBy(*carried(combo, keys))
+        units, rows = F.count("unit").over(plan), F.count(F.lit(1)).over(plan)
+        two = F.coalesce(F.min("unit").over(plan) < F.max("unit").over(plan), F.lit(False))
+        return combo.withColumn("multi_unit", two | ((units > 0) & (units < rows)))
     return null_safe_left_join(combo, multi_unit_flags(combo, keys), list(keys))
 
 

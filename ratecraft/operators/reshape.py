@@ -74,6 +74,29 @@ def energy_schedule(df: DataFrame) -> DataFrame:
     return week_schedule(df, "energyWeekdaySched", "energyWeekendSched")
 
 
+def week_periods(
+    df: DataFrame,
+    weekday: str,
+    weekend: str,
+    keys: Sequence[str] = tuple(PLAN_KEYS_SECTOR),
+    offset: int = 1,
+) -> DataFrame:
+    """Distinct (plan, period) of ``week_schedule``, found inside the plan's row: its cells are never exploded."""
+    none = F.array().cast("array<int>")
+    values = [F.coalesce(F.flatten(m).cast("array<int>"), none) for m in (weekday, weekend)]
+    periods = df.select(*carried(df, keys), F.explode(F.array_distinct(F.concat(*values))).alias("_p"))
+    # rows of one plan key can still repeat a period
+    return periods.select(*carried(df, keys), (F.col("_p") + F.lit(offset)).cast("int").alias("period")).distinct()
+
+
+def demand_periods(df: DataFrame) -> DataFrame:
+    return week_periods(df, "demandWeekdaySched", "demandWeekendSched")
+
+
+def energy_periods(df: DataFrame) -> DataFrame:
+    return week_periods(df, "energyWeekdaySched", "energyWeekendSched")
+
+
 # --- U4 -------------------------------------------------------------------
 def flat_schedule(df: DataFrame, keys: Sequence[str] = tuple(PLAN_KEYS_SECTOR)) -> DataFrame:
     """12-vector -> (period 0-based, month = position + 1); NULL -> no rows.

@@ -3,7 +3,8 @@
 Mirrors the reference's target graph, with one deliberate re-ordering:
 the levelizers only need the *distinct* (plan, period) pairs of a
 schedule, so the tier joins run on those (at most a few rows per plan)
-instead of on the 576-row hourly schedule ("late fan-out").  The hourly
+instead of on the 576-row hourly schedule ("late fan-out"), and the
+periods are found inside the plan's row.  The hourly
 rows are joined to the per-period costs only once, at the end.  The plans
 are landed and dealt by name once, and the chain keeps that partitioning.
 """
@@ -15,9 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from ..constants import MONTHLY_USAGE_KWH, PEAK_DEMAND_KW
-from ..functions.columns import NAME_KEY, carried, name_key
+from ..functions.columns import NAME_KEY, name_key
 from ..operators import combine, quality, reshape, waterfall
-from ..schema import PLAN_KEYS_SECTOR
 from ..session import dealt_by
 
 
@@ -59,17 +59,13 @@ def structures(plans: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def _periods(sched: DataFrame) -> DataFrame:
-    return sched.select(*carried(sched, PLAN_KEYS_SECTOR), "period").distinct()
-
-
 def costs(plans: DataFrame, load: Load = Load()) -> dict[str, DataFrame]:
     plans = co_located(plans)
     sch = schedules(plans)
     st = structures(plans)
-    d_combo = combine.demand_combo(_periods(sch["demand"]), st["demand"])
+    d_combo = combine.demand_combo(reshape.demand_periods(plans), st["demand"])
     f_combo = combine.flat_combo(sch["flat"], st["flat"])
-    e_combo = combine.with_multi_unit(combine.energy_combo(_periods(sch["energy"]), st["energy"]))
+    e_combo = combine.with_multi_unit(combine.energy_combo(reshape.energy_periods(plans), st["energy"]))
     return {
         "schedules": sch,
         "demand": waterfall.levelized_demand(d_combo, load.peak_kw),
