@@ -11,10 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import PEAK_DEMAND_KW
+from ..constants import PEAK_DEMAND_KW, WEEKDAY
 from ..functions.columns import choose_divisor as _divisor
 from ..functions.columns import NAME_KEY, carried, distinct_count_with_null, null_safe_left_join
 from ..schema import PLAN_KEYS, PLAN_KEYS_SECTOR
+from .reshape import week_cells
 
 COMBO_KEYS = [*PLAN_KEYS_SECTOR, "period"]
 
@@ -149,3 +150,75 @@ def utility_rates(plans: DataFrame, demand_tot: DataFrame, energy_tot: DataFrame
     return null_safe_left_join(charged, energy, [*PLAN_KEYS, "week_part", "month", "hour"], co_located=False).select(
         *UTILITY_RATE_COLUMNS
     )
+
+
+def _per_plan(costs: DataFrame, into: str, **fields: str) -> DataFrame:
+    """A plan's costs as one array: as many entries as it has distinct periods or months."""
+    entry = F.struct(*[F.col(c).alias(f) for f, c in fields.items()])
+    return costs.groupBy(*carried(costs, PLAN_KEYS)).agg(F.collect_list(entry).alias(into))
+
+
+#: The energy side of a demand cell ``c``: an entry for each energy cost at the same
+#: place of this row's schedule, else one without a cost.  A place that no schedule of
+#: the plan keys has (``shapes``) gives one empty entry, with the first of their rows.
+ENERGY_ENTRIES = """
+CASE WHEN coalesce(size(get(get(weeks, c.part), c.month - 1)) >= c.hour, false) THEN
+  flatten(transform(array(get(get(get(weeks, c.part), c.month - 1), c.hour - 1) + 1), p ->
+    transform(array(filter(energy_costs, x -> x.period <=> p)), found ->
+      IF(size(found) = 0, array(named_struct('p', p, 'm', CAST(NULL AS BOOLEAN), 'r', CAST(NULL AS DOUBLE))),
+         transform(found, x -> named_struct('p', p, 'm', x.multi_unit, 'r', x.rate))))[0]))
+WHEN first_row AND NOT exists(shapes, s -> coalesce(get(get(s, c.part), c.month - 1) >= c.hour, false)) THEN
+  array(named_struct('p', CAST(NULL AS INT), 'm', CAST(NULL AS BOOLEAN), 'r', CAST(NULL AS DOUBLE)))
+ELSE slice(array(named_struct('p', CAST(NULL AS INT), 'm', CAST(NULL AS BOOLEAN), 'r', CAST(NULL AS DOUBLE))), 1, 0) END
+"""
+
+HOURLY_CELLS = f"""
+flatten(transform(demand_cells, d -> transform(array(named_struct(
+  'part', IF(d.week_part = '{WEEKDAY}', 0, 1), 'month', d.month, 'hour', d.hour)), c -> transform({ENERGY_ENTRIES}, e ->
+    named_struct('week_part', d.week_part, 'month', d.month, 'hour', d.hour, 'demand_period', d.period,
+      'total_demand_rate', try_divide(
+        get(filter(demand_costs, x -> x.period <=> d.period), 0).cost
+          + coalesce(get(filter(flat_costs, x -> x.month <=> d.month), 0).cost, 0D), {{peak}}D),
+      'multi_unit', e.m, 'energy_period', e.p, 'total_energy_rate', e.r)))[0]))
+"""
+
+
+def utility_rates_by_position(
+    plans: DataFrame,
+    demand_cost: DataFrame,
+    flat_cost: DataFrame,
+    energy_cost: DataFrame,
+    peak_kw: float = PEAK_DEMAND_KW,
+) -> DataFrame:
+    """J4, J5 and J6 in the plan's row: the rows of ``utility_rates``, exploded last.
+
+    The costs of a plan meet its schedules as short arrays, and the energy
+    schedule is read at each demand cell's position, so the joins are at plan
+    grain.  On plans dealt by name they need no shuffle.  Plan rows with equal
+    keys meet as the joins would have them: demand rows x fixed charges x energy rows.
+    """
+    keys = carried(plans, PLAN_KEYS)
+    demand = plans.select(*keys, week_cells("demandWeekdaySched", "demandWeekendSched").alias("demand_cells"))
+    fixed = plans.select(*keys, F.coalesce("fixedChargeFirstMeter", F.lit(0.0)).alias("fixedChargeFirstMeter"))
+    # a matrix with a NULL row has no cells, as in the exploded schedule
+    whole = [F.when(~F.exists(c, lambda r: r.isNull()), F.col(c)) for c in ("energyWeekdaySched", "energyWeekendSched")]
+    weeks = plans.select(*keys, F.array(*whole).alias("weeks"))
+    shape = F.transform("weeks", lambda m: F.transform(m, lambda r: F.size(r)))
+    plan = Window.partitionBy(*keys)
+    energy = weeks.withColumns(
+        {
+            "shapes": F.collect_set(shape).over(plan),
+            "first_row": F.row_number().over(plan.orderBy(F.lit(1))) == 1,
+        }
+    )
+    out = null_safe_left_join(demand, _per_plan(demand_cost, "demand_costs", period="period", cost="total_demand_cost"), PLAN_KEYS)
+    out = null_safe_left_join(out, _per_plan(flat_cost, "flat_costs", month="month", cost="total_flat_demand_cost"), PLAN_KEYS)
+    out = null_safe_left_join(out, fixed, PLAN_KEYS)
+    per_energy = _per_plan(energy_cost, "energy_costs", period="period", multi_unit="multi_unit", rate="levelized_rate")
+    energy = null_safe_left_join(energy, per_energy, PLAN_KEYS)
+    none = F.expr("slice(array(named_struct('period', 0, 'multi_unit', false, 'rate', 0D)), 1, 0)")
+    out = null_safe_left_join(out, energy.withColumn("energy_costs", F.coalesce("energy_costs", none)), PLAN_KEYS)
+    cells = F.expr(HOURLY_CELLS.format(peak=float(peak_kw)))
+    # inline_outer: no filter on the size of the cells is inferred, which would compute them twice
+    hourly = out.select(*PLAN_KEYS, "fixedChargeFirstMeter", F.inline_outer(cells)).where(F.col("month").isNotNull())
+    return hourly.select(*UTILITY_RATE_COLUMNS)

@@ -56,14 +56,18 @@ def week_schedule(
     offset: int = 1,
 ) -> DataFrame:
     """Both week parts unpivoted into ``week_part`` and exploded in one generator."""
+    return df.select(*carried(df, keys), F.inline(week_cells(weekday, weekend, offset)))
+
+
+def week_cells(weekday: str, weekend: str, offset: int = 1) -> Column:
+    """The cells of both week parts in one array; a NULL matrix has none."""
     empty = F.array().cast("array<struct<week_part:string,month:int,hour:int,period:int>>")
-    cells = F.flatten(
+    return F.flatten(
         F.array(
             F.coalesce(matrix_cells(weekday, offset, WEEKDAY), empty),
             F.coalesce(matrix_cells(weekend, offset, WEEKEND), empty),
         )
     )
-    return df.select(*carried(df, keys), F.inline(cells))
 
 
 def demand_schedule(df: DataFrame) -> DataFrame:

@@ -376,6 +376,10 @@ def q_utility_rates_stepwise(spark, sf):
     return rounded(relational.utility_rates(plans(spark, sf)))
 
 
+def q_utility_rates_joined(spark, sf):
+    return rounded(relational.utility_rates_joined(plans(spark, sf)))
+
+
 # --- filters, counts, funnel ----------------------------------------------------
 def q_drop_irrelevant(spark, sf):
     return rounded(quality.drop_irrelevant(rates(spark, sf)))

@@ -4,8 +4,8 @@ Mirrors the reference's target graph, with one deliberate re-ordering:
 the levelizers only need the *distinct* (plan, period) pairs of a
 schedule, so the tier joins run on those (at most a few rows per plan)
 instead of on the 576-row hourly schedule ("late fan-out"), and the
-periods are found inside the plan's row.  The hourly
-rows are joined to the per-period costs only once, at the end.  The plans
+periods are found inside the plan's row.  The per-period costs meet the
+schedules by position in that row, and the hours are exploded last.  The plans
 are landed and dealt by name once, and the chain keeps that partitioning.
 """
 
@@ -34,8 +34,8 @@ def co_located(plans: DataFrame) -> DataFrame:
     """The plans landed once, in buckets of the plan name.
 
     Every table of the chain comes from this one and carries the name key, so
-    its windows, aggregates and joins keep the partitioning; only the hourly
-    compile (J6) shuffles again.  After K1 a name is one plan, so no task
+    its windows, aggregates and joins keep the partitioning, the hourly compile
+    by position (J6) too.  After K1 a name is one plan, so no task
     gets more than its share.
     """
     if NAME_KEY in plans.columns:
@@ -75,6 +75,14 @@ def costs(plans: DataFrame, load: Load = Load()) -> dict[str, DataFrame]:
 
 
 def utility_rates(plans: DataFrame, load: Load = Load()) -> DataFrame:
+    """The hourly table compiled at plan grain, without a shuffle once the plans are dealt."""
+    plans = co_located(plans)
+    c = costs(plans, load)
+    return combine.utility_rates_by_position(plans, c["demand"], c["flat"], c["energy"], load.peak_kw)
+
+
+def utility_rates_joined(plans: DataFrame, load: Load = Load()) -> DataFrame:
+    """The same rows by the reference's joins, hour by hour."""
     plans = co_located(plans)
     c = costs(plans, load)
     d_total = combine.demand_total(c["schedules"]["demand"], c["demand"], c["flat"], load.peak_kw)

@@ -62,7 +62,7 @@ def test_results_do_not_depend_on_session_settings(spark):
 
 
 def test_relational_chain_shuffles_twice_after_landing(spark):
-    """The plans are landed and dealt by name; only the hourly compile (J6) shuffles again."""
+    """The plans are landed and dealt by name; only the hourly joins (J6) shuffle again, and by position nothing does."""
     from ratecraft.plans import relational
 
     plans = relational.co_located(end_to_end.clean_table_plans(spark, SF))
@@ -72,7 +72,9 @@ def test_relational_chain_shuffles_twice_after_landing(spark):
         costs = relational.costs(plans)
         for name in ("demand", "flat", "energy"):
             assert _physical(costs[name]).count("Exchange hashpartitioning") <= 2, name
-        assert _physical(relational.utility_rates(plans)).count("Exchange hashpartitioning") <= 10
+        assert _physical(relational.utility_rates_joined(plans)).count("Exchange hashpartitioning") <= 10
+        text = _physical(relational.utility_rates(plans))
+        assert "Exchange" not in text and text.count("Generate inline") <= 4
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
