@@ -346,6 +346,7 @@ FROM published
 #: The same records by way of array documents.
 ORACLE["ingest_arrays"] = ORACLE["scan_plans"]
 #: The same tables by other ways.
+ORACLE["rates_layout"] = ORACLE["published_rates"]
 ORACLE["utility_rates_joined"] = ORACLE["utility_rates_stepwise"]
 ORACLE["fill_units_ranges"] = ORACLE["fill_units"]
 ORACLE["validation_slots"] = ORACLE["validation_report"]

@@ -1,0 +1,78 @@
+"""The hourly table laid out by plan: pruned reads, and updates of the changed parts alone."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from ratecraft.plans import layout, nested
+
+CELL = "week_part string, month int, hour int, demand_period int, total_demand_rate double, multi_unit boolean, energy_period int, total_energy_rate double"
+SCHEMA = "eiaId long, rateName string, utilityName string, fixedChargeFirstMeter double, cells array<struct<{}>>".format(
+    CELL.replace(" string", ":string").replace(" int", ":int").replace(" double", ":double").replace(" boolean", ":boolean")
+)
+
+
+def rows_of(spark, plans):
+    cells = lambda v: [(w, m, 1, 1, v, False, 1, None if m == 2 else v) for w in ("Weekday", "Weekend") for m in (1, 2)]
+    return spark.createDataFrame([(*p[:4], cells(p[4])) for p in plans], SCHEMA)
+
+
+def files(path):
+    return {os.path.join(d, f) for d, _, fs in os.walk(f"{path}/rates") for f in fs if f.endswith(".parquet")}
+
+
+def same(a, b):
+    return a.exceptAll(b.select(a.columns)).count() == 0 and b.select(a.columns).exceptAll(a).count() == 0
+
+
+PLANS = [(k, f"p{k}", "u" if k % 3 else None, 1.0, float(k)) for k in range(12)] + [(None, None, None, 2.0, 0.5)]
+
+
+def test_updates_write_the_changed_parts_alone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with pytest.raises(FileNotFoundError):
+        layout.read_rates(spark, path)
+    layout.update_rates(rows_of(spark, PLANS), path, parts=8)
+    first = files(path)
+    assert layout.update_rates(rows_of(spark, list(reversed(PLANS))), path, parts=8) == [] and files(path) == first
+    # a changed cell, a removed plan and a copy of a plan
+    later = [(*p[:4], 99.0) if p[0] == 4 else p for p in PLANS if p[0] != 7] + [PLANS[0]]
+    touched = rows_of(spark, [p for p in PLANS if p[0] in (4, 7, 0)]).select(layout.plan_part(8).alias("p")).distinct()
+    parts = sorted(r["p"] for r in touched.collect())
+    assert layout.update_rates(rows_of(spark, later), path, parts=8) == parts
+    assert same(layout.read_rates(spark, path), nested.explode_cells(rows_of(spark, later)))
+    in_part = lambda f: int(f.split("plan_part=")[1].split("/")[0])
+    assert {f for f in first if in_part(f) not in parts} <= files(path)
+    assert not {f for f in first if in_part(f) in parts} & files(path)
+    # one plan is left, then none: parts without plans go
+    layout.update_rates(rows_of(spark, PLANS[:1]), path, parts=8)
+    assert same(layout.read_rates(spark, path), nested.explode_cells(rows_of(spark, PLANS[:1])))
+    layout.update_rates(rows_of(spark, []), path, parts=8)
+    assert layout.read_rates(spark, path).count() == 0 and not files(path)
+
+
+def test_full_write_after_an_unfinished_run_or_with_other_parts(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = rows_of(spark, PLANS)
+    layout.update_rates(rows, path, parts=4)
+    layout._delete(spark, f"{path}/plans")  # as a run leaves it that dies while it replaces hourly rows
+    first = files(path)
+    layout.update_rates(rows, path, parts=4)
+    assert not first & files(path)
+    layout.update_rates(rows, path, parts=3)
+    assert same(layout.read_rates(spark, path), nested.explode_cells(rows))
+
+
+def test_a_plan_is_read_from_its_part(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = rows_of(spark, PLANS)
+    layout.update_rates(rows, path, parts=8)
+    for utility, name in (("u", "p4"), (None, "p3"), (None, None)):
+        got = layout.read_plan(spark, path, utility, name)
+        assert same(got, nested.explode_cells(rows).where(F.col("rateName").eqNullSafe(F.lit(name).cast("string")))) and got.count() == 4
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "plan_part" in plan.split("PartitionFilters:")[1].split("]")[0] and "rateName" in plan.split("PushedFilters:")[1]
+        assert {f.split("plan_part=")[1].split("/")[0] for f in got.inputFiles()} >= {
+            str(r["p"]) for r in rows.where(F.col("rateName").eqNullSafe(F.lit(name).cast("string"))).select(layout.plan_part(8).alias("p")).collect()
+        }
