@@ -276,17 +276,57 @@ def default_structures(df: DataFrame, fill: int = LEGACY_SCHEDULE_FILL) -> DataF
 
 
 # --- P17 ------------------------------------------------------------------
-def current_plans(flat: DataFrame, sector: str = DEFAULT_SECTOR) -> DataFrame:
+def current_plans(
+    flat: DataFrame, sector: str = DEFAULT_SECTOR, tie_break: Sequence[Column] | None = None
+) -> DataFrame:
     """P1, P2, K1, P3 and K2 on the narrow columns of the records.
 
     The winners of K1 are written to the shared folder (a few hundred bytes
     a plan), so the group maximum of K2 and the plans themselves come from
     one K1 pass.
     """
-    winners = cut_lineage(flat.transform(sector_filter, sector=sector).transform(parse_dates).transform(latest_revision))
+    dated = flat.transform(sector_filter, sector=sector).transform(parse_dates)
+    winners = cut_lineage(latest_revision(dated, tie_break=tie_break))
     return with_date_parts(winners.drop("revisions")).transform(plans_in_effect)
 
 
+def _nested_and_flat(df: DataFrame) -> tuple[list[str], list[str]]:
+    nested = [
+        f.name for f in df.schema.fields if f.dataType.typeName() in ("array", "map", "struct") and f.name != "revisions"
+    ]
+    return nested, [c for c in df.columns if c not in nested]
+
+
+def _with_nested(plans: DataFrame, records: DataFrame, sector: str) -> DataFrame:
+    """The plans with the nested columns of their records, met by the label and the hash
+    of the flat columns; of equal records the one with the smallest hash of its nested columns."""
+    nested, flat = _nested_and_flat(records)
+    rows = records.transform(sector_filter, sector=sector).select(
+        F.col("label").alias("_label"), F.xxhash64(*flat).alias("_rec"), *nested
+    )
+    same = plans["label"].eqNullSafe(rows["_label"]) & (plans["_record"] == rows["_rec"])
+    w = Window.partitionBy("_record", "label").orderBy(F.xxhash64(*nested))
+    return plans.join(rows, same).withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
+
+
+def whole_plans_in_effect(
+    df: DataFrame, records_of: Callable[[DataFrame], DataFrame], sector: str = DEFAULT_SECTOR
+) -> DataFrame:
+    """P1, P2, K1, P3 and K2 with every column of the plans, as the chain of these
+    operators gives it on whole records.
+
+    K1 and K2 run on the flat columns, which decide alone; ``records_of`` builds
+    the whole records (any number a label) of given plans by their ``label``.
+    So no nested column of a record that goes is shuffled or sorted.
+    """
+    _, flat = _nested_and_flat(df)
+    scalar = [c for c in flat if c != "revisions"]
+    # the order of K1 on whole records, where there is no ``_record``
+    ties = [F.col("label").asc_nulls_last(), F.xxhash64(*scalar).asc()]
+    plans = current_plans(df.select(*flat, F.xxhash64(*flat).alias("_record")), sector, ties)
+    return _with_nested(plans, records_of(plans), sector).select(*CLEAN_COLUMNS)
+
+
 def clean_plans(
     df: DataFrame,
     sector: str = DEFAULT_SECTOR,
@@ -304,19 +344,12 @@ def clean_plans(
     hash of the flat columns, and of records equal in all of these the one
     with the smallest hash of its nested columns stays.
     """
-    nested = [
-        f.name for f in df.schema.fields if f.dataType.typeName() in ("array", "map", "struct") and f.name != "revisions"
-    ]
-    flat_names = [c for c in df.columns if c not in nested]
-    record = F.xxhash64(*flat_names)
-    plans = current_plans(df.select(*flat_names, record.alias("_record")), sector)
+    nested, flat = _nested_and_flat(df)
+    plans = current_plans(df.select(*flat, F.xxhash64(*flat).alias("_record")), sector)
     if payload is not None:
         full = plans.join(payload(plans).select("label", *nested), "label")
     else:
-        rows = df.transform(sector_filter, sector=sector).select(F.col("label").alias("_label"), record.alias("_rec"), *nested)
-        same = plans["label"].eqNullSafe(rows["_label"]) & (plans["_record"] == rows["_rec"])
-        w = Window.partitionBy("_record", "label").orderBy(F.xxhash64(*nested))
-        full = plans.join(rows, same).withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
+        full = _with_nested(plans, df, sector)
     return (
         full.select(*CLEAN_COLUMNS)
         .transform(fill_bounds)
