@@ -23,6 +23,12 @@ def land_plans(records: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+def write_plans_json(records: DataFrame, path: str, records_per_file: int = 20000) -> str:
+    """The records as JSON lines, compressed; a compressed file is one task's, so its records are bounded."""
+    records.write.option("compression", "gzip").option("maxRecordsPerFile", records_per_file).json(path)
+    return path
+
+
 # --- S2 / S3 --------------------------------------------------------------
 def write_rates_parquet(rates: DataFrame, path: str, mode: str = "overwrite") -> str:
     rates.write.mode(mode).parquet(path)
