@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import clean
 from ..sources import tpch
-from ..session import cut_lineage
+from ..session import landed
 from . import nested, relational
 from .relational import Load
 
@@ -48,7 +48,7 @@ def any_published_rates(plans: DataFrame, load: Load = Load(), drop_negative: bo
     """
     if nested.names_are_unique(plans):
         return published_rates(plans, load, drop_negative)
-    return relational.published(cut_lineage(relational.utility_rates(plans, load)), drop_negative)
+    return relational.published(landed(relational.utility_rates(plans, load)), drop_negative)
 
 
 def rate_json_rows(plans: DataFrame, load: Load = Load(), drop_negative: bool = False) -> DataFrame:
@@ -79,7 +79,7 @@ def run_job(records: DataFrame, out_dir: str, load: Load = Load(), enforce: bool
     plans = spark.read.parquet(paths["plans"])
     if not nested.names_are_unique(plans):
         raise ValueError("several plans share a name after K1: revision selection was skipped")
-    published = cut_lineage(nested.kept_plans(published_cells(plans, load, drop_negative=False)))
+    published = landed(nested.kept_plans(published_cells(plans, load, drop_negative=False)))
     publish.write_rates_parquet(nested.explode_cells(published), paths["rates"])
     publish.write_rates_json(nested.rate_matrices(published), paths["json"])
     validated = published.where(

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import NAME_KEYS, PLAN_KEYS
-from ..session import cut_lineage
+from ..session import cut_lineage, landed
 from . import nested
 
 PARTS = 64
@@ -76,7 +76,7 @@ def update_rates(plan_cells: DataFrame, path: str, parts: int = PARTS) -> list[i
     """
     spark = plan_cells.sparkSession
     rates, plans = f"{path}/rates", f"{path}/plans"
-    rows = cut_lineage(plan_cells.withColumn("plan_part", plan_part(parts)))
+    rows = landed(plan_cells.withColumn("plan_part", plan_part(parts)))
     new = cut_lineage(fingerprints(rows, parts))
     stored = spark.read.schema(FINGERPRINTS).parquet(plans) if _finished(spark, plans) else None
     other = stored is None or stored.where(F.col("parts") != parts).first() is not None

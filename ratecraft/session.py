@@ -122,3 +122,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def landed(df: DataFrame) -> DataFrame:
+    """The table written once as Parquet to the shared folder and read back; ``release_scratch`` deletes it.
+
+    For hourly rows and plan rows with their hours: stored by column and
+    compressed they take some hundredths of a checkpoint, which holds plain
+    rows and computes them twice.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "landed")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
