@@ -149,8 +149,8 @@ def plan_records(spark: SparkSession, sf_dir: str, only: DataFrame | None = None
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     if only is not None:
-        # the label of a NULL order key is no number
-        wanted = only.select(F.col("label").try_cast("long").alias("_wanted"))
+        # the label of a NULL order key is no number; merged for the same reason as the customers below
+        wanted = only.select(F.col("label").try_cast("long").alias("_wanted")).hint("merge")
         orders = orders.join(wanted, F.col("o_orderkey").eqNullSafe(F.col("_wanted")), "left_semi")
         lineitem = lineitem.join(wanted, F.col("l_orderkey") == F.col("_wanted"), "left_semi")
 
