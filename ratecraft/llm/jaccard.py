@@ -10,8 +10,8 @@ is at least the threshold.  The join is exact.
 2. Sketches meet in tiles: classes that share one of those hashes and, where
    a hash is frequent, lie in the same or neighbouring size bands.  A band that
    exceeds a block is dealt to blocks of bounded size, which meet in pairs.  With
-   ``pairs_later`` each block meets itself first, and pairs of blocks are opened
-   once these are settled, only between classes of different components.  Inside a tile, the number of bits in
+   ``pairs_later`` bands of nearly the same classes are made one, each block meets itself
+   first, and pairs of blocks are opened once these are settled, only between classes of different components.  Inside a tile, the number of bits in
    which two bitmaps differ is at most the size of the symmetric difference, which
    bounds the overlap from above; pairs over the bound are dropped.
 3. The rest is checked exactly: the sorted hash arrays of both sets are
@@ -205,6 +205,8 @@ def tiles(cls: DataFrame, cfg: Join = Join()) -> tuple[DataFrame, DataFrame]:
     many = met.filter(F.col("n") > cfg.block).withColumn("own", band).select(
         "hash", "cid", F.explode(F.array(F.struct(F.col("own").alias("band"), F.lit(True).alias("home")), F.struct((F.col("own") + 1).alias("band"), F.lit(False).alias("home")))).alias("b")
     ).select("hash", "cid", "b.band", "b.home")
+    if cfg.pairs_later:
+        many = alike(many)
     sizes = many.groupBy("hash", "band").agg(F.ceil(F.count(F.lit(1)) / F.lit(cfg.block)).cast("int").alias("k"), F.max("home").alias("any_home"))
     dealt = stored(many.join(sizes.filter("any_home"), ["hash", "band"]).select("hash", "band", "cid", "home", "k"), "large-bands")
     block = F.pmod(F.xxhash64("cid"), F.col("k")).cast("int")
@@ -218,6 +220,22 @@ def tiles(cls: DataFrame, cfg: Join = Join()) -> tuple[DataFrame, DataFrame]:
     return _with_bits(few.unionByName(own), cls), dealt.filter("k > 1").drop("k")
 
 
+def alike(many: DataFrame) -> DataFrame:
+    """The large bands' rows (hash, cid, band, home) with bands of nearly the same classes made one, under their least hash.
+
+    The hashes of a passage that many texts share have nearly the same classes each.
+    Bands of one size range become one if they agree in the least of three hashes of
+    their classes, as those do that have nearly all in common.  A pair of classes
+    that shares a band shares the band made of it, so none is lost; a band without a class at home goes.
+    """
+    many = stored(many, "frequent")
+    least = [F.min(F.xxhash64("cid", F.lit(k))).alias(f"m{k}") for k in (1, 2, 3)]
+    bands = many.groupBy("hash", "band").agg(F.max("home").alias("any_home"), *least).filter("any_home")
+    lead = F.min("hash").over(Window.partitionBy("band", "m1", "m2", "m3")).alias("lead")
+    named = stored(bands.select("hash", "band", lead), "alike-bands")
+    return many.join(named, ["hash", "band"]).select(F.col("lead").alias("hash"), "cid", "band", "home").distinct()
+
+
 def _with_bits(placed: DataFrame, cls: DataFrame) -> DataFrame:
     return placed.join(cls.select("cid", "n_shingles", "bits"), "cid")
 
@@ -225,12 +243,13 @@ def _with_bits(placed: DataFrame, cls: DataFrame) -> DataFrame:
 def block_pairs(large: DataFrame, cls: DataFrame, roots: DataFrame, cfg: Join) -> DataFrame:
     """Tiles in which the classes of a large band meet those of other components (``roots``: u, root).
 
-    Components of more than half a block are split into blocks of their own, the
-    other classes share blocks.  A tile is a pair of blocks, or a shared block
-    by itself; two blocks of one component don't meet.  So a band that is one
-    component has no tile, and one of a large component and a few other classes
-    has about as many rows as classes.  In a band without such a component the
-    blocks are those that have met themselves already.
+    The classes of components of at most half a block share blocks, which meet in
+    pairs within the band; in a band without a larger component these blocks are those that
+    have met themselves already.  A larger component meets the classes of all its
+    bands at once, in tiles of its own (hash: its root, band -2), not band by band:
+    near copies share most of their frequent hashes.  So a band that is one component
+    has no tile, and a large component and a few other classes give about as many
+    rows as classes, however many hashes they share.
     """
     known = roots.select(F.col("u").alias("cid"), "root")
     placed = large.join(known, "cid", "left").withColumn("of", F.coalesce("root", "cid")).drop("root")
@@ -239,29 +258,29 @@ def block_pairs(large: DataFrame, cls: DataFrame, roots: DataFrame, cfg: Join) -
         F.count(F.lit(1)).alias("components"), F.max("alone").alias("mixed"),
         F.ceil(F.sum(F.when(~F.col("alone"), F.col("n")).otherwise(0)) / F.lit(cfg.block)).alias("shared"),
     ).filter("components > 1")
-    parts = stored(parts.filter("alone").select("hash", "band", "of", F.ceil(F.col("n") / F.lit(cfg.block)).alias("split")), "large-components")
-    several = stored(several, "open-bands")
-    # a block is (-1, number) if shared, else (its component, number); -1 is no number of a class
-    count = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)).alias("nth")
-    shared = several.filter("shared > 0").select("hash", "band", "mixed", F.lit(-1).cast("long").alias("owner"), count("shared"))
-    own = parts.join(several, ["hash", "band"]).select("hash", "band", "mixed", F.col("of").alias("owner"), count("split"))
-    number = F.row_number().over(Window.partitionBy("hash", "band").orderBy("owner", "nth"))
-    blocks = stored(shared.unionByName(own).withColumn("block", number), "blocks")
-    dealt = placed.join(several.select("hash", "band", "shared"), ["hash", "band"]).join(parts, ["hash", "band", "of"], "left")
-    dealt = dealt.select(
-        "hash", "band", "cid", "home", F.when(F.col("split").isNull(), -1).otherwise(F.col("of")).alias("owner"),
-        F.pmod(F.xxhash64("cid"), F.coalesce("split", "shared")).alias("nth"),
-    ).join(blocks, ["hash", "band", "owner", "nth"])
-    other = blocks.select("hash", "band", F.col("owner").alias("whose"), F.col("block").alias("met"))
-    apart = (F.col("owner") != F.col("whose")) | ((F.col("owner") == -1) & (F.col("mixed") | (F.col("block") != F.col("met"))))
-    tiled = dealt.join(other, ["hash", "band"]).filter(apart)
-    return _with_bits(
-        tiled.select(
-            "hash", "band", F.least("block", "met").alias("bi"), F.greatest("block", "met").alias("bj"), "cid", "home",
-            (F.col("block") <= F.col("met")).alias("left"),
-        ),
-        cls,
+    parts = stored(parts.join(several, ["hash", "band"]).select("hash", "band", "of", "alone", "mixed", "shared"), "open-components")
+    rows = stored(placed.join(parts, ["hash", "band", "of"]), "open-classes")
+    blocks = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    x = F.pmod(F.xxhash64("cid"), F.col("shared"))
+    y = F.explode(F.filter(blocks("shared"), lambda y: F.col("mixed") | (y != F.col("x"))))
+    shared = rows.filter("not alone").withColumn("x", x).withColumn("y", y).select(
+        "hash", "band", F.least("x", "y").cast("int").alias("bi"), F.greatest("x", "y").cast("int").alias("bj"), "cid", "home",
+        (F.col("x") <= F.col("y")).alias("left"),
+    )
+    hosts = parts.filter("alone").select("hash", "band", F.col("of").alias("owner"))
+    # two larger components of a band meet at the one of the smaller number
+    meets = (F.col("of") != F.col("owner")) & (~F.col("alone") | (F.col("of") > F.col("owner")))
+    side = lambda df, of, left: df.select(F.col(of).alias("owner"), "cid", F.lit(left).alias("left")).distinct()
+    both = stored(side(rows.filter("alone"), "of", True).unionByName(side(rows.join(hosts, ["hash", "band"]).filter(meets), "owner", False)), "large-components")
+    number = lambda left: F.ceil(F.count(F.when(F.col("left") == F.lit(left), 1)) / F.lit(cfg.block))
+    split = stored(both.groupBy("owner").agg(number(True).alias("own"), number(False).alias("others")).filter("others > 0"), "large-split")
+    nth = F.pmod(F.xxhash64("cid"), F.when(F.col("left"), F.col("own")).otherwise(F.col("others")))
+    met = both.join(split, "owner").withColumn("nth", nth).withColumn("met", F.explode(F.when(F.col("left"), blocks("others")).otherwise(blocks("own"))))
+    by_owner = met.select(
+        F.col("owner").alias("hash"), F.lit(-2).alias("band"), F.when(F.col("left"), F.col("nth")).otherwise(F.col("met")).cast("int").alias("bi"),
+        (F.col("own") + F.when(F.col("left"), F.col("met")).otherwise(F.col("nth"))).cast("int").alias("bj"), "cid", F.lit(True).alias("home"), "left",
     )
+    return _with_bits(shared.unionByName(by_owner), cls)
 
 
 def _bit_rows(bits: list[bytes]) -> np.ndarray:

@@ -149,6 +149,41 @@ def test_frequent_hash_is_visited_in_rows_of_its_size(spark):
     assert jaccard.block_pairs(large, cls, none, cfg).select(*jaccard.TILE).distinct().count() == k * (k - 1) // 2
 
 
+def classes_on_many_hashes(spark, n, hashes):
+    """Classes of one size, all on all hashes but one each."""
+    rows = [(k, 100, np.array([h for h in range(hashes) if h != k % (hashes + 9)], np.int64).tobytes(), np.random.default_rng(k).bytes(16)) for k in range(n)]
+    return spark.createDataFrame([(c, s, bytearray(p), bytearray(b)) for c, s, p, b in rows], "cid long, n_shingles long, prefix binary, bits binary").repartition(4)
+
+
+def test_bands_of_nearly_the_same_classes_are_one(spark):
+    n, hashes = 900, 30
+    cls, cfg = classes_on_many_hashes(spark, n, hashes), jaccard.Join(block=64, pairs_later=True)
+    first, large = jaccard.tiles(cls, cfg)
+    # 26,900 rows band by band
+    assert first.count() == large.filter("home").count() < n * hashes / 2
+    none = spark.createDataFrame([], "u long, root long")
+    met = set()
+    for opened in (first, jaccard.block_pairs(large, cls, none, cfg)):
+        tile: dict[tuple, tuple[list, list]] = {}
+        for r in opened.select(*jaccard.TILE, "cid", "left").collect():
+            tile.setdefault(tuple(r[:4]), ([], []))[0 if r["left"] else 1].append(r["cid"])
+        for (_, _, bi, bj), (left, right) in tile.items():
+            met |= {frozenset((a, b)) for a in left for b in (left if bi == bj else right)}
+    # every two classes share a hash
+    assert len({m for m in met if len(m) == 2}) == n * (n - 1) // 2
+
+
+def test_large_component_meets_others_once_for_all_hashes(spark):
+    n, hashes = 900, 30
+    cls, cfg = classes_on_many_hashes(spark, n, hashes), jaccard.Join(block=64, pairs_later=True)
+    rows = cls.select("cid", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(hashes - 1).cast("long"))).alias("hash"))
+    large = rows.filter(f"hash <> cid % {hashes + 9}").select("hash", F.lit(3).alias("band"), "cid", F.lit(True).alias("home"))
+    most = spark.range(1, 880).selectExpr("id AS u", "0L AS root")
+    opened = jaccard.block_pairs(large, cls, most, cfg).collect()
+    assert len({r["cid"] for r in opened}) == n and len([r for r in opened if r["cid"] < 880]) == 880
+    assert {r["cid"] for r in opened if r["band"] == -2 and not r["left"]} == set(range(880, n))
+
+
 def test_forest():
     rng = np.random.default_rng(2)
     a, b = rng.integers(0, 80, 300), rng.integers(0, 80, 300)
