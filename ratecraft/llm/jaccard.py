@@ -202,11 +202,8 @@ def tiles(cls: DataFrame, cfg: Join = Join()) -> tuple[DataFrame, DataFrame]:
     )
     bands = F.array(*[F.lit(int(e)) for e in band_edges(cfg.percent)])
     band = F.size(F.filter(bands, lambda e: e <= F.col("size")))
-    many = met.filter(F.col("n") > cfg.block).withColumn("own", band).select(
-        "hash", "cid", F.explode(F.array(F.struct(F.col("own").alias("band"), F.lit(True).alias("home")), F.struct((F.col("own") + 1).alias("band"), F.lit(False).alias("home")))).alias("b")
-    ).select("hash", "cid", "b.band", "b.home")
-    if cfg.pairs_later:
-        many = alike(many)
+    own = met.filter(F.col("n") > cfg.block).select("hash", "cid", band.alias("own"))
+    many = alike(own) if cfg.pairs_later else _homes_and_visits(own, "hash", "hash", "cid")
     sizes = many.groupBy("hash", "band").agg(F.ceil(F.count(F.lit(1)) / F.lit(cfg.block)).cast("int").alias("k"), F.max("home").alias("any_home"))
     dealt = stored(many.join(sizes.filter("any_home"), ["hash", "band"]).select("hash", "band", "cid", "home", "k"), "large-bands")
     block = F.pmod(F.xxhash64("cid"), F.col("k")).cast("int")
@@ -220,20 +217,36 @@ def tiles(cls: DataFrame, cfg: Join = Join()) -> tuple[DataFrame, DataFrame]:
     return _with_bits(few.unionByName(own), cls), dealt.filter("k > 1").drop("k")
 
 
-def alike(many: DataFrame) -> DataFrame:
-    """The large bands' rows (hash, cid, band, home) with bands of nearly the same classes made one, under their least hash.
+def _homes_and_visits(own: DataFrame, lead: str, visited: str, *keep: str) -> DataFrame:
+    """Each row of a band ``own`` at home there, under the hash ``lead``, and as a visitor in the next band, under ``visited`` (NULL: nowhere)."""
+    at = lambda hash, band, home: F.struct(F.col(hash).alias("hash"), band.alias("band"), F.lit(home).alias("home"))
+    both = F.array(at(lead, F.col("own"), True), at(visited, F.col("own") + 1, False))
+    return own.select(*keep, F.explode(both).alias("b")).select("b.hash", *keep, "b.band", "b.home").filter("hash is not null")
+
+
+def alike(own: DataFrame) -> DataFrame:
+    """The large bands' rows (hash, cid, band, home), of classes (hash, cid, own) in their size bands, with bands
+    of nearly the same classes made one, under their least hash.
 
     The hashes of a passage that many texts share have nearly the same classes each.
-    Bands of one size range become one if they agree in the least of three hashes of
+    Bands of one size range become one if they agree in two of the three least hashes of
     their classes, as those do that have nearly all in common.  A pair of classes
     that shares a band shares the band made of it, so none is lost; a band without a class at home goes.
+    A class finds both its bands by one join, so it is shuffled once a hash.
     """
-    many = stored(many, "frequent")
+    own = stored(own, "frequent")
     least = [F.min(F.xxhash64("cid", F.lit(k))).alias(f"m{k}") for k in (1, 2, 3)]
-    bands = many.groupBy("hash", "band").agg(F.max("home").alias("any_home"), *least).filter("any_home")
-    lead = F.min("hash").over(Window.partitionBy("band", "m1", "m2", "m3")).alias("lead")
-    named = stored(bands.select("hash", "band", lead), "alike-bands")
-    return many.join(named, ["hash", "band"]).select(F.col("lead").alias("hash"), "cid", "band", "home").distinct()
+    bands = _homes_and_visits(own.groupBy("hash", "own").agg(*least), "hash", "hash", "m1", "m2", "m3")
+    bands = bands.groupBy("hash", "band").agg(F.max("home").alias("any_home"), *[F.min(m).alias(m) for m in ("m1", "m2", "m3")])
+    bands = bands.filter("any_home").withColumn("lead", F.col("hash"))
+    for two in (("m1", "m2"), ("m1", "m3"), ("m2", "m3")):
+        # the bands made one so far stay together
+        bands = bands.withColumn("least", F.min("lead").over(Window.partitionBy("band", *two)))
+        bands = bands.withColumn("lead", F.min("least").over(Window.partitionBy("band", "lead")))
+    named = stored(bands.select("hash", "band", "lead"), "alike-bands")
+    visited = named.select("hash", (F.col("band") - 1).alias("own"), F.col("lead").alias("visited"))
+    named = named.withColumnRenamed("band", "own").join(visited, ["hash", "own"], "left")
+    return _homes_and_visits(own.join(named, ["hash", "own"]), "lead", "visited", "cid").distinct()
 
 
 def _with_bits(placed: DataFrame, cls: DataFrame) -> DataFrame:

@@ -173,6 +173,17 @@ def test_bands_of_nearly_the_same_classes_are_one(spark):
     assert len({m for m in met if len(m) == 2}) == n * (n - 1) // 2
 
 
+def test_bands_that_share_most_classes_are_one(spark):
+    n, hashes = 600, 30
+    on = np.random.default_rng(5).random((n, hashes)) < 0.85
+    rows = [(k, 100, np.flatnonzero(on[k]).astype(np.int64).tobytes(), np.random.default_rng(k).bytes(16)) for k in range(n)]
+    cls = spark.createDataFrame([(c, s, bytearray(p), bytearray(b)) for c, s, p, b in rows], "cid long, n_shingles long, prefix binary, bits binary")
+    first, large = jaccard.tiles(cls, jaccard.Join(block=64, pairs_later=True))
+    # every class stays, in few bands: 15,300 rows band by band
+    assert first.count() == large.filter("home").count() < 3 * n
+    assert large.select("cid").distinct().count() == n and large.filter("not home").count() == 0
+
+
 def test_large_component_meets_others_once_for_all_hashes(spark):
     n, hashes = 900, 30
     cls, cfg = classes_on_many_hashes(spark, n, hashes), jaccard.Join(block=64, pairs_later=True)
