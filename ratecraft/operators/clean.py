@@ -332,6 +332,7 @@ def clean_plans(
     df: DataFrame,
     sector: str = DEFAULT_SECTOR,
     payload: Callable[[DataFrame], DataFrame] | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Sector filter, dates, newest revision, date parts, plans in effect,
     bounds, fixed charges, daily->monthly, empty->NULL, default schedules.
@@ -341,7 +342,9 @@ def clean_plans(
     nested payload is fetched afterwards, for the plans that stay.  A source
     that can build it for given records passes ``payload``: from the plans
     (``label`` is their record id) to rows of ``label`` and nested columns,
-    one per label.  Otherwise it is joined from ``df`` by the label and a
+    one per label.  Nested columns that follow from a few values of these
+    rows are added by ``finish``, after the join, which then neither shuffles
+    nor sorts them.  Otherwise the payload is joined from ``df`` by the label and a
     hash of the flat columns, and of records equal in all of these the one
     with the smallest hash of its nested columns stays.
     """
@@ -349,7 +352,10 @@ def clean_plans(
     plans = current_plans(df.select(*flat, F.xxhash64(*flat).alias("_record")), sector)
     if payload is not None:
         # merged: both sides grow with the plans, and a broadcast is built in the driver
-        full = plans.hint("merge").join(payload(plans).select("label", *nested), "label")
+        rows = payload(plans)
+        rows = rows if finish else rows.select("label", *nested)
+        full = plans.hint("merge").join(rows, "label")
+        full = finish(full) if finish else full
     else:
         full = _with_nested(plans, df, sector)
     return (

@@ -17,9 +17,11 @@ def clean_plans(records: DataFrame, sector: str = "Commercial") -> DataFrame:
 
 
 def clean_table_plans(spark: SparkSession, sf_dir: str, sector: str = "Commercial") -> DataFrame:
-    """Cleaned plans of the driver tables; the payload is built for the plans that stay only."""
+    """Cleaned plans of the driver tables; the payload is built for the plans that stay only, its schedules last."""
     records = tpch.plan_records(spark, sf_dir)
-    return clean.clean_plans(records, sector, payload=lambda plans: tpch.plan_records(spark, sf_dir, only=plans))
+    return clean.clean_plans(
+        records, sector, payload=lambda plans: tpch.plan_payload(spark, sf_dir, only=plans), finish=tpch.with_schedules
+    )
 
 
 def hourly_rates(plans: DataFrame, load: Load = Load()) -> DataFrame:

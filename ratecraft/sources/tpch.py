@@ -140,12 +140,28 @@ def tier_arrays(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def plan_records(spark: SparkSession, sf_dir: str, only: DataFrame | None = None) -> DataFrame:
-    """One nested plan record per order, in ``PLAN_SCHEMA``.
+def _schedules(key: Column) -> dict[str, Column]:
+    """The schedules and flat-demand months of a customer key."""
+    missing_sched = key % 29 == 0
+    return {
+        "flatDemandMonths": F.when(key % 19 == 0, F.lit(None))
+        .when(key % 37 == 0, F.array().cast("array<int>"))
+        .otherwise(_months(key)),
+        "demandWeekdaySched": F.when(~missing_sched, _matrix(key, 1, 1)),
+        "demandWeekendSched": F.when(~missing_sched & (key % 31 != 0), _matrix(key, 2, 1)),
+        "energyWeekdaySched": F.when(missing_sched, F.lit(None))
+        .when(key % 41 == 0, F.array().cast("array<array<int>>"))
+        .otherwise(_matrix(key, 1, 6)),
+        "energyWeekendSched": F.when(~missing_sched, _matrix(key, 2, 6)),
+    }
 
-    ``only`` (rows with a ``label``) builds the records of these labels:
-    orders and lineitems are restricted before anything is grouped or joined.
-    """
+
+def _label() -> Column:
+    return F.format_string("%012d", F.col("o_orderkey"))
+
+
+def _order_rows(spark: SparkSession, sf_dir: str, only: DataFrame | None = None) -> DataFrame:
+    """Orders with their customer and tier arrays; ``only``: those of these labels."""
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
@@ -155,19 +171,37 @@ def plan_records(spark: SparkSession, sf_dir: str, only: DataFrame | None = None
         orders = orders.join(wanted, F.col("o_orderkey").eqNullSafe(F.col("_wanted")), "left_semi")
         lineitem = lineitem.join(wanted, F.col("l_orderkey") == F.col("_wanted"), "left_semi")
 
-    key = F.col("c_custkey")
-    missing_sched = key % 29 == 0
     # merged: a broadcast chosen by the size of compressed files is many times as large in the driver
     co = orders.join(customer.hint("merge"), orders.o_custkey == customer.c_custkey, "inner")
     tiers = tier_arrays(lineitem)
-    rec = co.join(tiers, co.o_orderkey == tiers.l_orderkey, "left")
+    return co.join(tiers, co.o_orderkey == tiers.l_orderkey, "left")
 
+
+def plan_payload(spark: SparkSession, sf_dir: str, only: DataFrame) -> DataFrame:
+    """``label``, customer key and tier structures of the records of ``only``; ``with_schedules`` adds the rest."""
+    rows = _order_rows(spark, sf_dir, only)
+    return rows.select(_label().alias("label"), "c_custkey", "energyRateStrux", "demandRateStrux", "flatDemandStrux")
+
+
+def with_schedules(payload: DataFrame) -> DataFrame:
+    """The schedules of the rows of ``plan_payload``: after the join with the plans, so it neither shuffles nor sorts them."""
+    return payload.withColumns(_schedules(F.col("c_custkey")))
+
+
+def plan_records(spark: SparkSession, sf_dir: str, only: DataFrame | None = None) -> DataFrame:
+    """One nested plan record per order, in ``PLAN_SCHEMA``.
+
+    ``only`` (rows with a ``label``) builds the records of these labels:
+    orders and lineitems are restricted before anything is grouped or joined.
+    """
+    rec = _order_rows(spark, sf_dir, only)
+    key = F.col("c_custkey")
     ok = F.col("o_orderkey")
     iso = _iso(F.col("o_orderdate"))
     date_json = lambda s: F.concat(F.lit('{"$date": "'), s, F.lit('"}'))
 
     cols = {
-        "label": F.format_string("%012d", ok),
+        "label": _label(),
         "eiaId": F.expr("nullif(c_nationkey, 0)"),
         "utilityName": F.col("c_mktsegment"),
         "rateName": F.concat(
@@ -212,18 +246,10 @@ def plan_records(spark: SparkSession, sf_dir: str, only: DataFrame | None = None
         .when(F.col("o_orderpriority") == "3-MEDIUM", F.lit("kVA"))
         .when(F.col("o_orderpriority") == "5-LOW", F.lit("daily")),
         "demandUnits": F.lit("kW"),
-        "flatDemandMonths": F.when(key % 19 == 0, F.lit(None))
-        .when(key % 37 == 0, F.array().cast("array<int>"))
-        .otherwise(_months(key)),
         "flatDemandStrux": F.col("flatDemandStrux"),
         "demandRateStrux": F.col("demandRateStrux"),
         "energyRateStrux": F.col("energyRateStrux"),
-        "demandWeekdaySched": F.when(~missing_sched, _matrix(key, 1, 1)),
-        "demandWeekendSched": F.when(~missing_sched & (key % 31 != 0), _matrix(key, 2, 1)),
-        "energyWeekdaySched": F.when(missing_sched, F.lit(None))
-        .when(key % 41 == 0, F.array().cast("array<array<int>>"))
-        .otherwise(_matrix(key, 1, 6)),
-        "energyWeekendSched": F.when(~missing_sched, _matrix(key, 2, 6)),
+        **_schedules(key),
     }
     raw = rec.select(*[cols[f.name].alias(f.name) for f in PLAN_SCHEMA.fields])
     # Cast only where the type differs beyond nullability: a cast between
