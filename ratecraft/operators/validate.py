@@ -1,17 +1,18 @@
 """Dataset-level validation of the published hourly table (V1-V8).
 
-``validation_report`` (long table): one grouped pass over the hourly keys
-counts the row checks (V1, V2, V4-V6) and the copies (V3) together, and a
-second, global pass sums them; V7 compares two distinct plan counts.
+``validation_report`` (long table): one grouped pass over the plans counts the
+row checks (V1, V2, V4-V6) and the copies (V3) together, with a shuffle of one
+row a plan and task (``validation_report_slots``); V7 compares two distinct plan counts.
 ``validation_report_cells`` computes the same from plan rows without
-shuffling the hourly table, and ``validation_report_slots`` from the long
-table with a shuffle of one row a plan and task.  The result is a small table ``(step,
+shuffling the hourly table.  The result is a small table ``(step,
 check_name, severity, n, n_failed, passed)``; V8 (``enforce``) raises after
 the table has been computed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,28 +36,12 @@ def validation_report(
     energy_limit: float = ENERGY_RATE_CHECK,
     pattern: str = EXCLUDED_NAMES,
 ) -> DataFrame:
-    """The seven checks as rows; NULL fails a comparison check."""
-    # Pass 1 (map-side combined): per unique-key group, row count and
-    # failure counts.  Pass 2: totals over the groups.  A hot key is one
-    # partially aggregated row per input partition.
-    per_key = output.groupBy(*UNIQUE_KEYS).agg(
-        F.count(F.lit(1)).alias("c"),
-        count_if(not_true(F.col("fixedChargeFirstMeter") <= F.lit(fixed_limit))).alias("f1"),
-        count_if(not_true(F.col("total_energy_rate") <= F.lit(energy_limit))).alias("f2"),
-        count_if(not_true(~F.col("rateName").rlike("(?i)" + pattern))).alias("f4"),
-        count_if(not_true(F.col("total_demand_rate") >= 0)).alias("f5"),
-        count_if(not_true(F.col("total_energy_rate") >= 0)).alias("f6"),
-    )
-    totals = per_key.agg(
-        F.coalesce(F.sum("c"), F.lit(0)).cast("long").alias("n"),
-        *[F.coalesce(F.sum(f), F.lit(0)).cast("long").alias(f) for f in ("f1", "f2", "f4", "f5", "f6")],
-        F.coalesce(F.sum(F.when(F.col("c") > 1, F.col("c"))), F.lit(0)).cast("long").alias("f3"),
-        F.count_distinct(F.struct(*COUNT_KEYS)).alias("n_out"),
-    )
-    n_in = input_plans.select(*COUNT_KEYS).distinct().agg(F.count(F.lit(1)).alias("n_in"))
-    one = _one_row(totals, n_in)
+    """The seven checks as rows; NULL fails a comparison check.
 
-    return _steps(one)
+    The hourly rows are combined to one row a plan and task before they are
+    shuffled (``validation_report_slots``), so no hour is a group of its own.
+    """
+    return validation_report_slots(input_plans, output, fixed_limit, energy_limit, pattern)
 
 
 def _one_row(*parts: DataFrame) -> DataFrame:
@@ -171,19 +156,23 @@ def plan_slots(
     energy_limit: float = ENERGY_RATE_CHECK,
     pattern: str = EXCLUDED_NAMES,
 ) -> DataFrame:
-    """Per plan of the long table: rows, failures of each check, slots that occur, rows off the grid.
+    """Per plan of the long table: rows, failures of each check, slots that occur (``slots``)
+    and that occur an odd number of times (``odd``), rows off the grid.
 
-    A plan's slots are a bitmap of nine words under ``bit_or``, a fixed-width
-    buffer that the scan's tasks combine before the shuffle: one row a plan and
+    A plan's slots are bitmaps of nine words under ``bit_or`` and ``bit_xor``, fixed-width
+    buffers that the scan's tasks combine before the shuffle: one row a plan and
     task, not one an hour.
     """
     slotted = output.select(
         *COUNT_KEYS, "fixedChargeFirstMeter", "total_energy_rate", "total_demand_rate", _slot().alias("_slot")
     )
 
-    def word(k: int) -> Column:
+    def word(k: int, merge: Callable[[Column], Column]) -> Column:
         bit = F.expr(f"IF(_slot DIV {SLOT_BITS} = {k}, shiftleft(1L, _slot % {SLOT_BITS}), 0L)")
-        return F.coalesce(F.bit_or(bit), F.lit(0).cast("long"))
+        return F.coalesce(merge(bit), F.lit(0).cast("long"))
+
+    def bits(name: str) -> Column:
+        return sum((F.bit_count(f"{name}{k}") for k in range(1, SLOT_WORDS)), F.bit_count(f"{name}0")).cast("long")
 
     return (
         slotted.groupBy(*COUNT_KEYS)
@@ -194,14 +183,14 @@ def plan_slots(
             count_if(not_true(F.col("total_demand_rate") >= 0)).alias("f5"),
             count_if(not_true(F.col("total_energy_rate") >= 0)).alias("f6"),
             count_if(F.col("_slot").isNull()).alias("off_grid"),
-            *[word(k).alias(f"_w{k}") for k in range(SLOT_WORDS)],
+            *[word(k, F.bit_or).alias(f"_w{k}") for k in range(SLOT_WORDS)],
+            *[word(k, F.bit_xor).alias(f"_x{k}") for k in range(SLOT_WORDS)],
         )
         .select(
             *COUNT_KEYS, "n", "f1", "f2",
             # the name is a key, so this check is one decision a plan
             F.when(not_true(~F.col("rateName").rlike("(?i)" + pattern)), F.col("n")).otherwise(0).alias("f4"),
-            "f5", "f6", "off_grid",
-            sum((F.bit_count(f"_w{k}") for k in range(1, SLOT_WORDS)), F.bit_count("_w0")).cast("long").alias("slots"),
+            "f5", "f6", "off_grid", bits("_w").alias("slots"), bits("_x").alias("odd"),
         )
     )
 
@@ -215,30 +204,36 @@ def validation_report_slots(
 ) -> DataFrame:
     """Same report of the long table, shuffled at plan grain.
 
-    A plan with as many slots as rows has no two rows alike (V3).  Plans with
-    fewer slots, or rows off the grid, are the only ones whose rows are grouped
+    Slots that occur an odd number of times have at least one row each, the
+    others at least two.  A plan with just as many rows has none more, so its
+    copies (V3) are the rows of the others.  Plans with more rows (a slot three
+    times), or rows off the grid, are the only ones whose rows are grouped
     by all six keys.  The plans' counts are written to the shared folder first,
     so the size of that list is known when the join is planned: a short list
     (the normal case is none) is sent to the hourly rows, a long one is joined
-    by shuffle.  ``output`` is read twice.
+    by shuffle.  ``output`` is read again only if the list has a plan.
     """
     spark = output.sparkSession
     path = scratch_path(spark, "plan-slots")
     plan_slots(output, fixed_limit, energy_limit, pattern).write.parquet(f"{path}/counts")
     per_plan = spark.read.parquet(f"{path}/counts")
-    per_plan.where("slots < n").select(*COUNT_KEYS).write.parquet(f"{path}/suspects")
+    even = F.col("slots") - F.col("odd")
+    told = (F.col("off_grid") == 0) & (F.col("n") == F.col("odd") + 2 * even)
+    per_plan.where(~told).select(*COUNT_KEYS).write.parquet(f"{path}/suspects")
     suspects = spark.read.parquet(f"{path}/suspects")
     totals = per_plan.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n"),
         *[F.coalesce(F.sum(f), F.lit(0)).cast("long").alias(f) for f in ("f1", "f2", "f4", "f5", "f6")],
+        F.coalesce(F.sum(F.when(told, 2 * even)), F.lit(0)).cast("long").alias("f3_told"),
         F.count(F.lit(1)).alias("n_out"),
     )
+    n_in = input_plans.select(*COUNT_KEYS).distinct().agg(F.count(F.lit(1)).alias("n_in"))
     rows = output.select(*UNIQUE_KEYS)
     copies = (
         rows.join(suspects, on=[rows[k].eqNullSafe(suspects[k]) for k in COUNT_KEYS], how="left_semi")
         .groupBy(*UNIQUE_KEYS)
         .agg(F.count(F.lit(1)).alias("c"))
-        .agg(F.coalesce(F.sum(F.when(F.col("c") > 1, F.col("c"))), F.lit(0)).cast("long").alias("f3"))
+        .agg(F.coalesce(F.sum(F.when(F.col("c") > 1, F.col("c"))), F.lit(0)).cast("long").alias("f3_grouped"))
     )
-    n_in = input_plans.select(*COUNT_KEYS).distinct().agg(F.count(F.lit(1)).alias("n_in"))
-    return _steps(_one_row(totals, copies, n_in))
+    one = _one_row(totals, copies, n_in)
+    return _steps(one.withColumn("f3", F.col("f3_told") + F.col("f3_grouped")))

@@ -3,6 +3,7 @@
 import json
 import os
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -59,6 +60,23 @@ def test_slots_on_random_rows(spark):
     both_ways(spark, list(dict((r[:6], r) for r in rows).values()))
 
 
+def test_copies_are_counted_as_a_loop_counts_them(spark):
+    rng = random.Random(8)
+    rows = []
+    for name, times in (("once", (1,)), ("twice", (1, 2)), ("thrice", (1, 2, 3)), ("four", (1, 4)), (None, (1, 2))):
+        for g in grid(1, "u", name):
+            rows += [g] * rng.choice(times)
+    rows += [(1, "u", "twice", "Holiday", 1, 1, 5.0, 0.1, 1.0)] * 2
+    seen = Counter(r[:6] for r in rows)
+    assert both_ways(spark, rows)["rows_distinct"] == sum(n for n in seen.values() if n > 1)
+    out = spark.createDataFrame([r for r in rows if r[2] in ("once", None)], HOURLY)
+    # copies of two rows are counted by the bitmaps, so no plan is left to be grouped hour by hour
+    per_plan = validate.plan_slots(out)
+    assert per_plan.where("off_grid > 0 OR n <> odd + 2 * (slots - odd)").count() == 0
+    plan = validate.validation_report(out.select(*COUNT_KEYS).distinct(), out)._jdf.queryExecution().sparkPlan().toString()
+    assert "bit_count" not in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
 def test_slots_shuffle_plans_not_hours(spark, tmp_path):
     plans = spark.read.parquet(publish.land_plans(end_to_end.clean_plans(tpch.plan_records(spark, SF)), str(tmp_path / "plans")))
     rates = spark.read.parquet(publish.land_plans(end_to_end.published_rates(plans), str(tmp_path / "rates")))
