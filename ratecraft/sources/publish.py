@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import JSON_DECIMALS, WEEKDAY, WEEKEND
+from ..session import landed
 from .plans import read_plans  # noqa: F401  (part of this module's interface)
 
 
@@ -178,7 +179,8 @@ def write_rates_document(matrices: DataFrame, path: str, order: Sequence[str] =
     omitted, as in the JSON lines; no plans give ``[]``.
     """
     spark = matrices.sparkSession
-    texts = round_numbers(matrices).select(*order, F.to_json(F.struct(*matrices.columns)).alias("_text"))
+    # landed: the bounds of the ranges are sampled from all rows, which would be computed twice
+    texts = landed(round_numbers(matrices).select(*order, F.to_json(F.struct(*matrices.columns)).alias("_text")))
     ordered = texts.orderBy(*[F.col(c).asc_nulls_first() for c in order], "_text")
     first = F.monotonically_increasing_id() == 0
     # one file a partition, so that a part's number is its place
