@@ -84,13 +84,14 @@ def zero_matrix(rows: int = 12, cols: int = 24, fill: int = 0) -> Column:
     return F.array_repeat(F.array_repeat(F.lit(fill).cast("int"), cols), rows)
 
 
-#: A non-NULL text of a plan's name.  A table that carries it has been dealt by it
+#: A non-NULL hash of a plan's name.  A table that carries it has been dealt by it
 #: (``plans.relational.co_located``), and joins, windows and aggregates per plan need no further shuffle.
+#: A number is sorted without comparisons; names that share it are told apart by the keys beside it.
 NAME_KEY = "name_key"
 
 
 def name_key() -> Column:
-    return F.to_json(F.struct(*NAME_KEYS))
+    return F.xxhash64(*NAME_KEYS)
 
 
 def carried(df: DataFrame, keys: Sequence[str]) -> list[str]:
@@ -113,25 +114,30 @@ def null_safe_left_join(
 
     If both tables carry the name key, it is the only hash key, so tables
     dealt by it meet without a shuffle; the other keys are compared inside a
-    plan, as a pair of inequalities that Spark doesn't take for hash keys.
+    plan, as a pair of inequalities that Spark doesn't take for hash keys: first
+    a hash of them, then they themselves.
     That suits keys with few values a plan; pass ``co_located=False`` for others.
     """
     suffix = "__r"
     by_name = co_located and set(NAME_KEYS) <= set(keys) and NAME_KEY in left.columns and NAME_KEY in right.columns
     dropped = {*keys, NAME_KEY} if NAME_KEY in left.columns else set(keys)
+    if by_name:
+        left, right = (t.withColumn("_keys_hash", F.xxhash64(*keys)) for t in (left, right))
+        dropped.add("_keys_hash")
     renamed = right.select(
         *[F.col(c).alias(c + suffix) if c in dropped else F.col(c) for c in right.columns]
     )
     if by_name:
+        h, g = left["_keys_hash"], renamed["_keys_hash" + suffix]
         a = F.struct(*[left[k] for k in keys])
         b = F.struct(*[renamed[k + suffix] for k in keys])
-        cond = [left[NAME_KEY] == renamed[NAME_KEY + suffix], (a <= b) & (a >= b)]
+        cond = [left[NAME_KEY] == renamed[NAME_KEY + suffix], (h <= g) & (h >= g) & (a <= b) & (a >= b)]
         # merged in the buckets: by the size of compressed files it would be broadcast, many times as large in the driver
         renamed = renamed.hint("merge")
     else:
         cond = [left[k].eqNullSafe(renamed[k + suffix]) for k in keys]
     joined = left.join(renamed, on=cond, how=how)
-    return joined.drop(*[c + suffix for c in dropped])
+    return joined.drop("_keys_hash", *[c + suffix for c in dropped])
 
 
 def count_if(cond: Column) -> Column:

@@ -68,13 +68,12 @@ def energy_combo_with_flag(sched: DataFrame, strux: DataFrame, keys=tuple(PLAN_K
     """J3 with the W2 flag.
 
     The flag depends on a plan's distinct scheduled periods only, so it is
-    taken from those (a few rows per plan) and joined to the schedule at plan
-    grain; the hourly combo is built once.
+    taken from those (a few rows per plan) and stands beside their tiers; the
+    hourly rows are joined once, with both.
     """
-    periods = sched.select(*carried(sched, keys), "period").distinct()
-    flags = multi_unit_flags(energy_combo(periods, strux), keys)
-    right = strux.select(*carried(strux, COMBO_KEYS), "tier", "unit", "total_rate", "max")
-    return null_safe_left_join(null_safe_left_join(sched, right, COMBO_KEYS), flags, list(keys))
+    periods = sched.select(*carried(sched, COMBO_KEYS)).distinct()
+    tiers = with_multi_unit(energy_combo(periods, strux), keys)
+    return null_safe_left_join(sched, tiers, COMBO_KEYS)
 
 
 # --- J4 -------------------------------------------------------------------

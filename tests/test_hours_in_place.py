@@ -36,3 +36,23 @@ def test_a_document_computes_its_plans_once(spark, tmp_path):
     marked = rows.withColumn("name", F.udf(counted, "string").asNondeterministic()("name"))
     publish.write_rates_document(marked, str(tmp_path / "document"))
     assert seen.value == n
+
+
+def test_the_flag_is_joined_with_the_tiers(spark, tmp_path):
+    write_tables(spark, str(tmp_path))
+    assert executed(catalog.q_multi_unit(spark, str(tmp_path))).count("SortMergeJoin [name_key") == 2
+    plans = relational.co_located(_all_versions(spark, SHARED))
+    for p in (plans, plans.drop(NAME_KEY)):
+        sched, strux = reshape.energy_schedule(p), reshape.energy_structure(p)
+        combo = combine.energy_combo(sched, strux)
+        want = null_safe_left_join(combo, combine.multi_unit_flags(combo), combine.PLAN_KEYS_SECTOR)
+        got = combine.energy_combo_with_flag(sched, strux)
+        assert got.columns == want.columns and _same(got, want)
+
+
+def test_names_of_one_hash_are_told_apart(spark):
+    plans = relational.co_located(_all_versions(spark, SHARED))
+    assert dict(plans.dtypes)[NAME_KEY] == "bigint"
+    one = plans.withColumn(NAME_KEY, F.lit(1).cast("long"))
+    assert _same(relational.utility_rates(one), relational.utility_rates(plans))
+    assert _same(relational.utility_rates_joined(one), relational.utility_rates_joined(plans))
