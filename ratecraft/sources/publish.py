@@ -65,46 +65,48 @@ def grid_matrix_sql(cells: str, field: str) -> str:
 
 
 # --- R1 / R2 (relational form) --------------------------------------------
+#: The place of an hourly row among the 576 slots of a plan; a row off the grid has none.
+SLOT = f"""
+CASE WHEN month BETWEEN 1 AND 12 AND hour BETWEEN 1 AND 24 THEN CASE week_part
+  WHEN '{WEEKDAY}' THEN CAST(month * 24 + hour - 25 AS INT) WHEN '{WEEKEND}' THEN CAST(month * 24 + hour + 263 AS INT) END END
+"""
+
+
 def nested_rates(rates: DataFrame) -> DataFrame:
     """Hourly long table -> one row per plan with four 12x24 matrices.
 
-    Duplicated rows are removed, then one row per (plan, week part, month,
-    hour) is kept deterministically with a map-side combinable ``min``;
-    only then are the (at most 576) cells of a plan collected.  Missing
-    cells and NULL rates become 0.
+    A plan has few distinct pairs of rates, so its hours become bitmaps: one row
+    per (plan, pair), whose bits are the slots that have the pair.  They are
+    combined map-side under ``bit_or``, which removes duplicated rows; no hourly row
+    is shuffled or sorted.  A slot with several pairs keeps the smallest.
+    Missing cells and NULL rates become 0.
     """
     plan = ["eiaId", "rateName", "utilityName", "fixedChargeFirstMeter"]
-    cell = (
-        rates.select(*plan, "week_part", "month", "hour", "total_demand_rate", "total_energy_rate")
-        .groupBy(*plan, "week_part", "month", "hour")
-        .agg(F.min(F.struct("total_demand_rate", "total_energy_rate")).alias("v"))
-    )
-    keyed = cell.groupBy(*plan).agg(
-        *[
-            F.array_sort(
-                F.collect_list(
-                    F.when(
-                        F.col("week_part") == wp,
-                        F.struct((F.col("month") * 100 + F.col("hour")).alias("k"), F.col("v")),
-                    )
-                )
-            ).alias(f"_m_{wp}")
-            for wp in (WEEKDAY, WEEKEND)
-        ]
-    )
-
-    def matrix(wp: str, field: str):
-        return F.expr(grid_matrix_sql(f"_m_{wp}", field))
+    pair = ["total_demand_rate", "total_energy_rate"]
+    words = [F.bit_or(F.expr(f"IF(_slot >> 6 = {w}, shiftleft(1L, _slot & 63), 0L)")).alias(f"w{w}") for w in range(9)]
+    bitmaps = rates.select(*plan, *pair, F.expr(SLOT).alias("_slot")).groupBy(*plan, *pair).agg(*words)
+    entry = F.struct(*pair, F.array(*[f"w{w}" for w in range(9)]).alias("bits"))
+    keyed = bitmaps.groupBy(*plan).agg(F.array_sort(F.collect_list(entry)).alias("_pairs"))
+    # a word of 64 slots looks at the pairs that occur in it
+    of_word = "transform(sequence(0, 63), b -> get(filter(found, x -> getbit(get(x.bits, w), b) = 1), 0))"
+    in_word = f"transform(array(filter(_pairs, x -> get(x.bits, w) != 0L)), found -> {of_word})[0]"
+    slots = keyed.withColumn("_slots", F.expr(f"flatten(transform(sequence(0, 8), w -> {in_word}))"))
+
+    def matrix(start: int, field: str):
+        return F.expr(
+            f"transform(sequence(0, 11), m -> transform(sequence(0, 23), h -> "
+            f"coalesce(get(_slots, {start} + m * 24 + h).{field}, 0D)))"
+        )
 
-    return keyed.select(
+    return slots.select(
         F.col("eiaId").alias("eiaid"),
         F.col("rateName").alias("name"),
         F.col("utilityName").alias("utility"),
         F.col("fixedChargeFirstMeter").alias("fixedchargefirstmeter"),
-        matrix(WEEKDAY, "total_demand_rate").alias("totaldemandweekdayschedule"),
-        matrix(WEEKEND, "total_demand_rate").alias("totaldemandweekendschedule"),
-        matrix(WEEKDAY, "total_energy_rate").alias("energyweekdayschedule"),
-        matrix(WEEKEND, "total_energy_rate").alias("energyweekendschedule"),
+        matrix(0, "total_demand_rate").alias("totaldemandweekdayschedule"),
+        matrix(288, "total_demand_rate").alias("totaldemandweekendschedule"),
+        matrix(0, "total_energy_rate").alias("energyweekdayschedule"),
+        matrix(288, "total_energy_rate").alias("energyweekendschedule"),
     )
 
 

@@ -56,3 +56,31 @@ def test_names_of_one_hash_are_told_apart(spark):
     one = plans.withColumn(NAME_KEY, F.lit(1).cast("long"))
     assert _same(relational.utility_rates(one), relational.utility_rates(plans))
     assert _same(relational.utility_rates_joined(one), relational.utility_rates_joined(plans))
+
+
+def test_hours_nest_by_bitmaps(spark):
+    row = "eiaId long, rateName string, utilityName string, fixedChargeFirstMeter double, week_part string, month int, hour int, "
+    row += "total_demand_rate double, total_energy_rate double"
+    rows = [(1, "A", "U", 5.0, w, m, h, m / 8, h / 8) for w in ("Weekday", "Weekend") for m in range(1, 13) for h in range(1, 25)]
+    rows += rows[:30]  # copies
+    rows += [(1, "A", "U", 5.0, "Weekend", 12, 24, 0.5, 9.0), (1, "A", "U", 5.0, "Weekend", 12, 23, 9.0, 0.5)]
+    rows += [(1, "A", "U", 5.0, "Weekday", 1, 1, None, 4.0), (1, "A", "U", 5.0, "Weekday", 13, 1, 7.0, 7.0)]
+    rows += [(None, None, "U", None, "Weekday", 3, 4, -1.0, None)]
+    nested = publish.nested_rates(spark.createDataFrame(rows, row).repartition(3))
+    plan = nested._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("partial_bit_or") == 9
+    back = {r["name"]: r for r in nested.collect()}
+    assert len(back) == 2
+    want = {}
+    for r in rows:
+        if r[5] <= 12:
+            nulls_first = [(v is not None, v or 0.0) for v in r[7:]]
+            slot = (r[1], r[4], r[5], r[6])
+            want[slot] = min(want.get(slot, nulls_first), nulls_first)
+    for name, r in back.items():
+        for w, d, e in (("Weekday", r[4], r[6]), ("Weekend", r[5], r[7])):
+            assert [len(x) for x in (*d, *e)] == [24] * 24
+            for m in range(12):
+                for h in range(24):
+                    pair = want.get((name, w, m + 1, h + 1), [(False, 0.0)] * 2)
+                    assert [d[m][h], e[m][h]] == [v for _, v in pair]
