@@ -84,3 +84,16 @@ def test_hours_nest_by_bitmaps(spark):
                 for h in range(24):
                     pair = want.get((name, w, m + 1, h + 1), [(False, 0.0)] * 2)
                     assert [d[m][h], e[m][h]] == [v for _, v in pair]
+
+
+def test_hours_are_joined_in_the_buckets_of_the_name(spark):
+    plans = relational.co_located(_all_versions(spark, SHARED))
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    c = relational.costs(plans)
+    demand = combine.demand_total(c["schedules"]["demand"], c["demand"], c["flat"])
+    energy = combine.energy_total(c["schedules"]["energy"], c["energy"])
+    with co_partitioned(spark):
+        assert "Exchange" not in executed(combine.utility_rates(plans, demand, energy))
+    relational.utility_rates_joined(plans)
+    assert spark.conf.get(name) == before
