@@ -156,28 +156,43 @@ def _per_plan(costs: DataFrame, into: str, **fields: str) -> DataFrame:
     return costs.groupBy(*carried(costs, PLAN_KEYS)).agg(F.collect_list(entry).alias(into))
 
 
-#: The energy side of a demand cell ``c``: an entry for each energy cost at the same
-#: place of this row's schedule, else one without a cost.  A place that no schedule of
-#: the plan keys has (``shapes``) gives one empty entry, with the first of their rows.
+#: What an hour looks up, made once a plan: the periods that have a cost (``*_periods``), their costs
+#: in that order, the flat cost of each month, and the longest row of each energy month
+#: (``longest``) in any schedule of the plan keys.
+LOOKUPS = {
+    "demand_periods": "transform(demand_costs, x -> x.period)",
+    "demand_by_period": "transform(demand_costs, x -> x.cost)",
+    "demand_no_period": "get(filter(demand_costs, x -> x.period IS NULL), 0).cost",
+    "flat_by_month": """transform(sequence(1, greatest(array_max(transform(flat_costs, x -> x.month)), 1)), m ->
+        get(filter(flat_costs, x -> x.month = m), 0).cost)""",
+    "energy_periods": "filter(array_distinct(transform(energy_costs, x -> x.period)), p -> p IS NOT NULL)",
+    "energy_by_period": """transform(filter(array_distinct(transform(energy_costs, x -> x.period)), p -> p IS NOT NULL), p ->
+        transform(filter(energy_costs, x -> x.period = p), x -> named_struct('p', x.period, 'm', x.multi_unit, 'r', x.rate, 'is', true)))""",
+    "energy_no_period": """transform(filter(energy_costs, x -> x.period IS NULL), x ->
+        named_struct('p', x.period, 'm', x.multi_unit, 'r', x.rate, 'is', true))""",
+    "longest": """transform(array(0, 1), part -> transform(
+        sequence(0, coalesce(array_max(transform(flatten(shapes), r -> size(r))), 0)), m ->
+          array_max(transform(shapes, s -> get(get(s, part), m)))))""",
+}
+
+#: The energy side of an hour: an entry for each energy cost at the same place of this
+#: row's schedule, else one without a cost.  A place that no schedule of the plan keys
+#: has gives one empty entry, with the first of their rows.
 ENERGY_ENTRIES = """
-CASE WHEN coalesce(size(get(get(weeks, c.part), c.month - 1)) >= c.hour, false) THEN
-  flatten(transform(array(get(get(get(weeks, c.part), c.month - 1), c.hour - 1) + 1), p ->
-    transform(array(filter(energy_costs, x -> x.period <=> p)), found ->
-      IF(size(found) = 0, array(named_struct('p', p, 'm', CAST(NULL AS BOOLEAN), 'r', CAST(NULL AS DOUBLE))),
-         transform(found, x -> named_struct('p', p, 'm', x.multi_unit, 'r', x.rate))))[0]))
-WHEN first_row AND NOT exists(shapes, s -> coalesce(get(get(s, c.part), c.month - 1) >= c.hour, false)) THEN
-  array(named_struct('p', CAST(NULL AS INT), 'm', CAST(NULL AS BOOLEAN), 'r', CAST(NULL AS DOUBLE)))
-ELSE slice(array(named_struct('p', CAST(NULL AS INT), 'm', CAST(NULL AS BOOLEAN), 'r', CAST(NULL AS DOUBLE))), 1, 0) END
+CASE WHEN coalesce(size(get(get(weeks, part), month - 1)) >= hour, false) THEN
+  coalesce(
+    CASE WHEN energy_period IS NULL THEN IF(size(energy_no_period) > 0, energy_no_period, NULL)
+      ELSE get(energy_by_period, CAST(array_position(energy_periods, energy_period) - 1 AS INT)) END,
+    array(named_struct('p', energy_period, 'm', CAST(NULL AS BOOLEAN), 'r', CAST(NULL AS DOUBLE), 'is', true)))
+WHEN first_row AND NOT coalesce(get(get(longest, part), month - 1) >= hour, false) THEN
+  array(named_struct('p', CAST(NULL AS INT), 'm', CAST(NULL AS BOOLEAN), 'r', CAST(NULL AS DOUBLE), 'is', true)) END
 """
 
-HOURLY_CELLS = f"""
-flatten(transform(demand_cells, d -> transform(array(named_struct(
-  'part', IF(d.week_part = '{WEEKDAY}', 0, 1), 'month', d.month, 'hour', d.hour)), c -> transform({ENERGY_ENTRIES}, e ->
-    named_struct('week_part', d.week_part, 'month', d.month, 'hour', d.hour, 'demand_period', d.period,
-      'total_demand_rate', try_divide(
-        get(filter(demand_costs, x -> x.period <=> d.period), 0).cost
-          + coalesce(get(filter(flat_costs, x -> x.month <=> d.month), 0).cost, 0D), {{peak}}D),
-      'multi_unit', e.m, 'energy_period', e.p, 'total_energy_rate', e.r)))[0]))
+TOTAL_DEMAND = """
+try_divide(
+  IF(demand_period IS NULL, demand_no_period,
+     get(demand_by_period, CAST(array_position(demand_periods, demand_period) - 1 AS INT)))
+    + coalesce(get(flat_by_month, month - 1), 0D), {peak}D)
 """
 
 
@@ -216,7 +231,16 @@ def utility_rates_by_position(
     energy = null_safe_left_join(energy, per_energy, PLAN_KEYS)
     none = F.expr("slice(array(named_struct('period', 0, 'multi_unit', false, 'rate', 0D)), 1, 0)")
     out = null_safe_left_join(out, energy.withColumn("energy_costs", F.coalesce("energy_costs", none)), PLAN_KEYS)
-    cells = F.expr(HOURLY_CELLS.format(peak=float(peak_kw)))
+    carry = [*PLAN_KEYS, "fixedChargeFirstMeter", "weeks", "first_row", *LOOKUPS]
+    looked_up = out.withColumns({name: F.expr(sql) for name, sql in LOOKUPS.items()})
     # inline_outer: no filter on the size of the cells is inferred, which would compute them twice
-    hourly = out.select(*PLAN_KEYS, "fixedChargeFirstMeter", F.inline_outer(cells)).where(F.col("month").isNotNull())
-    return hourly.select(*UTILITY_RATE_COLUMNS)
+    cells = looked_up.select(*carry, F.inline_outer("demand_cells")).where(F.col("month").isNotNull())
+    cells = cells.withColumnRenamed("period", "demand_period").withColumn("part", F.expr(f"IF(week_part = '{WEEKDAY}', 0, 1)"))
+    placed = cells.withColumn("energy_period", F.expr("get(get(get(weeks, part), month - 1), hour - 1) + 1"))
+    hours = [*PLAN_KEYS, "fixedChargeFirstMeter", "week_part", "month", "hour", "demand_period"]
+    entries = placed.select(
+        *hours, F.expr(TOTAL_DEMAND.format(peak=float(peak_kw))).alias("total_demand_rate"), F.expr(ENERGY_ENTRIES).alias("entries")
+    )
+    hourly = entries.select(*hours, "total_demand_rate", F.inline_outer("entries")).where(F.col("is"))
+    renamed = hourly.withColumnsRenamed({"m": "multi_unit", "p": "energy_period", "r": "total_energy_rate"})
+    return renamed.select(*UTILITY_RATE_COLUMNS)

@@ -97,3 +97,9 @@ def test_hours_are_joined_in_the_buckets_of_the_name(spark):
         assert "Exchange" not in executed(combine.utility_rates(plans, demand, energy))
     relational.utility_rates_joined(plans)
     assert spark.conf.get(name) == before
+
+
+def test_an_hour_by_position_runs_no_lambda(spark):
+    plans = relational.co_located(_all_versions(spark, SHARED))
+    hours = executed(relational.utility_rates(plans)).split("Generate inline(demand_cells")
+    assert len(hours) == 2 and "lambda" not in hours[0]
